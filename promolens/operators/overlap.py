@@ -26,21 +26,19 @@ def neighbouring_spans(promos: DataFrame) -> DataFrame:
     window sorts is thus limited by the calendar (pairs of days), not by the number of
     promotions, even if one outlet and brand has most of them.
     """
-    spans = (
-        promos.filter(F.col(PROMO).isNotNull())
-        .dropna(subset=list(SPAN_KEYS))
-        .groupBy(*SPAN_KEYS)
-        .agg(F.count("*").alias("promos"))
-    )
+    # Rows without a name or dates are masked rather than filtered out: a filter would move
+    # below the aggregation the spans come from and have it computed a second time.
+    spans = promos.groupBy(*SPAN_KEYS).agg(F.count(PROMO).alias("promos"))
+    counted = (F.col("promos") > 0) & F.col(START).isNotNull() & F.col(END).isNotNull()
     place = Window.partitionBy(OUTLET, BRAND)
     # The second order runs backwards in time: a frame that reaches back to the first row
     # grows as it goes, one that reaches on to the last row would be summed anew per row.
     starts_earlier = place.orderBy(F.unix_date(START)).rangeBetween(Window.unboundedPreceding, -1)
     ends_later = place.orderBy(-F.unix_date(END)).rangeBetween(Window.unboundedPreceding, -1)
     return spans.select(
-        *SPAN_KEYS,
-        F.max(END).over(starts_earlier).alias("latest_earlier_end"),
-        F.min(START).over(ends_later).alias("earliest_later_start"),
+        *(F.col(key).alias(f"span_{key}") for key in SPAN_KEYS),
+        F.max(F.when(counted, F.col(END))).over(starts_earlier).alias("latest_earlier_end"),
+        F.min(F.when(counted, F.col(START))).over(ends_later).alias("earliest_later_start"),
         F.sum("promos").over(place).alias("place_promos"),
     )
 
@@ -51,23 +49,23 @@ def add_overlap_flags(promos: DataFrame, unmatched: str = "zero") -> DataFrame:
     A promotion alone at its place, or without a name, place or dates to compare, gets 0, or
     null with ``unmatched="null"``.
     """
-    flagged = promos.join(neighbouring_spans(promos), list(SPAN_KEYS), "left").withColumns(
-        {
-            "before_overlap": F.col("latest_earlier_end") >= F.col("before_candidate_start"),
-            "after_overlap": F.col("earliest_later_start") <= F.col("after_candidate_end"),
-        }
-    )
-    named = F.col(PROMO).isNotNull()
-    comparable = named if unmatched == "zero" else named & (F.col("place_promos") > 1)
-
-    def flag(hit: str) -> Column:
-        known = F.when(comparable, F.coalesce(F.col(hit), F.lit(False)).cast("int"))
+    same_span = [F.col(key).eqNullSafe(F.col(f"span_{key}")) for key in SPAN_KEYS]
+    comparable = F.lit(True)
+    for key in (PROMO, *SPAN_KEYS):
+        comparable = comparable & F.col(key).isNotNull()
+    if unmatched == "null":
+        comparable = comparable & (F.col("place_promos") > 1)
+
+    def flag(overlaps: Column) -> Column:
+        known = F.when(comparable, F.coalesce(overlaps, F.lit(False)).cast("int"))
         return F.coalesce(known, F.lit(0)) if unmatched == "zero" else known
 
-    return flagged.select(
+    before = F.col("latest_earlier_end") >= F.col("before_candidate_start")
+    after = F.col("earliest_later_start") <= F.col("after_candidate_end")
+    return promos.join(neighbouring_spans(promos), same_span, "left").select(
         *promos.columns,
-        flag("before_overlap").alias("before_overlap"),
-        flag("after_overlap").alias("after_overlap"),
+        flag(before).alias("before_overlap"),
+        flag(after).alias("after_overlap"),
     )
 
 

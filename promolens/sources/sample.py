@@ -7,6 +7,7 @@ products are parts, and a promotion is a half-year in which a discounted line wa
 from __future__ import annotations
 
 from datetime import date
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,7 @@ PROMO_DISCOUNT = 0.08
 
 
 def sample_catalog(spark: SparkSession, folder: str) -> Catalog:
+    @cache
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -31,15 +31,17 @@ def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def save_metrics(metrics: DataFrame, table_name: str) -> None:
+def save_metrics(metrics: DataFrame, table_name: str, path: str | None = None) -> None:
     """Replace the rows of a table, keeping every column it ever had.
 
+    A table that does not exist is created, at ``path`` if one is given.
+
     New columns are added to the table; columns it has and ``metrics`` lacks are written as
     null. Values are cast to the table's types, which raises if one does not fit.
     """
     spark = metrics.sparkSession
     if not spark.catalog.tableExists(table_name):
-        metrics.write.saveAsTable(table_name)
+        metrics.write.options(**({"path": path} if path else {})).saveAsTable(table_name)
         return
     present = spark.table(table_name).schema
     known = {name.lower() for name in present.fieldNames()}
