@@ -1,4 +1,4 @@
-"""Date keys (integer yyyyMMdd), inclusive spans and time buckets."""
+"""Date keys (integer yyyyMMdd), inclusive spans and month buckets."""
 
 from __future__ import annotations
 
@@ -7,41 +7,51 @@ from pyspark.sql import functions as F
 
 
 def date_from_key(key: Column) -> Column:
-    """Date of an integer yyyyMMdd key; null where the key names no calendar day.
-
-    Integer arithmetic only: it runs on every fact row, where formatting the key and
-    parsing the text again would cost far more. The month is clamped before
-    ``make_date`` so that a bad key cannot raise under ANSI rules; a day that runs over
-    its month shows in the month of the result.
-    """
-    key = key.try_cast("int")
-    day = key % 100
-    month = ((key - day) / 100).cast("int") % 100
-    year = ((key - key % 10000) / 10000).cast("int")
-    first = F.make_date(year, F.greatest(F.least(month, F.lit(12)), F.lit(1)), F.lit(1))
-    candidate = F.date_add(first, day - 1)
-    eight_digits = key.between(10000101, 99991231)
-    return F.when(eight_digits & (F.month(candidate) == month), candidate)
+    """Date of an integer yyyyMMdd key; null, not an error, where it names no calendar day."""
+    return F.try_to_date(key.cast("string"), "yyyyMMdd")
 
 
 def key_from_date(day: Column) -> Column:
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
 
 
-def inclusive_days(start: Column, end: Column) -> Column:
+def is_calendar_key(key: str) -> Column:
+    """Whether the key in this column names a calendar day.
+
+    For fact rows, where parsing a date per row would dominate: all but the last days of a
+    month are told by arithmetic, and only those are parsed.
+    """
+    return F.expr(
+        f"""{key} BETWEEN 10000101 AND 99991231
+            AND {key} % 10000 BETWEEN 100 AND 1299
+            AND ({key} % 100 BETWEEN 1 AND 28
+                 OR {key} % 100 > 28 AND try_to_date(CAST({key} AS STRING), 'yyyyMMdd') IS NOT NULL)"""
+    )
+
+
+def inclusive_days(start: str, end: str) -> Column:
     return F.datediff(end, start) + 1
 
 
-def whole_weeks(start: Column, end: Column) -> Column:
+def whole_weeks(start: str, end: str) -> Column:
     """Weeks between two dates, the end day not counted, cut towards zero."""
     return (F.datediff(end, start) / 7).cast("int")
 
 
-def time_bucket(day: Column, width: int, first: Column, last: Column) -> Column:
-    """Number of the ``width``-day bucket of a date, days outside ``first..last`` moved to its ends.
+def month_of_key(key: Column, first: Column, last: Column) -> Column:
+    """The month yyyyMM of a date key, keys outside ``first..last`` moved to its ends.
 
-    Monotone in the date: whenever ``a <= t <= b``, the bucket of ``t`` lies between those
-    of ``a`` and ``b``. A join on it therefore loses no match, whatever range is given.
+    Monotone in the key: whenever ``a <= t <= b``, the month of ``t`` lies between those of
+    ``a`` and ``b``. A join on it therefore loses no match, whatever range is given.
     """
-    inside = F.least(F.greatest(day, first), last)
-    return F.floor(F.unix_date(inside) / width).cast("int")
+    return F.floor(F.least(F.greatest(key, first), last) / 100).cast("int")
+
+
+def months_between(start: Column, end: Column, first: Column, last: Column) -> Column:
+    """All months yyyyMM from one date to another, both moved into ``first..last`` as above."""
+
+    def month(day: Column) -> Column:
+        return F.trunc(F.least(F.greatest(day, first), last), "month")
+
+    months = F.sequence(month(start), month(end), F.expr("INTERVAL 1 MONTH"))
+    return F.transform(months, lambda m: F.year(m) * 100 + F.month(m))

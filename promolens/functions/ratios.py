@@ -19,7 +19,3 @@ def percent(part: Column, whole: Column) -> Column:
 def change_percent(now: Column, base: Column) -> Column:
     return (ratio(now, base) - 1) * 100
 
-
-def total(column: Column) -> Column:
-    """Sum that is 0, not null, over no rows."""
-    return F.coalesce(F.sum(column), F.lit(0))

@@ -26,12 +26,12 @@ def build_promo_result(rates: DataFrame) -> DataFrame:
             END: date_from_key(F.col("PromoTrueEndDate")),
         }
     )
-    return dated.withColumns({"DurationWeeks": whole_weeks(F.col(START), F.col(END))})
+    return dated.withColumns({"DurationWeeks": whole_weeks(START, END)})
 
 
 def add_promo_duration(df: DataFrame) -> DataFrame:
     """``promo_duration_days``: days of the span, both ends counted."""
-    return df.withColumns({"promo_duration_days": inclusive_days(F.col(START), F.col(END))})
+    return df.withColumns({"promo_duration_days": inclusive_days(START, END)})
 
 
 def add_before_candidate_window(df: DataFrame) -> DataFrame:

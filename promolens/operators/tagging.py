@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.config import Settings
-from promolens.functions.dates import date_from_key, time_bucket
+from promolens.functions.dates import (
+    date_from_key,
+    is_calendar_key,
+    key_from_date,
+    month_of_key,
+    months_between,
+)
 from promolens.schemas import (
     AFTER,
     BEFORE,
@@ -28,9 +34,6 @@ PERIOD_BOUNDS = {
     AFTER: ("after_window_start", "after_window_end"),
 }
 
-# Four weeks: a typical promotion of a quarter covers four or five buckets.
-BUCKET_DAYS = 28
-
 
 def prepare_loyalty_dates(loyalty: DataFrame, date_col: str = "DateKey") -> DataFrame:
     """``DateKey_dt``: the transaction day as a date, null for a bad key."""
@@ -75,23 +78,28 @@ def period_spans(windows: DataFrame, periods: Sequence[str] = PERIODS) -> DataFr
     return windows.select(*PROMO_KEYS, F.inline(spans))
 
 
-def time_bucketed(
-    days: DataFrame, spans: DataFrame, settings: Settings, width: int = BUCKET_DAYS
+def by_month(
+    loyalty: DataFrame, spans: DataFrame, settings: Settings, date_col: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Both sides of an interval join with a ``bucket`` column to join on.
+    """Both sides of the interval join, with date keys and a ``month`` to join on.
 
-    A day is in one bucket; a span is repeated for each bucket it touches. Days outside the
-    analysed range share its outermost buckets, so even a promotion without a real end date
-    is repeated no more often than that range has buckets.
+    A transaction is in one month; a span is repeated for each month it touches. Days
+    outside the analysed range share its outermost months, so even a promotion without a
+    real end date is repeated no more often than that range has months. The dates of the
+    spans become keys, not the keys of the transactions dates: there are far fewer spans.
     """
     first, last = settings.first_day, settings.today
-    touched = F.sequence(
-        time_bucket(F.col("span_start"), width, first, last),
-        time_bucket(F.col("span_end"), width, first, last),
-    )
+    bounds = key_from_date(first), key_from_date(last)
     return (
-        days.withColumns({"bucket": time_bucket(F.col("DateKey_dt"), width, first, last)}),
-        spans.withColumns({"bucket": F.explode(touched)}),
+        loyalty.filter(is_calendar_key(date_col)).withColumns(
+            {"month": month_of_key(F.col(date_col), *bounds)}
+        ),
+        spans.select(
+            "*",
+            key_from_date(F.col("span_start")).alias("first_key"),
+            key_from_date(F.col("span_end")).alias("last_key"),
+            F.explode(months_between(F.col("span_start"), F.col("span_end"), first, last)).alias("month"),
+        ),
     )
 
 
@@ -101,28 +109,25 @@ def tag_transactions(
     settings: Settings,
     date_col: str = "DateKey",
     periods: Sequence[str] = PERIODS,
-    bucket_days: int = BUCKET_DAYS,
     broadcast_rows: int = 0,
 ) -> DataFrame:
     """Transactions of every promotion period they fall in, one row per match.
 
     One interval join serves all periods, so the transactions are read once. Its equality
-    keys are outlet, brand and a time bucket, so a transaction does not meet promotions of
-    another season, and an outlet and brand with very many transactions is spread over its
-    buckets; what is still too large for one task, adaptive execution splits.
+    keys are outlet, brand and month, so a transaction does not meet promotions of another
+    season, and an outlet and brand with very many transactions is spread over its months;
+    what is still too large for one task, adaptive execution splits.
 
     With ``broadcast_rows`` the spans are counted first (a job, stopping at that number) and
     broadcast if there are no more than that many; otherwise Spark chooses by size.
     """
-    days = prepare_loyalty_dates(loyalty, date_col).select(
-        *PLACE_KEYS, "DateKey_dt", "LoyaltyCode", "MetricVolume", "MetricValue"
+    sales = loyalty.select(
+        *PLACE_KEYS, F.col(date_col).alias("sale_key"), "LoyaltyCode", "MetricVolume", "MetricValue"
     )
-    days, spans = time_bucketed(days, period_spans(windows, periods), settings, bucket_days)
+    sales, spans = by_month(sales, period_spans(windows, periods), settings, "sale_key")
     if broadcast_rows and spans.limit(broadcast_rows + 1).count() <= broadcast_rows:
         spans = F.broadcast(spans)
-    matched = days.join(spans, [*PLACE_KEYS, "bucket"]).filter(
-        F.col("DateKey_dt").between(F.col("span_start"), F.col("span_end"))
-    )
+    matched = sales.join(spans, [*PLACE_KEYS, "month"]).filter("sale_key BETWEEN first_key AND last_key")
     return matched.select(*TAGGED_COLUMNS)
 
 

@@ -13,7 +13,7 @@ from promolens.quality.layers import check_source_coverage
 from promolens.quality.report import QualityReport, check_frames, evaluate, save_audit
 from promolens.quality.validators import validate_metrics
 from promolens.sources.catalog import Catalog
-from promolens.sources.sink import save_metrics, stage, stage_folder
+from promolens.sources.sink import save_metrics, stage_folder
 
 
 @dataclass(frozen=True)
@@ -26,6 +26,27 @@ class Analysis:
     summaries: dict[str, DataFrame]
 
 
+def run(
+    catalog: Catalog,
+    settings: Settings,
+    promo_input: str = "single_promo",
+    table_name: str | None = None,
+    audit_table: str | None = None,
+    check: bool = True,
+    raise_on_failure: bool = True,
+) -> Analysis:
+    """Compute the metrics of every promotion, check them, and save them if a table is named.
+
+    The scan is read for tagging, and with checks once more each for the lines and for the
+    loyalty lines; all else is read from the staged results.
+    """
+    stages = Stages(catalog, settings, promo_input)
+    stages.materialise(stage_folder(catalog.spark))
+
+    checks: dict[str, QualityReport]
+    summaries: dict[str, DataFrame]
+
+
 def run(
     catalog: Catalog,
     settings: Settings,

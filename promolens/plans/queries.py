@@ -135,41 +135,33 @@ def _sink_roundtrip(s: Stages) -> DataFrame:
     return spark.table(table)
 
 
-def _checks(layer: str) -> StageQuery:
-    return lambda s: _all_checks(s)[layer].select("check_name", "passed", "value")
+def _checks(check: StageQuery) -> StageQuery:
+    return lambda s: check(s).select("check_name", "passed", "value")
 
 
-def _all_checks(s: Stages) -> dict[str, DataFrame]:
-    return check_frames(
+def _source_checks(s: Stages) -> DataFrame:
+    tables = (s.table(name) for name in ("scan", "outlet", "product", "promo_master"))
+    return layers.check_source_data(*tables, s.settings)
+
+
+def _quality_all(s: Stages) -> DataFrame:
+    """All layers over staged results, the way a full run checks them."""
+    s.materialise(stage_folder(s.catalog.spark))
+    frames = check_frames(
         s.scan,
-        s.table("outlet"),
-        s.table("product"),
-        s.table("promo_master"),
+        *(s.table(name) for name in ("outlet", "product", "promo_master")),
         s.loyalty_all,
         s.loyalty_valid,
         s.promos,
         s.windows,
-        s.tagged,
+        s.rollup,
         s.metrics,
         s.settings,
     )
-
-
-def _quality_all(s: Stages) -> DataFrame:
-    """All layers over staged results, the way a full run checks them."""
-    folder = stage_folder(s.catalog.spark)
-    for name in ("promos", "windows", "rollup", "metrics"):
-        setattr(s, name, stage(getattr(s, name), folder, name))
-    s.tagged = s.rollup
-    rows = reduce(DataFrame.unionByName, _all_checks(s).values())
+    rows = reduce(DataFrame.unionByName, frames.values())
     return rows.select("layer", "check_name", "passed", "value")
 
 
-def _coverage(s: Stages) -> DataFrame:
-    checks = layers.check_source_coverage(s.loyalty_valid, s.windows, s.settings)
-    return checks.select("check_name", "passed", "value")
-
-
 def _drilldown(s: Stages) -> DataFrame:
     return reports.validate_specific_outlet(s.windows, "000007", "Brand#11")
 
@@ -207,15 +199,17 @@ QUERIES: dict[str, StageQuery] = {
     "metrics_derived": lambda s: s.metrics,
     "metrics_all_promos": lambda s: keep_all_promos(s.metrics, s.windows),
     "metrics_sink_roundtrip": _sink_roundtrip,
-    "quality_source": _checks("source"),
-    "quality_discounts": _checks("discounts"),
-    "quality_loyalty": _checks("loyalty"),
-    "quality_windows": _checks("windows"),
-    "quality_overlap": _checks("overlap"),
-    "quality_tagging": _checks("tagging"),
-    "quality_output": _checks("output"),
-    "quality_reconciliation": _checks("reconciliation"),
-    "quality_coverage": _coverage,
+    "quality_source": _checks(_source_checks),
+    "quality_discounts": _checks(lambda s: layers.check_discount_flags(s.scan)),
+    "quality_loyalty": _checks(lambda s: layers.check_loyalty_derivation(s.loyalty_all, s.loyalty_valid)),
+    "quality_windows": _checks(lambda s: layers.check_promo_windows(s.promos)),
+    "quality_overlap": _checks(lambda s: layers.check_overlap_detection(s.promos, s.windows)),
+    "quality_tagging": _checks(lambda s: layers.check_tagged_transactions(s.tagged)),
+    "quality_output": _checks(lambda s: layers.check_final_metrics(s.metrics)),
+    "quality_reconciliation": _checks(lambda s: layers.check_reconciliation(s.rollup, s.metrics)),
+    "quality_coverage": _checks(
+        lambda s: layers.check_source_coverage(s.loyalty_valid, s.windows, s.settings)
+    ),
     "quality_all": _quality_all,
     "discount_summary": lambda s: reports.discount_summary(s.scan),
     "loyalty_summary": lambda s: reports.loyalty_summary(s.loyalty_all),

@@ -16,6 +16,7 @@ from promolens.operators.promo_windows import build_promo_windows
 from promolens.operators.tagging import tag_transactions
 from promolens.sources.catalog import Catalog
 from promolens.sources.loaders import load
+from promolens.sources.sink import stage
 
 
 class Stages:
@@ -84,3 +85,14 @@ class Stages:
     @cached_property
     def metrics(self) -> DataFrame:
         return add_derived_metrics(widen_rollup(self.rollup))
+
+    def materialise(self, folder: str) -> None:
+        """Write what several later steps use, and carry on from the files.
+
+        These are the promotions, their windows, the customer rollup and the wide metrics.
+        The tagged transactions are not kept: whatever is asked about them the rollup answers.
+        """
+        self.promos = stage(self.promos, folder, "promos")
+        self.windows = stage(self.windows, folder, "windows")
+        self.rollup = stage(self.rollup, folder, "rollup")
+        self.metrics = stage(self.metrics, folder, "metrics")

@@ -1,4 +1,7 @@
-"""Checks as data: measures are aggregated in one pass, then each check reads the one row of them."""
+"""Checks as data: measures are aggregated in one pass, then each check reads the one row of them.
+
+Measures and conditions are SQL expressions.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +9,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ERROR, WARN, INFO = "error", "warn", "info"
@@ -18,50 +21,56 @@ class Check:
 
     name: str
     label: str
-    value: Column
-    passed: Column
-    threshold: Column
+    value: str
+    passed: str
+    threshold: str = "0"
     severity: str = ERROR
     unit: str = ""
 
 
 def none_of(name: str, label: str, measure: str, severity: str = ERROR) -> Check:
     """Passes if the measure, a count of offending rows, is zero."""
-    found = F.col(measure)
-    return Check(name, label, found, found == 0, F.lit(0), severity)
+    return Check(name, label, measure, f"{measure} = 0", severity=severity)
 
 
 def some_of(name: str, label: str, measure: str) -> Check:
     """Passes if the measure is above zero."""
-    found = F.col(measure)
-    return Check(name, label, found, found > 0, F.lit(0))
+    return Check(name, label, measure, f"{measure} > 0")
 
 
 def columns_present(name: str, df: DataFrame, columns: Iterable[str]) -> Check:
     """Passes if the frame has the columns. Needs no data."""
     missing = [c for c in columns if c not in df.columns]
     label = "Missing columns " + ", ".join(missing) if missing else "Missing columns"
-    return Check(name, label, F.lit(len(missing)), F.lit(not missing), F.lit(0))
+    return Check(name, label, str(len(missing)), str(not missing))
 
 
-def column(df: DataFrame, name: str) -> Column:
+def column(df: DataFrame, name: str) -> str:
     """The column, or null where the frame lacks it, which a column check reports by itself."""
-    return F.col(name) if name in df.columns else F.lit(None)
+    return name if name in df.columns else "NULL"
+
+
+def literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def missing_or(condition: Column) -> Column:
-    """``condition``, with unknown counted as true: a null flag is not a valid flag."""
-    return F.coalesce(condition, F.lit(True))
+def literals(texts: Iterable[str]) -> str:
+    return ", ".join(map(literal, texts))
 
 
-def measure(df: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
-    return df.agg(*(value.alias(name) for name, value in measures.items()))
+def percent(part: str, whole: str) -> str:
+    """``part`` of ``whole`` in percent, null where ``whole`` is zero."""
+    return f"try_divide(CAST({part} AS DOUBLE), CAST({whole} AS DOUBLE)) * 100"
+
+
+def measure(df: DataFrame, measures: Mapping[str, str]) -> DataFrame:
+    """One row with a column per aggregate."""
+    return df.selectExpr(*(f"{sql} AS {name}" for name, sql in measures.items()))
 
 
 def side_by_side(*frames: DataFrame) -> DataFrame:
     """One row of all columns from one-row frames with different columns."""
-    if len(frames) == 1:
-        return frames[0]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return stacked.agg(*(F.max(name).alias(name) for name in stacked.columns))
 
@@ -69,17 +78,13 @@ def side_by_side(*frames: DataFrame) -> DataFrame:
 def as_checks(layer: str, measures: DataFrame, checks: Iterable[Check]) -> DataFrame:
     """One row per check: layer, check_name, severity, passed, message, value, threshold, ts."""
 
-    def row(check: Check) -> Column:
-        shown = F.coalesce(check.value.cast("string"), F.lit("unknown"))
-        return F.struct(
-            F.lit(layer).alias("layer"),
-            F.lit(check.name).alias("check_name"),
-            F.lit(check.severity).alias("severity"),
-            F.coalesce(check.passed, F.lit(False)).alias("passed"),
-            F.concat(F.lit(f"{check.label}: "), shown, F.lit(check.unit)).alias("message"),
-            check.value.cast("double").alias("value"),
-            check.threshold.cast("double").alias("threshold"),
-        )
-
-    rows = measures.select(F.inline(F.array(*(row(c) for c in checks))))
-    return rows.withColumn("ts", F.current_timestamp())
+    def row(check: Check) -> str:
+        return f"""named_struct(
+            'layer', {literal(layer)}, 'check_name', {literal(check.name)},
+            'severity', {literal(check.severity)}, 'passed', coalesce({check.passed}, false),
+            'message', concat({literal(check.label + ": ")},
+                coalesce(CAST({check.value} AS STRING), 'unknown'), {literal(check.unit)}),
+            'value', CAST({check.value} AS DOUBLE), 'threshold', CAST({check.threshold} AS DOUBLE))"""
+
+    rows = ", ".join(map(row, checks))
+    return measures.selectExpr(f"inline(array({rows}))", "current_timestamp() AS ts")

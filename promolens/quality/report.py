@@ -8,7 +8,6 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from promolens.config import Settings
 from promolens.quality import layers
@@ -59,12 +58,12 @@ class QualityReport:
         return self
 
     def check_no_nulls(self, df: DataFrame, column: str) -> QualityReport:
-        nulls = measure(df, {"nulls": F.count_if(F.col(column).isNull())})
+        nulls = measure(df, {"nulls": f"count_if(`{column}` IS NULL)"})
         check = none_of(f"no_null_{column}", f"Null {column}", "nulls")
         return self.add(as_checks(self.name, nulls, [check]))
 
     def check_no_negatives(self, df: DataFrame, column: str) -> QualityReport:
-        below = measure(df, {"below": F.count_if(F.col(column) < 0)})
+        below = measure(df, {"below": f"count_if(`{column}` < 0)"})
         check = none_of(f"no_negative_{column}", f"Negative {column}", "below")
         return self.add(as_checks(self.name, below, [check]))
 

@@ -9,11 +9,9 @@ from __future__ import annotations
 from datetime import date
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from promolens.config import Settings
-from promolens.functions.dates import key_from_date
 from promolens.operators.discounts import add_discount_columns
 from promolens.operators.enrich import enrich_scan
 from promolens.operators.loyalty import process_loyalty_data
@@ -33,7 +31,102 @@ SETTINGS = Settings(
 # Rules for showing brand standardisation; the stages that compare brands use none.
 BRAND_RULES = (("Brand#1", "red widget", "Brand#1 Red"), ("Brand#1", "small ring", "Brand#1 Small"))
 
-PROMO_DISCOUNT = 0.08
+
+def _key(day: str) -> str:
+    return f"year({day}) * 10000 + month({day}) * 100 + day({day})"
+
+
+# The amounts have two decimals at most, so these casts are exact.
+PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
+DISCOUNT = "CAST(l_discount AS DECIMAL(4,2))"
+TAX = "CAST(l_tax AS DECIMAL(4,2))"
+
+
+def _amount(value: str, name: str) -> str:
+    return f"CAST({value} AS DECIMAL(18,4)) AS {name}"
+
+
+SCAN = (
+    "l_suppkey AS OutletKey",
+    "l_partkey AS ProductKey",
+    f"{_key('l_shipdate')} AS DateKey",
+    "try_divide(l_extendedprice, l_quantity) AS MetricPrice",
+    "CAST(l_quantity AS DECIMAL(18,2)) AS MetricVolume",
+    f"CAST({PRICE} AS DECIMAL(18,2)) AS MetricValue",
+    """CASE o_custkey % 10 WHEN 0 THEN '' WHEN 1 THEN '0' WHEN 2 THEN NULL
+       ELSE CAST(o_custkey AS STRING) END AS LoyaltyNumber""",
+    "CAST(l_returnflag = 'R' AS INT) AS PromotionFlag",
+    "CASE WHEN l_linestatus <> 'F' THEN o_orderpriority END AS AccountPromotionName",
+    "CAST(l_orderkey AS STRING) AS TransactionID",
+    _amount(f"CASE WHEN l_linenumber <= 2 THEN {PRICE} * {DISCOUNT} ELSE 0 END", "ManufacturerDiscountValue"),
+    _amount(f"CASE l_linenumber % 3 WHEN 1 THEN 0 WHEN 2 THEN {TAX} END", "ManufacturerMultipackAmount"),
+    _amount(TAX, "OutletMultipackDiscountAmount"),
+    _amount(f"{PRICE} * {TAX}", "OutletMultipackValue"),
+    _amount(f"{PRICE} * {DISCOUNT}", "ManufacturerMultipackValue"),
+    _amount(f"CASE WHEN l_returnflag = 'R' THEN {PRICE} * {TAX} ELSE 0 END", "CouponDiscountValue"),
+)
+
+OUTLET = (
+    "s_suppkey AS OutletKey",
+    "lpad(CAST(s_suppkey AS STRING), 6, '0') AS OutletIdentifier",
+    "n_name AS State",
+    "CASE WHEN s_suppkey % 10 <> 9 THEN r_name END AS SubmitterName",
+    "s_nationkey AS ChainId",
+    "n_name AS ChainName",
+    "CASE WHEN s_suppkey % 10 = 8 THEN 'I' ELSE 'A' END AS ActiveFlag",
+    "'POS' AS SourceSystem",
+)
+
+PRODUCT = (
+    "p_partkey AS ProductKey",
+    "p_type AS Manufacturer",
+    "CAST(p_size AS STRING) AS PackSize",
+    "p_name AS Brand",
+    "concat(p_brand, '-', p_type) AS BrandVariant",
+    "'PLAIN' AS Flavour",
+    "'GENERAL' AS ProductGroup",
+    "'EACH' AS UnitOfMeasure",
+    "1D AS ServingUnitFactor",
+    "1D AS PurchaseUnitFactor",
+    "CASE WHEN p_type <> 'ECONOMY' THEN 'CORE' ELSE 'OTHER' END AS Category",
+    "'BRAND' AS TarLevelName",
+    "'N' AS IscompanyFlag",
+    "'A' AS ActiveFlag",
+    "'MAIN' AS EVPSegmentName",
+    "p_brand AS ReportingBrandName",
+    "'POS' AS SourceSystem",
+)
+
+RATE = (
+    "l_partkey AS ProductKey",
+    "l_suppkey AS OutletKey",
+    f"{_key('l_shipdate')} AS DateKey",
+    f"{_key('l_shipdate')} AS PromotionRateStartDateKey",
+    f"{_key('date_add(l_shipdate, 7 * l_linenumber)')} AS PromotionRateEndDateKey",
+    f"{DISCOUNT} AS DiscountLevel",
+    "year(l_shipdate) AS year",
+    "CASE WHEN month(l_shipdate) <= 6 THEN 1 ELSE 2 END AS half",
+)
+
+# Attributes of the promotion of a half-year.
+PROMOTION = (
+    "concat('PROMO-', year, 'H', half) AS PromotionName",
+    "'Save now' AS PromotionSlogan",
+    "'PRICE' AS PromotionType",
+    "CASE WHEN (year * 10 + half) % 2 = 0 THEN 'multipack' ELSE 'buydown' END AS PromotionCategory",
+    "'standard' AS PromotionSubCategory",
+    "year * 10000 + CASE half WHEN 1 THEN 101 ELSE 701 END AS PromotionStartDateKey",
+    "year * 10000 + CASE half WHEN 1 THEN 630 ELSE 1231 END AS PromotionEndDateKey",
+    "CASE WHEN year = 2001 AND half = 2 THEN 'I' ELSE 'A' END AS ActiveFlag",
+    "CASE year % 3 WHEN 0 THEN 'Committed' WHEN 1 THEN 'Closed' ELSE 'Draft' END AS PromotionStatus",
+    "'CORE' AS TargetProductCategory",
+    "'ALL' AS TargetGeography",
+    "'ALL' AS TargetSegmentation",
+)
+LEAST_DISCOUNT = "CAST(0.08 AS DECIMAL(4,2))"
+
+# Every row twice active and once inactive.
+COPIES = ("'POS' AS SourceSystem", "explode(array('A', 'A', 'I')) AS ActiveFlag")
 
 
 def sample_catalog(spark: SparkSession, folder: str) -> Catalog:
@@ -42,132 +135,64 @@ def sample_catalog(spark: SparkSession, folder: str) -> Catalog:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
     def scan(_: SparkSession) -> DataFrame:
-        line, promoted = F.col("l_linenumber"), F.col("l_returnflag") == "R"
-        customer = F.col("o_custkey") % 10
-        card = (
-            F.when(customer == 0, F.lit(""))
-            .when(customer == 1, F.lit("0"))
-            .when(customer != 2, F.col("o_custkey").cast("string"))
-        )
-        orders = read("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-        lines = _money(read("lineitem")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        return lines.select(
-            F.col("l_suppkey").alias("OutletKey"),
-            F.col("l_partkey").alias("ProductKey"),
-            key_from_date(F.col("l_shipdate")).alias("DateKey"),
-            F.try_divide("l_extendedprice", "l_quantity").alias("MetricPrice"),
-            F.col("l_quantity").cast("decimal(18,2)").alias("MetricVolume"),
-            F.col("price").cast("decimal(18,2)").alias("MetricValue"),
-            card.alias("LoyaltyNumber"),
-            promoted.cast("int").alias("PromotionFlag"),
-            F.when(F.col("l_linestatus") != "F", F.col("o_orderpriority")).alias("AccountPromotionName"),
-            F.col("l_orderkey").cast("string").alias("TransactionID"),
-            _amount(F.when(line <= 2, F.col("price") * F.col("disc")).otherwise(0)).alias("ManufacturerDiscountValue"),
-            _amount(F.when(line % 3 == 1, F.lit(0)).when(line % 3 == 2, F.col("tax"))).alias("ManufacturerMultipackAmount"),
-            _amount(F.col("tax")).alias("OutletMultipackDiscountAmount"),
-            _amount(F.col("price") * F.col("tax")).alias("OutletMultipackValue"),
-            _amount(F.col("price") * F.col("disc")).alias("ManufacturerMultipackValue"),
-            _amount(F.when(promoted, F.col("price") * F.col("tax")).otherwise(0)).alias("CouponDiscountValue"),
-        )
+        orders = read("orders").withColumnRenamed("o_orderkey", "l_orderkey")
+        return read("lineitem").join(orders, "l_orderkey").selectExpr(*SCAN)
 
+    @cache
     def outlet(_: SparkSession) -> DataFrame:
-        nations = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        outlets = read("supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        kind = F.col("s_suppkey") % 10
-        return outlets.select(
-            F.col("s_suppkey").alias("OutletKey"),
-            F.lpad(F.col("s_suppkey").cast("string"), 6, "0").alias("OutletIdentifier"),
-            F.col("n_name").alias("State"),
-            F.when(kind != 9, F.col("r_name")).alias("SubmitterName"),
-            F.col("s_nationkey").alias("ChainId"),
-            F.col("n_name").alias("ChainName"),
-            F.when(kind == 8, "I").otherwise("A").alias("ActiveFlag"),
-            F.lit("POS").alias("SourceSystem"),
-        )
+        regions = read("region").withColumnRenamed("r_regionkey", "n_regionkey")
+        nations = read("nation").join(regions, "n_regionkey").withColumnRenamed("n_nationkey", "s_nationkey")
+        return read("supplier").join(nations, "s_nationkey").selectExpr(*OUTLET)
 
     def product(_: SparkSession) -> DataFrame:
-        return read("part").select(
-            F.col("p_partkey").alias("ProductKey"),
-            F.col("p_type").alias("Manufacturer"),
-            F.col("p_size").cast("string").alias("PackSize"),
-            F.col("p_name").alias("Brand"),
-            F.concat_ws("-", "p_brand", "p_type").alias("BrandVariant"),
-            F.lit("PLAIN").alias("Flavour"),
-            F.lit("GENERAL").alias("ProductGroup"),
-            F.lit("EACH").alias("UnitOfMeasure"),
-            F.lit(1.0).alias("ServingUnitFactor"),
-            F.lit(1.0).alias("PurchaseUnitFactor"),
-            F.when(F.col("p_type") != "ECONOMY", "CORE").otherwise("OTHER").alias("Category"),
-            F.lit("BRAND").alias("TarLevelName"),
-            F.lit("N").alias("IscompanyFlag"),
-            F.lit("A").alias("ActiveFlag"),
-            F.lit("MAIN").alias("EVPSegmentName"),
-            F.col("p_brand").alias("ReportingBrandName"),
-            F.lit("POS").alias("SourceSystem"),
-        )
+        return read("part").selectExpr(*PRODUCT)
 
     def calendar(_: SparkSession) -> DataFrame:
-        days = read("lineitem").select(F.to_date("l_shipdate").alias("day")).distinct()
-        monday = F.trunc("day", "week")
-        return days.select(
-            key_from_date(F.col("day")).alias("DateKey"),
-            monday.alias("WeekStartDate"),
-            F.date_add(monday, 6).alias("WeekEndDate"),
-            F.year("day").alias("CalendarYearNumber"),
-            (F.year("day") * 100 + F.month("day")).alias("CalendarYearMonthNumber"),
+        days = read("lineitem").selectExpr("CAST(l_shipdate AS DATE) AS day").distinct()
+        return days.selectExpr(
+            f"{_key('day')} AS DateKey",
+            "trunc(day, 'week') AS WeekStartDate",
+            "date_add(trunc(day, 'week'), 6) AS WeekEndDate",
+            "year(day) AS CalendarYearNumber",
+            "year(day) * 100 + month(day) AS CalendarYearMonthNumber",
         )
 
-    def copied(df: DataFrame) -> DataFrame:
-        """Every row twice active and once inactive."""
-        flags = F.array(*map(F.lit, ("A", "A", "I")))
-        return df.select("*", F.lit("POS").alias("SourceSystem"), F.explode(flags).alias("ActiveFlag"))
-
     def outlet_reference(_: SparkSession) -> DataFrame:
-        return copied(outlet(spark).select("OutletKey", "OutletIdentifier", "State"))
+        return outlet(spark).selectExpr("OutletKey", "OutletIdentifier", "State", *COPIES)
 
     def product_reference(_: SparkSession) -> DataFrame:
-        brands = read("part").select(
-            F.col("p_partkey").alias("ProductKey"),
-            F.col("p_brand").alias("ReportingBrandName"),
-            F.concat(F.lit("X"), "p_brand").alias("ExternalBrandCode"),
-            F.col("p_brand").alias("BrandVariant"),
+        return read("part").selectExpr(
+            "p_partkey AS ProductKey",
+            "p_brand AS ReportingBrandName",
+            "concat('X', p_brand) AS ExternalBrandCode",
+            "p_brand AS BrandVariant",
+            *COPIES,
         )
-        return copied(brands)
 
-    def single_promo(_: SparkSession) -> DataFrame:
-        lines = _money(read("lineitem")).filter(F.col("disc") >= F.lit(PROMO_DISCOUNT).cast("decimal(4,2)"))
+    @cache
+    def rates() -> DataFrame:
+        """Well discounted lines of active outlets and the category's products."""
+        lines = read("lineitem").filter(f"{DISCOUNT} >= {LEAST_DISCOUNT}").selectExpr(*RATE)
         outlets = outlet(spark).filter("ActiveFlag = 'A'").select("OutletKey", "OutletIdentifier")
-        products = product(spark).filter("Category = 'CORE'").select("ProductKey", "BrandVariant", "ReportingBrandName")
-        day = F.to_date("l_shipdate")
-        rates = lines.select(
-            F.col("l_partkey").alias("ProductKey"),
-            F.col("l_suppkey").alias("OutletKey"),
-            key_from_date(day).alias("DateKey"),
-            key_from_date(day).alias("PromotionRateStartDateKey"),
-            key_from_date(F.date_add(day, F.col("l_linenumber") * 7)).alias("PromotionRateEndDateKey"),
-            F.col("disc").alias("DiscountLevel"),
-            F.year(day).alias("year"),
-            F.when(F.month(day) <= 6, 1).otherwise(2).alias("half"),
-        )
-        rates = rates.join(products, "ProductKey").join(outlets, "OutletKey")
-        return rates.withColumns(_promotion()).withColumnRenamed("BrandVariant", "Promo_BrandVariant")
+        products = product(spark).filter("Category = 'CORE'")
+        variants = products.selectExpr("ProductKey", "BrandVariant AS Promo_BrandVariant", "ReportingBrandName")
+        return lines.join(variants, "ProductKey").join(outlets, "OutletKey")
+
+    def single_promo(_: SparkSession) -> DataFrame:
+        return rates().selectExpr("*", *PROMOTION)
 
     def promo_master(_: SparkSession) -> DataFrame:
-        halves = single_promo(spark).select("year", "half").distinct()
-        return halves.withColumns({**_promotion(), "DiscountLevel": F.lit(PROMO_DISCOUNT).cast("decimal(4,2)")})
+        halves = rates().select("year", "half").distinct()
+        return halves.selectExpr(f"{LEAST_DISCOUNT} AS DiscountLevel", *PROMOTION)
 
     def promo_hierarchy(_: SparkSession) -> DataFrame:
-        number = F.col("year").cast("long") * 10 + F.col("half")
-        return (
-            single_promo(spark)
-            .select("DateKey", "OutletKey", number.alias("PromotionKey"))
-            .distinct()
-            .select(
-                "*",
-                F.when(F.col("PromotionKey") % 2 == 0, "multipack").otherwise("buydown").alias("PromotionCategory"),
-                F.lit("standard").alias("PromotionSubCategory"),
-                F.lit(PROMO_DISCOUNT).cast("decimal(4,2)").alias("DiscountLevel"),
-            )
+        number = "CAST(year * 10 + half AS BIGINT) AS PromotionKey"
+        assigned = rates().selectExpr("DateKey", "OutletKey", number).distinct()
+        return assigned.selectExpr(
+            "*",
+            "CASE WHEN PromotionKey % 2 = 0 THEN 'multipack' ELSE 'buydown' END AS PromotionCategory",
+            "'standard' AS PromotionSubCategory",
+            f"{LEAST_DISCOUNT} AS DiscountLevel",
         )
 
     def loyalty_scan(_: SparkSession) -> DataFrame:
@@ -194,39 +219,3 @@ def sample_catalog(spark: SparkSession, folder: str) -> Catalog:
         },
     )
     return catalog
-
-
-def _money(lines: DataFrame) -> DataFrame:
-    """Exact decimals: the amounts have two decimals at most."""
-    return lines.withColumns(
-        {
-            "price": F.col("l_extendedprice").cast("decimal(12,2)"),
-            "disc": F.col("l_discount").cast("decimal(4,2)"),
-            "tax": F.col("l_tax").cast("decimal(4,2)"),
-        }
-    )
-
-
-def _amount(value: Column) -> Column:
-    return value.cast("decimal(18,4)")
-
-
-def _promotion() -> dict[str, Column]:
-    """Attributes of a half-year's promotion, from its ``year`` and ``half``."""
-    year, half = F.col("year"), F.col("half")
-    first_half = half == 1
-    even = (year * 10 + half) % 2 == 0
-    return {
-        "PromotionName": F.concat(F.lit("PROMO-"), year.cast("string"), F.lit("H"), half.cast("string")),
-        "PromotionSlogan": F.lit("Save now"),
-        "PromotionType": F.lit("PRICE"),
-        "PromotionCategory": F.when(even, "multipack").otherwise("buydown"),
-        "PromotionSubCategory": F.lit("standard"),
-        "PromotionStartDateKey": year * 10000 + F.when(first_half, 101).otherwise(701),
-        "PromotionEndDateKey": year * 10000 + F.when(first_half, 630).otherwise(1231),
-        "ActiveFlag": F.when((year == 2001) & (half == 2), "I").otherwise("A"),
-        "PromotionStatus": F.when(year % 3 == 0, "Committed").when(year % 3 == 1, "Closed").otherwise("Draft"),
-        "TargetProductCategory": F.lit("CORE"),
-        "TargetGeography": F.lit("ALL"),
-        "TargetSegmentation": F.lit("ALL"),
-    }
