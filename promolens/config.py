@@ -22,7 +22,8 @@ class Settings:
     ``as_of`` plays the part of "today"; left ``None`` it is the session's current date.
     ``unmatched`` says what overlap flag a promotion gets that has no other promotion at
     its outlet and brand: ``"zero"`` (no overlap) or ``"null"`` (unknown, so neither
-    window is accepted).
+    window is accepted). Dimensions and promotion spans are broadcast if a count finds at
+    most ``broadcast_rows`` rows.
     """
 
     source_system: str = "your_source_system"
@@ -36,6 +37,7 @@ class Settings:
     unmatched: str = "zero"
     brand_rules: tuple[tuple[str, str, str], ...] = DEFAULT_BRAND_RULES
     metrics_table: str = "your_schema.promo_metrics"
+    broadcast_rows: int = 1_000_000
 
     def __post_init__(self) -> None:
         if self.unmatched not in ("zero", "null"):

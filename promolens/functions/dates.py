@@ -15,20 +15,6 @@ def key_from_date(day: Column) -> Column:
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
 
 
-def is_calendar_key(key: str) -> Column:
-    """Whether the key in this column names a calendar day.
-
-    For fact rows, where parsing a date per row would dominate: all but the last days of a
-    month are told by arithmetic, and only those are parsed.
-    """
-    return F.expr(
-        f"""{key} BETWEEN 10000101 AND 99991231
-            AND {key} % 10000 BETWEEN 100 AND 1299
-            AND ({key} % 100 BETWEEN 1 AND 28
-                 OR {key} % 100 > 28 AND try_to_date(CAST({key} AS STRING), 'yyyyMMdd') IS NOT NULL)"""
-    )
-
-
 def inclusive_days(start: str, end: str) -> Column:
     return F.datediff(end, start) + 1
 
@@ -39,19 +25,16 @@ def whole_weeks(start: str, end: str) -> Column:
 
 
 def month_of_key(key: Column, first: Column, last: Column) -> Column:
-    """The month yyyyMM of a date key, keys outside ``first..last`` moved to its ends.
+    """Running number of a date key's month, keys outside ``first..last`` moved to its ends.
 
     Monotone in the key: whenever ``a <= t <= b``, the month of ``t`` lies between those of
     ``a`` and ``b``. A join on it therefore loses no match, whatever range is given.
     """
-    return F.floor(F.least(F.greatest(key, first), last) / 100).cast("int")
-
-
-def months_between(start: Column, end: Column, first: Column, last: Column) -> Column:
-    """All months yyyyMM from one date to another, both moved into ``first..last`` as above."""
+    year_month = F.floor(F.least(F.greatest(key, first), last) / 100)
+    return (F.floor(year_month / 100) * 12 + year_month % 100).cast("int")
 
-    def month(day: Column) -> Column:
-        return F.trunc(F.least(F.greatest(day, first), last), "month")
 
-    months = F.sequence(month(start), month(end), F.expr("INTERVAL 1 MONTH"))
-    return F.transform(months, lambda m: F.year(m) * 100 + F.month(m))
+def month_of_date(day: Column, first: Column, last: Column) -> Column:
+    """The same number for a date, with the same bounds as dates."""
+    inside = F.least(F.greatest(day, first), last)
+    return F.year(inside) * 12 + F.month(inside)

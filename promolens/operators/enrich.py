@@ -1,8 +1,4 @@
-"""Joins that bring dimensions to the scan lines and promotions to the loyalty lines.
-
-No join here is given a broadcast hint: Spark broadcasts a dimension whose size is below its
-threshold and shuffles a larger one, where adaptive execution splits skewed partitions.
-"""
+"""Joins that bring dimensions to the scan lines and promotions to the loyalty lines."""
 
 from __future__ import annotations
 
@@ -11,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from promolens.operators.sizes import broadcast_if_small
+
 SALE_KEYS = ("ProductKey", "OutletKey", "DateKey")
 
 
@@ -19,18 +17,20 @@ def enrich_scan(
     product: DataFrame,
     outlet: DataFrame | None = None,
     date: DataFrame | None = None,
+    broadcast_rows: int = 0,
 ) -> DataFrame:
     """Scan lines of the analysed products with the columns of the dimensions given.
 
     Products are matched inner, which limits the lines to the category; outlets and dates
     left. Leave out a dimension whose columns are not used: a left join stays in the plan
-    even if nothing is read from it.
+    even if nothing is read from it. With ``broadcast_rows``, each dimension is counted and
+    broadcast if it has no more rows, which spares the scan lines a shuffle.
     """
-    df = scan.join(product, "ProductKey")
+    df = scan.join(broadcast_if_small(product, broadcast_rows), "ProductKey")
     if outlet is not None:
-        df = df.join(outlet, "OutletKey", "left")
+        df = df.join(broadcast_if_small(outlet, broadcast_rows), "OutletKey", "left")
     if date is not None:
-        df = df.join(date, "DateKey", "left")
+        df = df.join(broadcast_if_small(date, broadcast_rows), "DateKey", "left")
     return df
 
 

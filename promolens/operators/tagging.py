@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from promolens.config import Settings
 from promolens.functions.dates import (
     date_from_key,
-    is_calendar_key,
     key_from_date,
+    month_of_date,
     month_of_key,
-    months_between,
 )
+from promolens.operators.sizes import broadcast_if_small
 from promolens.schemas import (
     AFTER,
     BEFORE,
@@ -78,6 +78,14 @@ def period_spans(windows: DataFrame, periods: Sequence[str] = PERIODS) -> DataFr
     return windows.select(*PROMO_KEYS, F.inline(spans))
 
 
+# Keys are compared first, which is cheap. The date is only made of those that match, to
+# leave out a key that names no day.
+INSIDE = """
+    sale_key BETWEEN first_key AND last_key
+    AND try_to_date(CAST(sale_key AS STRING), 'yyyyMMdd') BETWEEN span_start AND span_end
+"""
+
+
 def by_month(
     loyalty: DataFrame, spans: DataFrame, settings: Settings, date_col: str
 ) -> tuple[DataFrame, DataFrame]:
@@ -86,19 +94,18 @@ def by_month(
     A transaction is in one month; a span is repeated for each month it touches. Days
     outside the analysed range share its outermost months, so even a promotion without a
     real end date is repeated no more often than that range has months. The dates of the
-    spans become keys, not the keys of the transactions dates: there are far fewer spans.
+    spans are turned into keys, not the other way round: there are far fewer spans.
     """
     first, last = settings.first_day, settings.today
-    bounds = key_from_date(first), key_from_date(last)
+    month = month_of_key(F.col(date_col), key_from_date(first), key_from_date(last))
+    edges = (month_of_date(F.col(edge), first, last) for edge in ("span_start", "span_end"))
     return (
-        loyalty.filter(is_calendar_key(date_col)).withColumns(
-            {"month": month_of_key(F.col(date_col), *bounds)}
-        ),
+        loyalty.withColumns({"month": month}).withColumnRenamed(date_col, "sale_key"),
         spans.select(
             "*",
             key_from_date(F.col("span_start")).alias("first_key"),
             key_from_date(F.col("span_end")).alias("last_key"),
-            F.explode(months_between(F.col("span_start"), F.col("span_end"), first, last)).alias("month"),
+            F.explode(F.sequence(*edges)).alias("month"),
         ),
     )
 
@@ -118,17 +125,13 @@ def tag_transactions(
     season, and an outlet and brand with very many transactions is spread over its months;
     what is still too large for one task, adaptive execution splits.
 
-    With ``broadcast_rows`` the spans are counted first (a job, stopping at that number) and
-    broadcast if there are no more than that many; otherwise Spark chooses by size.
+    With ``broadcast_rows`` the spans are counted first and broadcast if there are no more
+    than that many. Ask for it only where the windows are a stored table.
     """
-    sales = loyalty.select(
-        *PLACE_KEYS, F.col(date_col).alias("sale_key"), "LoyaltyCode", "MetricVolume", "MetricValue"
-    )
-    sales, spans = by_month(sales, period_spans(windows, periods), settings, "sale_key")
-    if broadcast_rows and spans.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        spans = F.broadcast(spans)
-    matched = sales.join(spans, [*PLACE_KEYS, "month"]).filter("sale_key BETWEEN first_key AND last_key")
-    return matched.select(*TAGGED_COLUMNS)
+    sales = loyalty.select(*PLACE_KEYS, date_col, "LoyaltyCode", "MetricVolume", "MetricValue")
+    sales, spans = by_month(sales, period_spans(windows, periods), settings, date_col)
+    spans = broadcast_if_small(spans, broadcast_rows)
+    return sales.join(spans, [*PLACE_KEYS, "month"]).filter(INSIDE).select(*TAGGED_COLUMNS)
 
 
 def tag_during_transactions(loyalty: DataFrame, windows: DataFrame, settings: Settings, **options) -> DataFrame:

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 
 from promolens.config import Settings
 from promolens.operators import reports
+from promolens.operators.metrics import add_derived_metrics, widen_rollup
 from promolens.plans.stages import Stages
 from promolens.quality.layers import check_source_coverage
 from promolens.quality.report import QualityReport, check_frames, evaluate, save_audit
 from promolens.quality.validators import validate_metrics
 from promolens.sources.catalog import Catalog
-from promolens.sources.sink import save_metrics, stage_folder
+from promolens.sources.sink import save_metrics, stage
 
 
 @dataclass(frozen=True)
@@ -38,37 +39,11 @@ def run(
     """Compute the metrics of every promotion, check them, and save them if a table is named.
 
     The scan is read for tagging, and with checks once more each for the lines and for the
-    loyalty lines; all else is read from the staged results.
+    loyalty lines; all else is read from stored results.
     """
     stages = Stages(catalog, settings, promo_input)
-    stages.materialise(stage_folder(catalog.spark))
-
-    checks: dict[str, QualityReport]
-    summaries: dict[str, DataFrame]
-
-
-def run(
-    catalog: Catalog,
-    settings: Settings,
-    promo_input: str = "single_promo",
-    table_name: str | None = None,
-    audit_table: str | None = None,
-    check: bool = True,
-    raise_on_failure: bool = True,
-) -> Analysis:
-    """Compute the metrics of every promotion, check them, and save them if a table is named.
-
-    Three results are written to the shared folder and read back, since several later steps
-    use each: the promotion windows, the customer rollup and the wide metrics. The tagged
-    transactions are not kept; whatever is asked about them the rollup answers. The scan is
-    read for tagging, and with checks once more each for the lines and for the loyalty lines.
-    """
-    stages = Stages(catalog, settings, promo_input)
-    folder = stage_folder(catalog.spark)
-    stages.promos = stage(stages.promos, folder, "promos")
-    stages.windows = stage(stages.windows, folder, "windows")
-    stages.rollup = stage(stages.rollup, folder, "rollup")
-    stages.metrics = stage(stages.metrics, folder, "metrics")
+    promos, windows, rollup = (stages.kept(name) for name in ("promos", "windows", "rollup"))
+    metrics = stage(add_derived_metrics(widen_rollup(rollup)), stages.folder, "metrics")
 
     checks: dict[str, QualityReport] = {}
     if check:
@@ -79,13 +54,13 @@ def run(
             stages.table("promo_master"),
             stages.loyalty_all,
             stages.loyalty_valid,
-            stages.promos,
-            stages.windows,
-            stages.rollup,
-            stages.metrics,
+            promos,
+            windows,
+            rollup,
+            metrics,
             settings,
         )
-        frames["coverage"] = check_source_coverage(stages.loyalty_valid, stages.windows, settings)
+        frames["coverage"] = check_source_coverage(stages.loyalty_valid, windows, settings)
         checks = evaluate(frames, raise_on_failure=False)
         if audit_table is not None:
             for report in checks.values():
@@ -94,14 +69,14 @@ def run(
             for report in checks.values():
                 report.raise_if_failed()
     if table_name is not None:
-        save_metrics(validate_metrics(stages.metrics), table_name)
+        save_metrics(validate_metrics(metrics), table_name)
     summaries = {
         "discounts": reports.discount_summary(stages.scan),
         "loyalty": reports.loyalty_summary(stages.loyalty_all),
-        "promo_windows": reports.promo_windows_summary(stages.promos),
-        "overlaps": reports.overlap_summary(stages.windows),
-        "tagging": reports.tagging_summary(stages.rollup),
-        "metrics": reports.metrics_summary(stages.metrics),
-        "top_brands": reports.top_brands(stages.metrics),
+        "promo_windows": reports.promo_windows_summary(promos),
+        "overlaps": reports.overlap_summary(windows),
+        "tagging": reports.tagging_summary(rollup),
+        "metrics": reports.metrics_summary(metrics),
+        "top_brands": reports.top_brands(metrics),
     }
-    return Analysis(stages.metrics, stages.windows, checks, summaries)
+    return Analysis(metrics, windows, checks, summaries)

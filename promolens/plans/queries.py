@@ -48,7 +48,7 @@ from promolens.quality.report import check_frames
 from promolens.schemas import AFTER, BEFORE, DURING, PROMO_KEYS
 from promolens.sources.loaders import VIEWS
 from promolens.sources.sample import BRAND_RULES, SETTINGS, sample_catalog
-from promolens.sources.sink import save_metrics, stage, stage_folder
+from promolens.sources.sink import save_metrics, stage
 
 LINE = ("OutletKey", "ProductKey", "DateKey", "TransactionID")
 
@@ -60,7 +60,8 @@ def _tables(view: str) -> StageQuery:
 
 
 def _with_calendar(s: Stages) -> DataFrame:
-    lines = enrich_scan(s.table("scan"), s.table("product"), s.table("outlet"), s.table("date"))
+    dimensions = (s.table(name) for name in ("product", "outlet", "date"))
+    lines = enrich_scan(s.table("scan"), *dimensions, broadcast_rows=s.settings.broadcast_rows)
     return lines.select(
         *LINE, "MetricVolume", "MetricValue", "Brand", "BrandVariant", "ReportingBrandName",
         "Category", "OutletIdentifier", "State", "SubmitterName", "ChainId", "WeekStartDate",
@@ -96,22 +97,23 @@ def _loyalty_code(s: Stages) -> DataFrame:
 
 def _null_mode(s: Stages) -> DataFrame:
     settings = Settings(**{**vars(s.settings), "unmatched": "null"})
-    return detect_overlaps(s.promos, settings)
+    return detect_overlaps(s.kept("promos"), settings)
 
 
 def _overlap_flags(s: Stages) -> DataFrame:
-    return add_overlap_flags(s.promos).select(*PROMO_KEYS, "before_overlap", "after_overlap")
+    return add_overlap_flags(s.kept("promos")).select(*PROMO_KEYS, "before_overlap", "after_overlap")
 
 
 def _window_tables(s: Stages) -> DataFrame:
+    marked = s.kept("windows")
     windows = {
-        DURING: get_during_windows(s.windows).withColumns(
+        DURING: get_during_windows(marked).withColumns(
             {"window_start": F.col(PROMO_KEYS[3]), "window_end": F.col(PROMO_KEYS[4])}
         ),
-        BEFORE: get_before_windows(s.windows).withColumnsRenamed(
+        BEFORE: get_before_windows(marked).withColumnsRenamed(
             {"before_window_start": "window_start", "before_window_end": "window_end"}
         ),
-        AFTER: get_after_windows(s.windows).withColumnsRenamed(
+        AFTER: get_after_windows(marked).withColumnsRenamed(
             {"after_window_start": "window_start", "after_window_end": "window_end"}
         ),
     }
@@ -119,16 +121,21 @@ def _window_tables(s: Stages) -> DataFrame:
     return reduce(DataFrame.unionByName, labelled)
 
 
+def _tag(tagger: Callable[..., DataFrame]) -> StageQuery:
+    return lambda s: tagger(
+        s.loyalty_valid, s.kept("windows"), s.settings, broadcast_rows=s.settings.broadcast_rows
+    )
+
+
 def _tagged_apart(s: Stages) -> DataFrame:
     taggers = (tag_during_transactions, tag_before_transactions, tag_after_transactions)
-    return union_all_periods(*(tag(s.loyalty_valid, s.windows, s.settings) for tag in taggers))
+    return union_all_periods(*(_tag(tagger)(s) for tagger in taggers))
 
 
 def _sink_roundtrip(s: Stages) -> DataFrame:
     """Saved without, then again with the derived columns, which the table must take up."""
-    spark = s.catalog.spark
-    folder = stage_folder(spark)
-    wide = stage(widen_rollup(s.rollup), folder, "wide")
+    spark, folder = s.catalog.spark, s.folder
+    wide = stage(widen_rollup(s.rollup), s.folder, "wide")
     table = "promo_metrics_" + folder.rsplit("-", 1)[1]
     save_metrics(wide, table, f"{folder}/table")
     save_metrics(add_derived_metrics(wide), table)
@@ -144,18 +151,23 @@ def _source_checks(s: Stages) -> DataFrame:
     return layers.check_source_data(*tables, s.settings)
 
 
+def _reconciliation(s: Stages) -> DataFrame:
+    rollup = s.kept("rollup")
+    return layers.check_reconciliation(rollup, widen_rollup(rollup))
+
+
 def _quality_all(s: Stages) -> DataFrame:
-    """All layers over staged results, the way a full run checks them."""
-    s.materialise(stage_folder(s.catalog.spark))
+    """All layers over stored results, the way a full run checks them."""
+    rollup = s.kept("rollup")
     frames = check_frames(
         s.scan,
         *(s.table(name) for name in ("outlet", "product", "promo_master")),
         s.loyalty_all,
         s.loyalty_valid,
-        s.promos,
-        s.windows,
-        s.rollup,
-        s.metrics,
+        s.kept("promos"),
+        s.kept("windows"),
+        rollup,
+        add_derived_metrics(widen_rollup(rollup)),
         s.settings,
     )
     rows = reduce(DataFrame.unionByName, frames.values())
@@ -188,27 +200,27 @@ QUERIES: dict[str, StageQuery] = {
     "detect_overlaps": lambda s: s.windows,
     "detect_overlaps_null_mode": _null_mode,
     "window_tables": _window_tables,
-    "tag_during": lambda s: tag_during_transactions(s.loyalty_valid, s.windows, s.settings),
-    "tag_before": lambda s: tag_before_transactions(s.loyalty_valid, s.windows, s.settings),
-    "tag_after": lambda s: tag_after_transactions(s.loyalty_valid, s.windows, s.settings),
+    "tag_during": _tag(tag_during_transactions),
+    "tag_before": _tag(tag_before_transactions),
+    "tag_after": _tag(tag_after_transactions),
     "tag_transactions": lambda s: s.tagged,
     "union_all_periods": _tagged_apart,
     "metrics_long": lambda s: aggregate_by_period(s.tagged),
     "metrics_pivot": lambda s: pivot_to_wide_format(aggregate_by_period(s.tagged)),
     "metrics_wide": lambda s: widen_rollup(s.rollup),
     "metrics_derived": lambda s: s.metrics,
-    "metrics_all_promos": lambda s: keep_all_promos(s.metrics, s.windows),
+    "metrics_all_promos": lambda s: keep_all_promos(s.metrics, s.kept("windows")),
     "metrics_sink_roundtrip": _sink_roundtrip,
     "quality_source": _checks(_source_checks),
     "quality_discounts": _checks(lambda s: layers.check_discount_flags(s.scan)),
     "quality_loyalty": _checks(lambda s: layers.check_loyalty_derivation(s.loyalty_all, s.loyalty_valid)),
     "quality_windows": _checks(lambda s: layers.check_promo_windows(s.promos)),
-    "quality_overlap": _checks(lambda s: layers.check_overlap_detection(s.promos, s.windows)),
+    "quality_overlap": _checks(lambda s: layers.check_overlap_detection(s.kept("promos"), s.kept("windows"))),
     "quality_tagging": _checks(lambda s: layers.check_tagged_transactions(s.tagged)),
     "quality_output": _checks(lambda s: layers.check_final_metrics(s.metrics)),
-    "quality_reconciliation": _checks(lambda s: layers.check_reconciliation(s.rollup, s.metrics)),
+    "quality_reconciliation": _checks(_reconciliation),
     "quality_coverage": _checks(
-        lambda s: layers.check_source_coverage(s.loyalty_valid, s.windows, s.settings)
+        lambda s: layers.check_source_coverage(s.loyalty_valid, s.kept("windows"), s.settings)
     ),
     "quality_all": _quality_all,
     "discount_summary": lambda s: reports.discount_summary(s.scan),

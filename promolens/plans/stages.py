@@ -16,11 +16,12 @@ from promolens.operators.promo_windows import build_promo_windows
 from promolens.operators.tagging import tag_transactions
 from promolens.sources.catalog import Catalog
 from promolens.sources.loaders import load
-from promolens.sources.sink import stage
+from promolens.sources.sink import stage, stage_folder
 
 
 class Stages:
-    """Lazy frames of one analysis; asking for one plans it and nothing else.
+    """Frames of one analysis. All are lazy, but those that a later stage reads more than
+    once are first written to the shared folder and read back (see :meth:`kept`).
 
     ``promo_input`` says which promotions count: ``"single_promo"`` takes all rates,
     ``"joined"`` only those with a loyalty sale of the same product, outlet and day. The
@@ -34,6 +35,21 @@ class Stages:
         self.catalog = catalog
         self.settings = settings
         self.promo_input = promo_input
+        self._kept: dict[str, DataFrame] = {}
+
+    @cached_property
+    def folder(self) -> str:
+        return stage_folder(self.catalog.spark)
+
+    def kept(self, name: str) -> DataFrame:
+        """The stage of that name as a stored table, written when first asked for.
+
+        Overlap detection reads the promotions twice and tagging needs to know how large the
+        windows are. Without this, the promotion rates would be scanned once per use.
+        """
+        if name not in self._kept:
+            self._kept[name] = stage(getattr(self, name), self.folder, name)
+        return self._kept[name]
 
     def table(self, name: str) -> DataFrame:
         return load(self.catalog, name, self.settings)
@@ -46,7 +62,12 @@ class Stages:
     @cached_property
     def enriched(self) -> DataFrame:
         """Scan lines of the category with product and outlet columns."""
-        return enrich_scan(self.scan, self.table("product"), self.table("outlet"))
+        return enrich_scan(
+            self.scan,
+            self.table("product"),
+            self.table("outlet"),
+            broadcast_rows=self.settings.broadcast_rows,
+        )
 
     @cached_property
     def loyalty(self) -> tuple[DataFrame, DataFrame]:
@@ -72,27 +93,26 @@ class Stages:
 
     @cached_property
     def windows(self) -> DataFrame:
-        return detect_overlaps(self.promos, self.settings)
+        return detect_overlaps(self.kept("promos"), self.settings)
 
     @cached_property
     def tagged(self) -> DataFrame:
-        return tag_transactions(self.loyalty_valid, self.windows, self.settings)
+        return tag_transactions(
+            self.loyalty_valid,
+            self.kept("windows"),
+            self.settings,
+            broadcast_rows=self.settings.broadcast_rows,
+        )
 
     @cached_property
     def rollup(self) -> DataFrame:
+        """One row per promotion, period and customer.
+
+        The tagged transactions themselves are never stored: whatever is asked about them,
+        this smaller set answers.
+        """
         return rollup_by_customer(self.tagged)
 
     @cached_property
     def metrics(self) -> DataFrame:
         return add_derived_metrics(widen_rollup(self.rollup))
-
-    def materialise(self, folder: str) -> None:
-        """Write what several later steps use, and carry on from the files.
-
-        These are the promotions, their windows, the customer rollup and the wide metrics.
-        The tagged transactions are not kept: whatever is asked about them the rollup answers.
-        """
-        self.promos = stage(self.promos, folder, "promos")
-        self.windows = stage(self.windows, folder, "windows")
-        self.rollup = stage(self.rollup, folder, "rollup")
-        self.metrics = stage(self.metrics, folder, "metrics")

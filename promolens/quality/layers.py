@@ -7,9 +7,10 @@ the same checks with far fewer rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from promolens.config import Settings
-from promolens.operators.tagging import by_month, period_spans
+from promolens.operators.tagging import INSIDE, by_month, period_spans
 from promolens.quality.core import (
     INFO,
     WARN,
@@ -325,9 +326,8 @@ def check_source_coverage(
 ) -> DataFrame:
     """Share of valid loyalty lines that fall in any period of any promotion. Informational."""
     lines, spans = by_month(valid.select(*PLACE_KEYS, date_col), period_spans(windows), settings, date_col)
-    same_bucket = [lines[k] == spans[k] for k in (*PLACE_KEYS, "month")]
-    inside = lines[date_col].between(spans["first_key"], spans["last_key"])
-    covered = lines.join(spans, [*same_bucket, inside], "left_semi")
+    same_month = [lines[k] == spans[k] for k in (*PLACE_KEYS, "month")]
+    covered = lines.join(spans, [*same_month, F.expr(INSIDE)], "left_semi")
     row = side_by_side(
         measure(valid, {"all_rows": "count(*)"}), measure(covered, {"covered_rows": "count(*)"})
     )

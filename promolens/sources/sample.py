@@ -66,6 +66,7 @@ SCAN = (
     _amount(f"CASE WHEN l_returnflag = 'R' THEN {PRICE} * {TAX} ELSE 0 END", "CouponDiscountValue"),
 )
 
+ACTIVE_OUTLET = "s_suppkey % 10 <> 8"
 OUTLET = (
     "s_suppkey AS OutletKey",
     "lpad(CAST(s_suppkey AS STRING), 6, '0') AS OutletIdentifier",
@@ -73,7 +74,7 @@ OUTLET = (
     "CASE WHEN s_suppkey % 10 <> 9 THEN r_name END AS SubmitterName",
     "s_nationkey AS ChainId",
     "n_name AS ChainName",
-    "CASE WHEN s_suppkey % 10 = 8 THEN 'I' ELSE 'A' END AS ActiveFlag",
+    f"CASE WHEN {ACTIVE_OUTLET} THEN 'A' ELSE 'I' END AS ActiveFlag",
     "'POS' AS SourceSystem",
 )
 
@@ -138,7 +139,6 @@ def sample_catalog(spark: SparkSession, folder: str) -> Catalog:
         orders = read("orders").withColumnRenamed("o_orderkey", "l_orderkey")
         return read("lineitem").join(orders, "l_orderkey").selectExpr(*SCAN)
 
-    @cache
     def outlet(_: SparkSession) -> DataFrame:
         regions = read("region").withColumnRenamed("r_regionkey", "n_regionkey")
         nations = read("nation").join(regions, "n_regionkey").withColumnRenamed("n_nationkey", "s_nationkey")
@@ -173,7 +173,7 @@ def sample_catalog(spark: SparkSession, folder: str) -> Catalog:
     def rates() -> DataFrame:
         """Well discounted lines of active outlets and the category's products."""
         lines = read("lineitem").filter(f"{DISCOUNT} >= {LEAST_DISCOUNT}").selectExpr(*RATE)
-        outlets = outlet(spark).filter("ActiveFlag = 'A'").select("OutletKey", "OutletIdentifier")
+        outlets = read("supplier").filter(ACTIVE_OUTLET).selectExpr(*OUTLET[:2])
         products = product(spark).filter("Category = 'CORE'")
         variants = products.selectExpr("ProductKey", "BrandVariant AS Promo_BrandVariant", "ReportingBrandName")
         return lines.join(variants, "ProductKey").join(outlets, "OutletKey")
