@@ -20,7 +20,7 @@ SPAN_KEYS = (OUTLET, BRAND, START, END)
 
 def neighbouring_spans(promos: DataFrame) -> DataFrame:
     """Per distinct span of an outlet and brand: ``latest_earlier_end`` and
-    ``earliest_later_start`` of the others, and how many promotions the place has.
+    ``earliest_later_start`` of the others, and how many dated promotions the place has.
 
     Promotions with equal dates are folded into one row before anything is sorted. What the
     window sorts is thus limited by the calendar (pairs of days), not by the number of
@@ -39,7 +39,7 @@ def neighbouring_spans(promos: DataFrame) -> DataFrame:
         *(F.col(key).alias(f"span_{key}") for key in SPAN_KEYS),
         F.max(F.when(counted, F.col(END))).over(starts_earlier).alias("latest_earlier_end"),
         F.min(F.when(counted, F.col(START))).over(ends_later).alias("earliest_later_start"),
-        F.sum("promos").over(place).alias("place_promos"),
+        F.sum(F.when(counted, F.col("promos"))).over(place).alias("place_promos"),
     )
 
 

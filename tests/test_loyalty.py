@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+from promolens.config import DEFAULT_BRAND_RULES
+from promolens.operators import loyalty
+
+LINES = "SubmitterName string, LoyaltyNumber string, ReportingBrandName string, Brand string"
+
+
+def lines(spark, *pairs):
+    return spark.createDataFrame([(s, n, "B", "V") for s, n in pairs], LINES)
+
+
+def test_code_is_scoped_by_chain(spark):
+    df = loyalty.derive_loyalty_code(lines(spark, ("STORE_A", "12345"), ("ChainA", "12345"), ("ChainB", "12345")))
+    assert [r.LoyaltyCode for r in df.collect()] == ["STORE_A12345", "ChainA12345", "ChainB12345"]
+
+
+def test_unusable_numbers_give_no_code(spark):
+    df = lines(spark, ("A", None), ("A", ""), ("A", "0"), (None, "5"), ("A", "00"))
+    flagged = loyalty.is_valid_submitter(loyalty.is_valid_loyalty_number(loyalty.derive_loyalty_code(df)))
+    assert [r.LoyaltyCode for r in flagged.collect()] == [None, None, None, None, "A00"]
+    assert [r.is_valid_loyalty for r in flagged.collect()] == [False, False, False, True, True]
+    assert [r.is_valid_submitter for r in flagged.collect()] == [True, True, True, False, True]
+
+
+def test_numeric_card_numbers(spark):
+    df = spark.createDataFrame([("A", 0), ("A", 7), ("A", None)], "SubmitterName string, LoyaltyNumber bigint")
+    assert [r.LoyaltyCode for r in loyalty.derive_loyalty_code(df).collect()] == [None, "A7", None]
+
+
+def test_separator_keeps_codes_apart(spark):
+    df = lines(spark, ("A1", "23"), ("A", "123"))
+    assert len({r.LoyaltyCode for r in loyalty.derive_loyalty_code(df).collect()}) == 1
+    assert len({r.LoyaltyCode for r in loyalty.derive_loyalty_code(df, "|").collect()}) == 2
+
+
+BRANDS = [("Brand_X", "Variant_A"), ("Brand_X", "Variant_B"), ("Brand_X", "other"), ("Other", "Variant_A"),
+          (None, "Variant_A"), ("Brand_X", None)]
+EXPECTED = ["Standardised_Name_A", "Standardised_Name_B", "Brand_X", "Other", None, "Brand_X"]
+
+
+def test_brand_rules_inline_and_by_lookup(spark, monkeypatch):
+    df = spark.createDataFrame([(i, *pair) for i, pair in enumerate(BRANDS)], "i int, ReportingBrandName string, Brand string")
+    inline = loyalty.standardise_brand_names(df, DEFAULT_BRAND_RULES)
+    assert [r.ReportingBrandName for r in inline.orderBy("i").collect()] == EXPECTED
+    monkeypatch.setattr(loyalty, "MAX_INLINE_RULES", 1)
+    rules = [*DEFAULT_BRAND_RULES, ("Brand_X", "Variant_A", "shadowed")]
+    looked_up = loyalty.standardise_brand_names(df, rules)
+    assert looked_up.columns == df.columns
+    assert [r.ReportingBrandName for r in looked_up.orderBy("i").collect()] == EXPECTED
+
+
+def test_split_keeps_all_and_valid(spark):
+    df = lines(spark, ("A", "1"), ("A", "0"), (None, "1"), ("B", "1"))
+    everyone, valid = loyalty.process_loyalty_data(df)
+    assert everyone.count() == 4
+    same = loyalty.filter_valid_loyalty(everyone)
+    assert sorted(valid.collect()) == sorted(same.collect())
+    assert {r.LoyaltyCode for r in valid.collect()} == {"A1", "B1"}
