@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promolens.config import Settings
@@ -57,25 +57,15 @@ def get_after_windows(windows: DataFrame) -> DataFrame:
 
 def period_spans(windows: DataFrame, periods: Sequence[str] = PERIODS) -> DataFrame:
     """One row per promotion and period that has dates: ``period``, ``span_start``, ``span_end``."""
-    accepted = {
-        BEFORE: F.col("has_before_window"),
-        DURING: F.lit(True),
-        AFTER: F.col("has_after_window"),
-    }
-
-    def span(period: str) -> Column:
-        first, last = PERIOD_BOUNDS[period]
-        return F.struct(
-            F.lit(period).alias("period"),
-            F.when(accepted[period], F.col(first)).alias("span_start"),
-            F.when(accepted[period], F.col(last)).alias("span_end"),
-        )
-
+    accepted = {BEFORE: "has_before_window", DURING: "true", AFTER: "has_after_window"}
+    spans = [
+        f"'{period}', CASE WHEN {accepted[period]} THEN {first} END, CASE WHEN {accepted[period]} THEN {last} END"
+        for period, (first, last) in PERIOD_BOUNDS.items()
+        if period in periods
+    ]
+    stacked = F.expr(f"stack({len(spans)}, {', '.join(spans)}) AS (period, span_start, span_end)")
     # Also drops spans with an unknown end or none of whose days exist.
-    spans = F.filter(
-        F.array(*(span(p) for p in periods)), lambda s: s["span_start"] <= s["span_end"]
-    )
-    return windows.select(*PROMO_KEYS, F.inline(spans))
+    return windows.select(*PROMO_KEYS, stacked).filter("span_start <= span_end")
 
 
 # Keys are compared first, which is cheap. The date is only made of those that match, to

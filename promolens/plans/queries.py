@@ -235,16 +235,13 @@ QUERIES: dict[str, StageQuery] = {
 }
 
 
+def as_doubles(df: DataFrame) -> DataFrame:
+    """Decimals as doubles, after all arithmetic is done."""
+    decimals = [f.name for f in df.schema if isinstance(f.dataType, DecimalType)]
+    return df.withColumns({name: F.col(name).cast("double") for name in decimals})
+
+
 def on_sample(query: StageQuery) -> Callable[[SparkSession, str], DataFrame]:
     """The query over a folder of test tables, decimals shown as doubles."""
 
-    def call(spark: SparkSession, folder: str) -> DataFrame:
-        df = query(Stages(sample_catalog(spark, folder), SETTINGS))
-        return df.select(
-            *(
-                F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else f.name
-                for f in df.schema
-            )
-        )
-
-    return call
+    return lambda spark, folder: as_doubles(query(Stages(sample_catalog(spark, folder), SETTINGS)))
