@@ -14,6 +14,9 @@ DEFAULT_BRAND_RULES: tuple[tuple[str, str, str], ...] = (
     ("Brand_X", "Variant_B", "Standardised_Name_B"),
 )
 
+# Fixed value: where metrics are saved if no table is named.
+DEFAULT_METRICS_TABLE = "your_schema.promo_metrics"
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -26,6 +29,7 @@ class Settings:
     most ``broadcast_rows`` rows.
     """
 
+    # The defaults of what is loaded.
     source_system: str = "your_source_system"
     reference_system: str = "your_source"
     active_flag: str = "A"
@@ -36,7 +40,6 @@ class Settings:
     as_of: date | None = None
     unmatched: str = "zero"
     brand_rules: tuple[tuple[str, str, str], ...] = DEFAULT_BRAND_RULES
-    metrics_table: str = "your_schema.promo_metrics"
     broadcast_rows: int = 1_000_000
 
     def __post_init__(self) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from promolens.config import DEFAULT_METRICS_TABLE
 from promolens.functions.ratios import change_percent, percent, ratio
 from promolens.quality.validators import validate_metrics
 from promolens.schemas import METRICS, PERIODS, PROMO_KEYS
@@ -93,7 +94,7 @@ def calculate_metrics(
     tagged: DataFrame,
     include_derived: bool = True,
     save_to_table: bool = True,
-    table_name: str | None = None,
+    table_name: str = DEFAULT_METRICS_TABLE,
 ) -> DataFrame:
     """Wide metrics of tagged transactions, optionally derived and saved.
 
@@ -105,8 +106,6 @@ def calculate_metrics(
         metrics = add_derived_metrics(metrics)
     if not save_to_table:
         return metrics
-    if table_name is None:
-        raise ValueError("table_name is needed to save the metrics")
     metrics = stage(metrics, stage_folder(metrics.sparkSession), "metrics")
     save_metrics(validate_metrics(metrics), table_name)
     return metrics

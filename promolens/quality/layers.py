@@ -326,7 +326,9 @@ def check_source_coverage(
 ) -> DataFrame:
     """Share of valid loyalty lines that fall in any period of any promotion. Informational."""
     lines, spans = by_month(valid.select(*PLACE_KEYS, date_col), period_spans(windows), settings, date_col)
-    same_month = [lines[k] == spans[k] for k in (*PLACE_KEYS, "month")]
+    keys = (*PLACE_KEYS, "month")
+    spans = spans.withColumnsRenamed({k: f"span_{k}" for k in keys})
+    same_month = [F.col(k) == F.col(f"span_{k}") for k in keys]
     covered = lines.join(spans, [*same_month, F.expr(INSIDE)], "left_semi")
     row = side_by_side(
         measure(valid, {"all_rows": "count(*)"}), measure(covered, {"covered_rows": "count(*)"})

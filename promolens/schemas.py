@@ -17,6 +17,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+# Period labels and column names.
 BEFORE, DURING, AFTER = "before_promo", "during_promo", "after_promo"
 PERIODS = (BEFORE, DURING, AFTER)
 
@@ -36,6 +37,7 @@ def _schema(**columns: DataType) -> StructType:
     return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
+# The columns of each table.
 TABLES: dict[str, StructType] = {
     "scan": _schema(
         OutletKey=_l, ProductKey=_l, DateKey=_i, MetricPrice=_d, MetricVolume=_amount,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,16 @@ from pyspark.sql import functions as F
 def stage_folder(spark: SparkSession) -> str:
     """A new folder for one run's staged tables, in the shared folder the session names.
 
-    Staged files must outlive the executors that wrote them, so there is no default: a
-    machine-local folder would be lost with its machine.
+    Staged files must outlive the executors that wrote them, so a cluster has no default: a
+    machine-local folder would be lost with its machine. Only a local session, as in tests,
+    gets a temporary one.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="promolens-")
+        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/promolens-{uuid.uuid4().hex}"
 
 

@@ -85,5 +85,3 @@ def test_saving_validates_first(spark):
     with pytest.raises(AssertionError, match="no_null_outlets"):
         metrics.calculate_metrics(bad, table_name="saved_metrics")
     assert spark.table("saved_metrics").first().OutletIdentifier == "001817"
-    with pytest.raises(ValueError):
-        metrics.calculate_metrics(good)
