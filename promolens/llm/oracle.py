@@ -1,7 +1,123 @@
-"""SQL counterparts of the queries, where SQL can express them."""
+"""SQL counterparts of the queries that SQL can express, for DuckDB.
+
+The others have none: SQL has no tokenizer, CRC-32, XXH64 with a seed or Feistel network there.
+"""
 
 from __future__ import annotations
 
+import string
+
+from promolens.llm import licenses, quality
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_WORDS = r"[x for x in string_split_regex({text}, '{breaks}') if x <> '']"
+
+
+def _licenses() -> str:
+    entries = [(t, label, True) for t, label in licenses.PHRASES.items()] + [(t, label, False) for label, texts in licenses.TEMPLATES.items() for t in texts]
+    values = ", ".join(f"({n}, {_text(label)}, {str(exact).lower()}, string_split({_text(t)}, ' '))" for n, (t, label, exact) in enumerate(entries))
+    lower = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    words = _WORDS.format(text=lower, breaks=r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+t AS (SELECT * FROM (VALUES {values}) AS v(template, label, exact, w)),
+tg AS (SELECT template, label, exact, len(w) - 2 AS grams, p AS pos, w[p + 1 : p + 3] AS gram FROM t, unnest(range(0, len(w) - 2)) AS u(p)),
+g AS (SELECT r, p AS place, w[p + 1 : p + 3] AS gram FROM d, unnest(range(0, len(w) - 2)) AS u(p)),
+votes AS (
+  SELECT r, template, label, exact, grams, place - pos AS diagonal, count(*) AS votes, min(place) AS first, max(place) AS last
+  FROM g JOIN tg USING (gram) GROUP BY ALL
+),
+starts AS (
+  SELECT *, CASE WHEN exact OR coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > {licenses.DRIFT}, true) THEN 1 ELSE 0 END AS apart
+  FROM votes
+),
+grouped AS (SELECT *, sum(apart) OVER (PARTITION BY r, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS grp FROM starts),
+merged AS (
+  SELECT r, template, label, exact, grams, grp, sum(votes) AS votes, min(first) AS first, max(last) AS last FROM grouped GROUP BY ALL
+),
+found AS (
+  SELECT *, least(1.0::DOUBLE, votes::DOUBLE / grams) AS coverage FROM merged
+  WHERE CASE WHEN exact THEN votes = grams ELSE least(1.0::DOUBLE, votes::DOUBLE / grams) >= {licenses.COVERAGE} AND last - first + 1 <= grams + {2 * licenses.DRIFT} END
+),
+summed AS (
+  SELECT r, count(*) FILTER (exact) AS n_base, min(first) FILTER (exact) AS first_word, max(first) FILTER (exact) AS last_word,
+    array_to_string(list_sort(list(DISTINCT label) FILTER (exact)), ',') AS base_labels,
+    array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(coverage) AS score
+  FROM found GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+  CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN summed USING (r)
+"""
+
+
+_TOP_K = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) for x in embedding] AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def _quality() -> str:
+    share = lambda part, whole, scale: f"CAST(least({quality.TOP}, floor({scale}::DOUBLE * {part} / greatest({whole}, 1))) AS INTEGER)"
+    measures = {
+        "symbols": share("n_symbols", "word_chars", 1000),
+        "duplicate_lines": share("n_dup_lines", "n_lines", 1000),
+        "repeated": share("n_repeat_words", "n_words", 1000),
+        "word_length": share("word_chars", "n_words", 100),
+    }
+    n = quality.REPEAT
+    levels = ((0, ["lang", "source"]), (1, ["lang"]), (2, []))
+    read, joins = [], []
+    for level, by in levels:
+        keys = "".join(f"{b}, " for b in by)
+        for rule in quality.RULES:
+            name = f"l{level}_{rule.measure}"
+            read.append(
+                f"{name} AS (SELECT {keys}count(*) AS texts, greatest({rule.floor}::DOUBLE, quantile_disc({rule.measure}, 0.5) + {rule.spread}::DOUBLE * "
+                f"(quantile_disc({rule.measure}, {rule.quantile}) - quantile_disc({rule.measure}, 0.5))) AS limit_ FROM b WHERE NOT base_failed "
+                f"{'GROUP BY ' + ', '.join(by) if by else ''} HAVING count(*) >= {quality.MIN_GROUP if by else 1})"
+            )
+            on = " AND ".join(f"b.{c} IS NOT DISTINCT FROM {name}.{c}" for c in by) or "true"
+            joins.append(f"LEFT JOIN {name} ON {on}")
+    over = " OR ".join(f"coalesce({r.measure} > coalesce(l0_{r.measure}.limit_, l1_{r.measure}.limit_, l2_{r.measure}.limit_), false)" for r in quality.RULES)
+    words = _WORDS.format(text="coalesce(text, '')", breaks=r"[\x20\x09-\x0D]+")
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS content, {words} AS w,
+    [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+  FROM documents
+),
+windows AS (SELECT r, i, w[i + 1 : i + {n}] AS body FROM d, unnest(range(0, len(w) - {n - 1})) AS u(i)),
+twice AS (SELECT r, i FROM (SELECT *, count(*) OVER (PARTITION BY r, body) AS times FROM windows) WHERE times > 1),
+covered AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM twice, unnest(range(0, {n})) AS u(k) GROUP BY r),
+m AS (
+  SELECT r, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(content, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    len(lines) AS n_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN covered USING (r)
+),
+b AS (
+  SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED} * n_words AS base_failed,
+    {", ".join(f"{measures[r.measure]} AS {r.measure}" for r in quality.RULES)}
+  FROM m
+),
+{(", " + chr(10)).join(read)}
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({over}) AS kept
+FROM b {" ".join(joins)}
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_licenses": _licenses(), "op5_top_k": _TOP_K, "op10_quality": _quality()}
