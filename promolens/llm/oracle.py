@@ -75,6 +75,7 @@ def _quality() -> str:
         "symbols": share("n_symbols", "word_chars", 1000),
         "duplicate_lines": share("n_dup_lines", "n_lines", 1000),
         "repeated": share("n_repeat_words", "n_words", 1000),
+        "stutter": share("n_same", "n_words", 1000),
         "word_length": share("word_chars", "n_words", 100),
     }
     n = quality.REPEAT
@@ -105,7 +106,7 @@ covered AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM twice, unnest
 m AS (
   SELECT r, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(len(regexp_extract_all(content, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
-    len(lines) AS n_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+    len(lines) AS n_lines, len([i for i in range(1, len(w)) if w[i] = w[i + 1]]) AS n_same, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
   FROM d LEFT JOIN covered USING (r)
 ),
 b AS (

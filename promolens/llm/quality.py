@@ -35,9 +35,10 @@ class Adaptive:
 
 
 RULES = (
-    Adaptive("symbols", floor=100),
-    Adaptive("duplicate_lines", floor=300),
-    Adaptive("repeated", floor=200),
+    Adaptive("symbols", floor=50),
+    Adaptive("duplicate_lines", floor=400),
+    Adaptive("repeated", floor=250),
+    Adaptive("stutter", floor=300),
     Adaptive("word_length", floor=1200),
 )
 _QUANTILES = sorted({rule.quantile for rule in RULES})
@@ -88,6 +89,7 @@ def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", groups: t
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size("lines").cast("long").alias("n_lines"),
         _repeated_words(F.col("words")).alias("n_repeat_words"),
+        F.size(F.filter("words", lambda w, i: w == F.coalesce(F.get(F.col("words"), i - 1), F.lit("")))).cast("long").alias("n_same"),
     )
 
 
@@ -101,6 +103,7 @@ def _buckets() -> list[Column]:
         "symbols": share("n_symbols", "word_chars"),
         "duplicate_lines": share("n_dup_lines", "n_lines"),
         "repeated": share("n_repeat_words", "n_words"),
+        "stutter": share("n_same", "n_words"),
         "word_length": share("word_chars", "n_words", 100),
     }
     return [measures[rule.measure].alias(rule.measure) for rule in RULES]
