@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm import bpe, languages, licenses, packing, pseudonyms, quality, shards, simhash, vectors
+from promolens.llm import bpe, languages, licenses, packing, pseudonyms, quality, shards, simhash, substrings, vectors
 from promolens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op2_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@query
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
