@@ -71,16 +71,20 @@ def _repeated_words(words: Column) -> Column:
     return _let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(twice(h))).cast("long")
 
 
-def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", groups: tuple[str, str] = ("lang", "source")) -> DataFrame:
-    """The key, the groups and the counts of every whole text; a null text has no words.
+def measured(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", groups: tuple[str, str] = ("lang", "source"), also: str | None = None
+) -> DataFrame:
+    """The key, the groups and the counts of every whole text; a null text has no words. A column ``also`` comes as that.
 
     Windows are compared by 64-bit hashes of their words, within one text.
     """
     content = F.coalesce(F.col(text), F.lit(""))
-    split = docs.select(F.col(key).alias("key"), *(F.col(g).cast("string").alias(n) for g, n in zip(groups, ("lang", "source"), strict=True)), content.alias("content"), words_of(content).alias("words"))
+    more = [] if also is None else [F.col(also).alias("also")]
+    split = docs.select(F.col(key).alias("key"), *more, *(F.col(g).cast("string").alias(n) for g, n in zip(groups, ("lang", "source"), strict=True)), content.alias("content"), words_of(content).alias("words"))
     lines = split.withColumn("lines", F.filter(F.split("content", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
     return lines.select(
         "key",
+        *(["also"] if more else []),
         "lang",
         "source",
         F.size("words").cast("long").alias("n_words"),
@@ -157,7 +161,9 @@ def judged(measures: DataFrame) -> DataFrame:
     return joined.select(*rows.columns, *(limit[m].alias(f"max_{m}") for m in limit), (~F.col("base_failed") & ~over).alias("kept"))
 
 
-def assess(docs: DataFrame, key: str = "doc_id", text: str = "text", groups: tuple[str, str] = ("lang", "source")) -> DataFrame:
+def assess(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", groups: tuple[str, str] = ("lang", "source"), also: str | None = None
+) -> DataFrame:
     """Measures and verdict of every row; the key comes as ``key``. Repeated rows are judged each; an empty table gives
     no rows; other columns are not read. Measures are stored between the two readings."""
-    return judged(stored(measured(docs, key, text, groups)))
+    return judged(stored(measured(docs, key, text, groups, also)))

@@ -146,40 +146,57 @@ def compare(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, distance: int
     return links
 
 
-def links(distinct: DataFrame, hot: int = HOT) -> DataFrame:
-    """Pairs (a > b) of different fingerprints that connect all that are within DISTANCE; one row a pair.
-
-    Per anchor, spanning links stand for all pairs. An anchor of more than ``hot`` rows is split: its homes are
-    dealt to blocks, and each block gets all its rows to compare with.
-    """
-    places = anchored(distinct)
+def spread(places: DataFrame, node: str, hot: int) -> DataFrame:
+    """Add ``block``: 0, or for anchors of more than ``hot`` rows one of several, each with all rows and a part of the homes."""
     crowded = places.groupBy("anchor").count().filter(F.col("count") > hot)
-    blocks = F.ceil(F.col("count") / hot).cast("int")
-    split = places.join(crowded, "anchor", "left").withColumn("blocks", F.coalesce(blocks, F.lit(1)))
-    block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    dealt = split.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("home", F.col("home") & (block == F.col("block")))
+    counted = places.join(crowded, "anchor", "left").withColumn("blocks", F.coalesce(F.ceil(F.col("count") / hot).cast("int"), F.lit(1)))
+    own = F.pmod(F.xxhash64(node), F.col("blocks"))
+    every = counted.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("blocks") - 1).cast("long"))))
+    return every.withColumn("home", F.col("home") & (own == F.col("block")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)]
 
-        def result(columns: list[np.ndarray]) -> pa.RecordBatch:
-            place = np.cumsum(np.concatenate(([0], (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1]))))
-            found = {(max(x, y), min(x, y)) for x, y in compare(place, columns[2], columns[3])}
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+def grouped(columns: int, solve: Callable[[list[np.ndarray]], pa.RecordBatch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Call ``solve`` with rows, ordered by their first two columns, such that no group of those two is parted."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for batch in batches:
-            new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
-            held = [np.concatenate(pair) for pair in zip(held, new, strict=True)]
+            new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(columns)]
+            held = [np.concatenate(pair) for pair in zip(held, new, strict=True)] if held else new
             change = np.flatnonzero((held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1]))
             if len(change):
                 cut = change[-1] + 1
-                yield result([column[:cut] for column in held])
+                yield solve([column[:cut] for column in held])
                 held = [column[cut:] for column in held]
-        if len(held[0]):
-            yield result(held)
+        if held and len(held[0]):
+            yield solve(held)
+
+    return run
+
+
+def places_of(columns: list[np.ndarray]) -> np.ndarray:
+    """Consecutive numbers for the groups of the first two columns."""
+    return np.cumsum(np.concatenate(([0], (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1]))))
+
+
+def pairs_record(found: set[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+
+def links(distinct: DataFrame, hot: int = HOT) -> DataFrame:
+    """Pairs (a > b) of different fingerprints that connect all that are within DISTANCE; one row a pair.
+
+    Per anchor, spanning links stand for all pairs. An anchor of more than ``hot`` rows is split: its homes are
+    dealt to blocks, and each block gets all its rows to compare with.
+    """
+    dealt = spread(anchored(distinct), "fp", hot)
+
+    def solve(columns: list[np.ndarray]) -> pa.RecordBatch:
+        found = compare(places_of(columns), columns[2], columns[3])
+        return pairs_record({(max(x, y), min(x, y)) for x, y in found})
 
-    ordered = dealt.select("anchor", F.col("block").cast("long").alias("block"), "fp", "home").repartition("anchor", "block").sortWithinPartitions("anchor", "block")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    ordered = dealt.select("anchor", "block", "fp", "home").repartition("anchor", "block").sortWithinPartitions("anchor", "block")
+    return ordered.mapInArrow(grouped(4, solve), "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
