@@ -15,6 +15,8 @@ ORDER = 3
 _START = b"\n" * ORDER
 #: The training sample: rows of each language, and the longest text that may be in it, in bytes.
 SAMPLE_ROWS, SAMPLE_TEXT = 400, 1 << 18
+#: The most languages that are learned, those with the most texts.
+LANGUAGES = 1000
 #: Bytes of text that a worker scores at a time.
 SLICE = 1 << 19
 UNKNOWN = "und"
@@ -140,10 +142,11 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     """Fit the trees on at most ``rows`` texts of each language, those of the smallest hashes of their key.
 
     Rows without text or language, and texts over SAMPLE_TEXT bytes, are left out. The sample, and so what the
-    driver receives, is bounded by the number of languages.
+    driver receives, is at most LANGUAGES times ``rows`` such texts. Only drawn texts are shuffled.
     """
     found = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter("lang is not null")
-    chance = found.groupBy("lang").count().select("lang", (F.lit(1.5 * rows) / F.col("count")).alias("chance"))
+    sizes = found.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    chance = F.broadcast(sizes.select("lang", (F.lit(1.5 * rows) / F.col("count")).alias("chance")))
     order = F.xxhash64("key", F.lit("sample"))
     drawn = found.withColumn("order", order).join(chance, "lang").filter(F.pmod("order", F.lit(1 << 30)) < F.col("chance") * (1 << 30))
     kept = drawn.filter(F.col("text").isNotNull() & (F.octet_length("text") <= SAMPLE_TEXT))
