@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,5 +32,5 @@ def coupon_discount() -> Column:
 
 
 def any_discount(*amounts: Column) -> Column:
-    """1 if the largest known amount is positive, else 0; all unknown counts as none."""
-    return F.coalesce((F.greatest(*amounts) > 0).cast("int"), F.lit(0))
+    """1 if any amount is positive, else 0; an unknown amount counts as none."""
+    return F.when(reduce(or_, (amount > 0 for amount in amounts)), 1).otherwise(0)

@@ -36,7 +36,7 @@ def customer_code(separator: str = "") -> Column:
 def standard_brand(rules: Sequence[tuple[str, str, str]]) -> Column:
     """Reporting brand after the first rule whose (reporting brand, brand) pair matches."""
     reporting, brand = F.col("ReportingBrandName"), F.col("Brand")
-    matches = [
-        F.when((reporting == old) & (brand == variant), F.lit(new)) for old, variant, new in rules
-    ]
-    return F.coalesce(*matches, reporting)
+    name = F
+    for old, variant, new in rules:
+        name = name.when((reporting == old) & (brand == variant), F.lit(new))
+    return name.otherwise(reporting)

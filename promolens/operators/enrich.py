@@ -49,12 +49,14 @@ def match_references(
     product_reference: DataFrame,
     product_variant: DataFrame,
     check_unique: bool = True,
+    broadcast_rows: int = 0,
 ) -> DataFrame:
     """Add what the secondary outlet and product tables say, as ``Ref_`` columns.
 
     Each table is followed by key: outlet key, identifier, state; product key, brand code,
     variant. A key held twice would multiply scan lines, so that is checked first (a job on
-    the four small tables) unless the caller knows better.
+    the four small tables) unless the caller knows better. With ``broadcast_rows`` the two joined references are
+    counted and broadcast if small, so that the lines need no shuffle.
     """
     if check_unique:
         assert_unique(outlet_reference, ["OutletKey"], "outlet reference")
@@ -72,6 +74,7 @@ def match_references(
         F.col("ExternalBrandCode").alias("Ref_ExternalBrandCode"),
         F.col("BrandVariant").alias("Ref_BrandVariant"),
     )
+    outlets, products = (broadcast_if_small(side, broadcast_rows) for side in (outlets, products))
     return df.join(outlets, "OutletKey", "left").join(products, "ProductKey", "left")
 
 

@@ -14,13 +14,10 @@ from promolens.functions.loyalty import (
     known_submitter,
     standard_brand,
 )
+from promolens.operators.sizes import broadcast_if_small
 
 BrandRules = Sequence[tuple[str, str, str]]
 
-# Beyond this many rules a lookup join beats one long conditional expression.
-MAX_INLINE_RULES = 64
-
-
 def is_valid_loyalty_number(df: DataFrame) -> DataFrame:
     """``is_valid_loyalty``: the card number is present and not a placeholder."""
     return df.withColumns({"is_valid_loyalty": known_card()})
@@ -42,29 +39,21 @@ def filter_valid_loyalty(df: DataFrame) -> DataFrame:
 
 def standardise_brand_names(df: DataFrame, rules: BrandRules = DEFAULT_BRAND_RULES) -> DataFrame:
     """Rewrite ``ReportingBrandName`` by (reporting brand, brand) rules; the first match wins."""
+    return df.withColumns({"ReportingBrandName": standard_brand(rules)}) if rules else df
+
+
+def standardise_promo_brands(
+    promo: DataFrame, product: DataFrame, rules: BrandRules = DEFAULT_BRAND_RULES, broadcast_rows: int = 0
+) -> DataFrame:
+    """The same for promotion rates, whose brand is that of their product.
+
+    Loyalty lines and promotions meet by brand, so what renames one side must rename the other. A rate of an unknown
+    product keeps its name.
+    """
     if not rules:
-        return df
-    if len(rules) <= MAX_INLINE_RULES:
-        return df.withColumns({"ReportingBrandName": standard_brand(rules)})
-    return _look_up_brand_names(df, rules)
-
-
-def _look_up_brand_names(df: DataFrame, rules: BrandRules) -> DataFrame:
-    first_match = {(old, brand): new for old, brand, new in reversed(rules)}
-    lookup = df.sparkSession.createDataFrame(
-        [(*pair, new) for pair, new in first_match.items()],
-        "rule_reporting string, rule_brand string, rule_name string",
-    )
-    # The rules come from a list in the driver's memory, so broadcasting them is bounded.
-    matched = df.join(
-        F.broadcast(lookup),
-        (F.col("ReportingBrandName") == F.col("rule_reporting"))
-        & (F.col("Brand") == F.col("rule_brand")),
-        "left",
-    )
-    return matched.withColumns(
-        {"ReportingBrandName": F.coalesce("rule_name", "ReportingBrandName")}
-    ).select(*df.columns)
+        return promo
+    brands = broadcast_if_small(product.select("ProductKey", "Brand"), broadcast_rows)
+    return standardise_brand_names(promo.drop("Brand").join(brands, "ProductKey", "left"), rules).select(*promo.columns)
 
 
 def process_loyalty_data(

@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# What a hinted broadcast may take, by rows times the schema's usual width.
+MAX_BYTES = 256 << 20
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast if the frame has at most ``max_rows`` rows; otherwise leave it to Spark.
+    """Hint a broadcast if the frame has at most ``max_rows`` rows and by estimate MAX_BYTES; else leave it to Spark.
 
     Counts the rows, a job, so it is for dimension tables and staged results. Zero skips the
     count. What is not hinted, Spark broadcasts below its own threshold or shuffles, where
     adaptive execution splits skewed partitions.
     """
-    if max_rows and df.count() <= max_rows:
-        return F.broadcast(df)
+    if max_rows:
+        width = df._jdf.schema().defaultSize()
+        if df.count() <= min(max_rows, MAX_BYTES // max(1, width)):
+            return F.broadcast(df)
     return df

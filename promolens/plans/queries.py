@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ from promolens.operators.loyalty import (
 from promolens.operators.metrics import (
     add_derived_metrics,
     aggregate_by_period,
+    calculate_metrics,
     keep_all_promos,
     pivot_to_wide_format,
     widen_rollup,
@@ -37,14 +39,15 @@ from promolens.operators.tagging import (
     get_after_windows,
     get_before_windows,
     get_during_windows,
+    prepare_loyalty_dates,
     tag_after_transactions,
     tag_before_transactions,
     tag_during_transactions,
     union_all_periods,
 )
 from promolens.plans.stages import Stages
-from promolens.quality import layers
-from promolens.quality.report import check_frames
+from promolens.quality import layers, validators
+from promolens.quality.report import QualityReport, check_frames, save_audit
 from promolens.schemas import AFTER, BEFORE, DURING, PROMO_KEYS
 from promolens.sources.loaders import VIEWS
 from promolens.sources.sample import BRAND_RULES, SETTINGS, sample_catalog
@@ -71,7 +74,8 @@ def _with_calendar(s: Stages) -> DataFrame:
 
 def _reference_matching(s: Stages) -> DataFrame:
     references = ("outlet_reference", "outlet_state", "product_reference", "product_variant")
-    matched = match_references(s.table("scan"), *(s.table(name) for name in references))
+    tables = (s.table(name) for name in references)
+    matched = match_references(s.table("scan"), *tables, broadcast_rows=s.settings.broadcast_rows)
     return matched.select(*LINE, *(c for c in matched.columns if c.startswith("Ref_")))
 
 
@@ -139,7 +143,14 @@ def _sink_roundtrip(s: Stages) -> DataFrame:
     table = "promo_metrics_" + folder.rsplit("-", 1)[1]
     save_metrics(wide, table, f"{folder}/table")
     save_metrics(add_derived_metrics(wide), table)
-    return spark.table(table)
+    return _taken_out(s, table)
+
+
+def _taken_out(s: Stages, table: str) -> DataFrame:
+    """The rows of a table made for this query alone, which leaves the catalog."""
+    rows = stage(s.catalog.spark.table(table), s.folder, table)
+    s.catalog.spark.sql(f"DROP TABLE {table}")
+    return rows
 
 
 def _checks(check: StageQuery) -> StageQuery:
@@ -153,29 +164,51 @@ def _source_checks(s: Stages) -> DataFrame:
 
 def _reconciliation(s: Stages) -> DataFrame:
     rollup = s.kept("rollup")
-    return layers.check_reconciliation(rollup, widen_rollup(rollup))
+    return layers.check_reconciliation(rollup, widen_rollup(rollup), s.totals)
 
 
-def _quality_all(s: Stages) -> DataFrame:
+def _check_frames(s: Stages) -> list[DataFrame]:
     """All layers over stored results, the way a full run checks them."""
     rollup = s.kept("rollup")
-    frames = check_frames(
+    return check_frames(
         s.scan,
         *(s.table(name) for name in ("outlet", "product", "promo_master")),
         s.loyalty_all,
-        s.loyalty_valid,
+        None,
         s.kept("promos"),
         s.kept("windows"),
         rollup,
         add_derived_metrics(widen_rollup(rollup)),
         s.settings,
+        totals=s.totals,
     )
-    rows = reduce(DataFrame.unionByName, frames.values())
+
+
+def _quality_all(s: Stages) -> DataFrame:
+    rows = reduce(DataFrame.unionByName, _check_frames(s))
     return rows.select("layer", "check_name", "passed", "value")
 
 
+def _quality_audit(s: Stages) -> DataFrame:
+    """The same check rows, appended to an audit table and read from there."""
+    table = "promo_audit_" + s.folder.rsplit("-", 1)[1]
+    save_audit(reduce(DataFrame.unionByName, _check_frames(s)), table)
+    return _taken_out(s, table).select("layer", "check_name", "passed", "value")
+
+
+def _check_builders(s: Stages) -> DataFrame:
+    report = QualityReport("custom").check_no_nulls(s.scan, "LoyaltyNumber").check_no_negatives(s.scan, "MetricVolume")
+    return report.frame
+
+
+def _with_brand_rules(s: Stages) -> DataFrame:
+    """Brands renamed on both sides, so promotions still find their sales."""
+    return Stages(s.catalog, replace(s.settings, brand_rules=BRAND_RULES)).metrics
+
+
 def _drilldown(s: Stages) -> DataFrame:
-    return reports.validate_specific_outlet(s.windows, "000007", "Brand#11")
+    place = ("000007", "Brand#11")
+    return reports.validate_specific_outlet(s.place(*place), *place)
 
 
 QUERIES: dict[str, StageQuery] = {
@@ -213,16 +246,34 @@ QUERIES: dict[str, StageQuery] = {
     "metrics_sink_roundtrip": _sink_roundtrip,
     "quality_source": _checks(_source_checks),
     "quality_discounts": _checks(lambda s: layers.check_discount_flags(s.scan)),
-    "quality_loyalty": _checks(lambda s: layers.check_loyalty_derivation(s.loyalty_all, s.loyalty_valid)),
+    "quality_loyalty": _checks(lambda s: layers.check_loyalty_lines(s.loyalty_all)),
     "quality_windows": _checks(lambda s: layers.check_promo_windows(s.promos)),
     "quality_overlap": _checks(lambda s: layers.check_overlap_detection(s.kept("promos"), s.kept("windows"))),
     "quality_tagging": _checks(lambda s: layers.check_tagged_transactions(s.tagged)),
     "quality_output": _checks(lambda s: layers.check_final_metrics(s.metrics)),
     "quality_reconciliation": _checks(_reconciliation),
     "quality_coverage": _checks(
-        lambda s: layers.check_source_coverage(s.loyalty_valid, s.kept("windows"), s.settings)
+        lambda s: layers.check_source_coverage(
+            s.loyalty_valid, s.kept("windows"), s.settings, broadcast_rows=s.settings.broadcast_rows
+        )
     ),
     "quality_all": _quality_all,
+    "quality_audit": _quality_audit,
+    "check_builders": _checks(_check_builders),
+    "loyalty_dates": lambda s: prepare_loyalty_dates(s.loyalty_valid).select(*LINE, "DateKey_dt"),
+    "calculate_metrics": lambda s: calculate_metrics(s.tagged, save_to_table=False),
+    "metrics_with_brand_rules": _with_brand_rules,
+    "metrics_from_loyalty_scan": lambda s: Stages(s.catalog, s.settings, loyalty_input="loyalty_scan").metrics,
+    "validated_discounts": lambda s: validators.validate_discount_columns(s.scan).select(
+        *LINE, "SMP_discount", "MP_discount", "CPN_discount", "is_promo"
+    ),
+    "validated_loyalty": lambda s: validators.validate_loyalty_derivation(s.loyalty_all, s.loyalty_valid).select(
+        *LINE, "OutletIdentifier", "ReportingBrandName", "LoyaltyCode", "MetricVolume", "MetricValue"
+    ),
+    "validated_windows": lambda s: validators.validate_promo_windows(s.kept("promos")),
+    "validated_overlaps": lambda s: validators.validate_overlap_detection(s.kept("promos"), s.kept("windows")),
+    "validated_tagged": lambda s: validators.validate_tagged_transactions(s.tagged),
+    "validated_metrics": lambda s: validators.validate_metrics(s.metrics),
     "discount_summary": lambda s: reports.discount_summary(s.scan),
     "loyalty_summary": lambda s: reports.loyalty_summary(s.loyalty_all),
     "promo_windows_summary": lambda s: reports.promo_windows_summary(s.promos),

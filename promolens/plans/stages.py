@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from promolens.config import Settings
 from promolens.operators.discounts import add_discount_columns
 from promolens.operators.enrich import enrich_scan, promos_with_sales
-from promolens.operators.loyalty import process_loyalty_data
+from promolens.operators.loyalty import process_loyalty_data, standardise_promo_brands
 from promolens.operators.metrics import add_derived_metrics, rollup_by_customer, widen_rollup
 from promolens.operators.overlap import detect_overlaps
 from promolens.operators.promo_windows import build_promo_windows
 from promolens.operators.tagging import tag_transactions
+from promolens.quality.layers import tagged_totals
+from promolens.schemas import BRAND, OUTLET
 from promolens.sources.catalog import Catalog
 from promolens.sources.loaders import load
 from promolens.sources.sink import stage, stage_folder
@@ -26,12 +29,25 @@ class Stages:
     ``promo_input`` says which promotions count: ``"single_promo"`` takes all rates,
     ``"joined"`` only those with a loyalty sale of the same product, outlet and day. The
     first is the default because a promotion nobody with a card bought from still spoils
-    the windows of its neighbours.
+    the windows of its neighbours. ``loyalty_input`` says whether loyalty lines are derived from
+    the scan or read from the ``loyalty_scan`` table an earlier run saved. ``separator`` parts
+    chain and card in derived codes.
     """
 
-    def __init__(self, catalog: Catalog, settings: Settings, promo_input: str = "single_promo"):
+    def __init__(
+        self,
+        catalog: Catalog,
+        settings: Settings,
+        promo_input: str = "single_promo",
+        loyalty_input: str = "scan",
+        separator: str = "",
+    ):
         if promo_input not in ("single_promo", "joined"):
             raise ValueError(f"promo_input must be 'single_promo' or 'joined', not {promo_input!r}")
+        if loyalty_input not in ("scan", "loyalty_scan"):
+            raise ValueError(f"loyalty_input must be 'scan' or 'loyalty_scan', not {loyalty_input!r}")
+        self.loyalty_input = loyalty_input
+        self.separator = separator
         self.catalog = catalog
         self.settings = settings
         self.promo_input = promo_input
@@ -51,6 +67,14 @@ class Stages:
             self._kept[name] = stage(getattr(self, name), self.folder, name)
         return self._kept[name]
 
+    @cached_property
+    def totals(self) -> DataFrame:
+        """Totals of the tagged transactions, observed while their rollup was stored: one row, no further pass."""
+        self.kept("rollup")
+        found = self._observed.get
+        kinds = [f"CAST('{value}' AS DECIMAL(38, 4)) AS {name}" for name, value in found.items()]
+        return self.catalog.spark.range(1).selectExpr(*kinds)
+
     def table(self, name: str) -> DataFrame:
         return load(self.catalog, name, self.settings)
 
@@ -71,7 +95,9 @@ class Stages:
 
     @cached_property
     def loyalty(self) -> tuple[DataFrame, DataFrame]:
-        return process_loyalty_data(self.enriched, self.settings.brand_rules)
+        if self.loyalty_input == "loyalty_scan":
+            return (self.table("loyalty_scan"),) * 2
+        return process_loyalty_data(self.enriched, self.settings.brand_rules, self.separator)
 
     @property
     def loyalty_all(self) -> DataFrame:
@@ -85,7 +111,11 @@ class Stages:
     def rates(self) -> DataFrame:
         """Promotion rates the spans are taken from."""
         promo = self.table("single_promo")
-        return promo if self.promo_input == "single_promo" else promos_with_sales(promo, self.loyalty_valid)
+        if self.promo_input == "joined":
+            promo = promos_with_sales(promo, self.loyalty_valid)
+        if not self.settings.brand_rules:
+            return promo
+        return standardise_promo_brands(promo, self.table("product"), self.settings.brand_rules, self.settings.broadcast_rows)
 
     @cached_property
     def promos(self) -> DataFrame:
@@ -111,8 +141,15 @@ class Stages:
         The tagged transactions themselves are never stored: whatever is asked about them,
         this smaller set answers.
         """
-        return rollup_by_customer(self.tagged)
+        self._observed = Observation("tagged")
+        totals = (F.expr(sql).alias(name) for name, sql in tagged_totals().items())
+        return rollup_by_customer(self.tagged.observe(self._observed, *totals))
 
     @cached_property
     def metrics(self) -> DataFrame:
         return add_derived_metrics(widen_rollup(self.rollup))
+
+    def place(self, outlet_id: str, brand_name: str) -> DataFrame:
+        """The windows of one outlet and brand. Every step is per place, so its rates alone are read."""
+        rates = self.rates.filter((F.col(OUTLET) == outlet_id) & (F.col(BRAND) == brand_name))
+        return detect_overlaps(build_promo_windows(rates, self.settings), self.settings)

@@ -46,10 +46,15 @@ def columns_present(name: str, df: DataFrame, columns: Iterable[str]) -> Check:
 
 
 def column(df: DataFrame, name: str) -> str:
-    """The column, or null where the frame lacks it, which a column check reports by itself."""
+    """The column, or null where the frame lacks it."""
     return name if name in df.columns else "NULL"
 
 
+def over(df: DataFrame, aggregate: str, *columns: str) -> str:
+    """The aggregate, or null where the frame lacks one of its columns; a check of null fails."""
+    return aggregate if all(c in df.columns for c in columns) else "max(CAST(NULL AS BIGINT))"
+
+
 def literal(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
@@ -77,8 +82,13 @@ def side_by_side(*frames: DataFrame) -> DataFrame:
 
 def as_checks(layer: str, measures: DataFrame, checks: Iterable[Check]) -> DataFrame:
     """One row per check: layer, check_name, severity, passed, message, value, threshold, ts."""
+    return as_layers(measures, {layer: checks})
+
+
+def as_layers(measures: DataFrame, layers: Mapping[str, Iterable[Check]]) -> DataFrame:
+    """Like :func:`as_checks` for several layers that share one row of measures, and so one pass over the data."""
 
-    def row(check: Check) -> str:
+    def row(layer: str, check: Check) -> str:
         return f"""named_struct(
             'layer', {literal(layer)}, 'check_name', {literal(check.name)},
             'severity', {literal(check.severity)}, 'passed', coalesce({check.passed}, false),
@@ -86,5 +96,5 @@ def as_checks(layer: str, measures: DataFrame, checks: Iterable[Check]) -> DataF
                 coalesce(CAST({check.value} AS STRING), 'unknown'), {literal(check.unit)}),
             'value', CAST({check.value} AS DOUBLE), 'threshold', CAST({check.threshold} AS DOUBLE))"""
 
-    rows = ", ".join(map(row, checks))
+    rows = ", ".join(row(layer, check) for layer, checks in layers.items() for check in checks)
     return measures.selectExpr(f"inline(array({rows}))", "current_timestamp() AS ts")

@@ -6,28 +6,32 @@ the same checks with far fewer rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.config import Settings
+from promolens.functions.loyalty import known_card, known_submitter
+from promolens.operators.sizes import broadcast_if_small
 from promolens.operators.tagging import INSIDE, by_month, period_spans
 from promolens.quality.core import (
+    ERROR,
     INFO,
     WARN,
     Check,
     as_checks,
-    column,
+    as_layers,
     columns_present,
     literals,
     measure,
     none_of,
+    over,
     percent,
     side_by_side,
     some_of,
 )
 from promolens.schemas import BRAND, END, OUTLET, PERIODS, PLACE_KEYS, PROMO, START
 
-# Limits of the checks, in percent.
+# Limits of the checks, in percent. The names of the checks below are fixed values as well.
 MIN_DERIVATION_RATE = 1.0
 MAX_RECONCILIATION_GAP = 1.0
 LIFT_RANGE = (-100, 1000)
@@ -36,122 +40,164 @@ DISCOUNT_COLUMNS = ("SMP_discount", "MP_discount", "CPN_discount", "is_promo")
 AMOUNTS = {"volume": "MetricVolume", "value": "MetricValue"}
 
 
-def check_source_data(
-    scan: DataFrame,
-    outlet: DataFrame,
-    product: DataFrame,
-    promo: DataFrame,
-    settings: Settings,
-    expected_keys: tuple[int, int] | None = None,
-) -> DataFrame:
-    """Inputs: present, filtered, keyed, and covering the expected date keys."""
-    day, status = column(scan, "DateKey"), column(promo, "PromotionStatus")
-    accepted = f"{status} IN ({literals(settings.promo_statuses)})"
-    measures = side_by_side(
-        measure(
-            scan,
-            {
-                "scan_rows": "count(*)",
-                "old_rows": f"count_if({day} < {settings.date_filter})",
-                "no_outlet": f"count_if({column(scan, 'OutletKey')} IS NULL)",
-                "no_product": f"count_if({column(scan, 'ProductKey')} IS NULL)",
-                "first_key": f"min({day})",
-                "last_key": f"max({day})",
-            },
-        ),
+def _scan_measures(scan: DataFrame, settings: Settings) -> dict[str, str]:
+    return {
+        "scan_rows": "count(*)",
+        "old_rows": over(scan, f"count_if(DateKey < {settings.date_filter})", "DateKey"),
+        "no_outlet": over(scan, "count_if(OutletKey IS NULL)", "OutletKey"),
+        "no_product": over(scan, "count_if(ProductKey IS NULL)", "ProductKey"),
+        "first_key": over(scan, "min(DateKey)", "DateKey"),
+        "last_key": over(scan, "max(DateKey)", "DateKey"),
+    }
+
+
+def _source_row(scan_row: DataFrame, outlet: DataFrame, product: DataFrame, promo: DataFrame, settings: Settings) -> DataFrame:
+    accepted = f"PromotionStatus IN ({literals(settings.promo_statuses)})"
+    return side_by_side(
+        scan_row,
         measure(outlet, {"outlet_rows": "count(*)", "outlets": _distinct(outlet, "OutletKey")}),
         measure(product, {"product_rows": "count(*)", "products": _distinct(product, "ProductKey")}),
         measure(
             promo,
-            {"promo_rows": "count(*)", "other_status": f"count_if(NOT coalesce({accepted}, false))"},
+            {
+                "promo_rows": "count(*)",
+                "other_status": over(promo, f"count_if(NOT coalesce({accepted}, false))", "PromotionStatus"),
+            },
         ),
     )
-    covered, last = "first_key IS NOT NULL", "last_key"
+
+
+def _source_checks(
+    scan: DataFrame, outlet: DataFrame, product: DataFrame, promo: DataFrame, settings: Settings, expected_keys: tuple[int, int] | None
+) -> list[Check]:
+    covered, last, severity = "first_key IS NOT NULL", "last_key", INFO
     if expected_keys is not None:
         covered = f"first_key <= {expected_keys[0]} AND last_key >= {expected_keys[1]}"
-        last = str(expected_keys[1])
-    return as_checks(
-        "source",
-        measures,
-        [
-            some_of("scan_table_not_empty", "Scan rows", "scan_rows"),
-            some_of("outlet_table_not_empty", "Outlet rows", "outlet_rows"),
-            some_of("product_table_not_empty", "Product rows", "product_rows"),
-            some_of("promo_table_not_empty", "Promo rows", "promo_rows"),
-            none_of("scan_date_filter_applied", f"Rows before {settings.date_filter}", "old_rows"),
-            none_of("no_null_outlet_keys", "Null outlet keys", "no_outlet"),
-            none_of("no_null_product_keys", "Null product keys", "no_product"),
-            none_of("promo_status_filtered", "Invalid promo status", "other_status"),
-            columns_present("scan_columns_present", scan, ("OutletKey", "ProductKey", "DateKey")),
-            columns_present("outlet_columns_present", outlet, ("OutletKey", OUTLET)),
-            columns_present("product_columns_present", product, ("ProductKey", BRAND)),
-            columns_present("promo_columns_present", promo, (PROMO, "PromotionStatus")),
-            Check("date_range_covered", "Last date key", "last_key", covered, last),
-            none_of("unique_outlet_key", "Repeated outlet keys", "(outlet_rows - outlets)"),
-            none_of("unique_product_key", "Repeated product keys", "(product_rows - products)"),
-        ],
-    )
+        last, severity = str(expected_keys[1]), ERROR
+    return [
+        some_of("scan_table_not_empty", "Lines scanned", "scan_rows"),
+        some_of("outlet_table_not_empty", "Outlets loaded", "outlet_rows"),
+        some_of("product_table_not_empty", "Products loaded", "product_rows"),
+        some_of("promo_table_not_empty", "Promotions loaded", "promo_rows"),
+        none_of("scan_date_filter_applied", f"Lines dated before {settings.date_filter}", "old_rows"),
+        none_of("no_null_outlet_keys", "Lines without an outlet", "no_outlet"),
+        none_of("no_null_product_keys", "Lines without a product", "no_product"),
+        none_of("promo_status_filtered", "Promotions neither committed nor closed", "other_status"),
+        columns_present("scan_columns_present", scan, ("OutletKey", "ProductKey", "DateKey")),
+        columns_present("outlet_columns_present", outlet, ("OutletKey", OUTLET)),
+        columns_present("product_columns_present", product, ("ProductKey", BRAND)),
+        columns_present("promo_columns_present", promo, (PROMO, "PromotionStatus")),
+        Check("date_range_covered", "Last day in the scan", "last_key", covered, last, severity),
+        none_of("unique_outlet_key", "Outlet keys held more than once", "(outlet_rows - outlets)"),
+        none_of("unique_product_key", "Product keys held more than once", "(product_rows - products)"),
+    ]
+
+
+def check_source_data(
+    scan: DataFrame,
+    outlet: DataFrame,
+    product: DataFrame,
+    promo: DataFrame,
+    settings: Settings,
+    expected_keys: tuple[int, int] | None = None,
+) -> DataFrame:
+    """Inputs: present, filtered, keyed, and covering the expected date keys.
+
+    Without expected keys nothing is known about the range, so that check is informational.
+    """
+    row = _source_row(measure(scan, _scan_measures(scan, settings)), outlet, product, promo, settings)
+    return as_checks("source", row, _source_checks(scan, outlet, product, promo, settings, expected_keys))
+
+
+def check_scan(
+    scan: DataFrame,
+    outlet: DataFrame,
+    product: DataFrame,
+    promo: DataFrame,
+    settings: Settings,
+    expected_keys: tuple[int, int] | None = None,
+) -> DataFrame:
+    """The source and the discount layer, for a scan with discount columns, in one pass over it."""
+    scan_row = measure(scan, _scan_measures(scan, settings) | _discount_measures(scan))
+    row = _source_row(scan_row, outlet, product, promo, settings)
+    source = _source_checks(scan, outlet, product, promo, settings, expected_keys)
+    return as_layers(row, {"source": source, "discounts": _discount_checks(scan)})
 
 
 def _distinct(df: DataFrame, *names: str) -> str:
     """Distinct combinations, nulls counted as values."""
-    return f"count(DISTINCT struct({', '.join(column(df, n) for n in names)}))"
+    return over(df, f"count(DISTINCT struct({', '.join(names)}))", *names)
+
+
+def _discount_measures(df: DataFrame) -> dict[str, str]:
+    smp, mp, cpn, flag = DISCOUNT_COLUMNS
+    return {
+        "negative_smp": over(df, f"count_if({smp} < 0)", smp),
+        "negative_mp": over(df, f"count_if({mp} < 0)", mp),
+        "negative_cpn": over(df, f"count_if({cpn} < 0)", cpn),
+        "bad_flag": over(df, f"count_if(NOT coalesce({flag} IN (0, 1), false))", flag),
+    }
+
+
+def _discount_checks(df: DataFrame) -> list[Check]:
+    return [
+        none_of("no_negative_smp", "Lines with a negative manufacturer discount", "negative_smp"),
+        none_of("no_negative_mp", "Lines with a negative multipack discount", "negative_mp"),
+        none_of("no_negative_cpn", "Lines with a negative coupon", "negative_cpn"),
+        none_of("is_promo_valid", "Lines flagged neither 0 nor 1", "bad_flag"),
+        columns_present("discount_columns_present", df, DISCOUNT_COLUMNS),
+    ]
 
 
 def check_discount_flags(df: DataFrame) -> DataFrame:
     """Discount columns: present, not negative, and a 0/1 flag."""
-    smp, mp, cpn, flag = (column(df, name) for name in DISCOUNT_COLUMNS)
-    measures = measure(
-        df,
-        {
-            "negative_smp": f"count_if({smp} < 0)",
-            "negative_mp": f"count_if({mp} < 0)",
-            "negative_cpn": f"count_if({cpn} < 0)",
-            "bad_flag": f"count_if(NOT coalesce({flag} IN (0, 1), false))",
-        },
-    )
-    return as_checks(
-        "discounts",
-        measures,
-        [
-            none_of("no_negative_smp", "Negative SMP", "negative_smp"),
-            none_of("no_negative_mp", "Negative MP", "negative_mp"),
-            none_of("no_negative_cpn", "Negative CPN", "negative_cpn"),
-            none_of("is_promo_valid", "Invalid is_promo", "bad_flag"),
-            columns_present("discount_columns_present", df, DISCOUNT_COLUMNS),
-        ],
-    )
+    return as_checks("discounts", measure(df, _discount_measures(df)), _discount_checks(df))
+
+
+def _code_measures(df: DataFrame, where: str) -> dict[str, str]:
+    foreign = f"count_if({where} AND NOT startswith(LoyaltyCode, CAST(SubmitterName AS STRING)))"
+    return {
+        "valid_rows": f"count_if({where})",
+        "null_codes": over(df, f"count_if({where} AND LoyaltyCode IS NULL)", "LoyaltyCode"),
+        "empty_codes": over(df, f"count_if({where} AND LoyaltyCode = '')", "LoyaltyCode"),
+        "foreign_codes": over(df, foreign, "LoyaltyCode", "SubmitterName"),
+    }
+
+
+def _loyalty_checks() -> list[Check]:
+    rate = percent("valid_rows", "all_rows")
+    return [
+        none_of("no_null_loyalty_codes", "Valid lines without a code", "null_codes"),
+        none_of("no_empty_loyalty_codes", "Valid lines with a blank code", "empty_codes"),
+        Check(
+            "loyalty_derivation_rate", "Lines that got a code", f"round({rate}, 6)",
+            f"{rate} > {MIN_DERIVATION_RATE}", str(MIN_DERIVATION_RATE), unit="%",
+        ),
+        none_of("codes_start_with_submitter", "Codes not led by their chain", "foreign_codes"),
+    ]
 
 
 def check_loyalty_derivation(everyone: DataFrame, valid: DataFrame) -> DataFrame:
     """Loyalty codes: set, well-formed, and derived for a plausible share of lines."""
-    submitter = column(valid, "SubmitterName")
-    measures = side_by_side(
-        measure(everyone, {"all_rows": "count(*)"}),
-        measure(
-            valid,
-            {
-                "valid_rows": "count(*)",
-                "null_codes": "count_if(LoyaltyCode IS NULL)",
-                "empty_codes": "count_if(LoyaltyCode = '')",
-                "foreign_codes": f"count_if(NOT startswith(LoyaltyCode, CAST({submitter} AS STRING)))",
-            },
-        ),
-    )
-    rate = percent("valid_rows", "all_rows")
-    return as_checks(
-        "loyalty",
-        measures,
-        [
-            none_of("no_null_loyalty_codes", "Null codes", "null_codes"),
-            none_of("no_empty_loyalty_codes", "Empty codes", "empty_codes"),
-            Check(
-                "loyalty_derivation_rate", "Derivation rate", f"round({rate}, 6)",
-                f"{rate} > {MIN_DERIVATION_RATE}", str(MIN_DERIVATION_RATE), unit="%",
-            ),
-            none_of("codes_start_with_submitter", "Codes of another submitter", "foreign_codes"),
-        ],
-    )
+    row = side_by_side(measure(everyone, {"all_rows": "count(*)"}), measure(valid, _code_measures(valid, "true")))
+    return as_checks("loyalty", row, _loyalty_checks())
+
+
+def check_loyalty_lines(
+    everyone: DataFrame, windows: DataFrame | None = None, settings: Settings | None = None, broadcast_rows: int = 0
+) -> DataFrame:
+    """The loyalty layer, and with windows the coverage layer, in one pass over all lines.
+
+    The lines that should have a code are told by their card and submitter, not by the code.
+    """
+    lines = everyone.withColumns({"_valid": known_card() & known_submitter()})
+    measures = {"all_rows": "count(*)", **_code_measures(lines, "_valid")}
+    layers = {"loyalty": _loyalty_checks()}
+    if windows is not None:
+        lines = _with_coverage(lines, windows, settings, "DateKey", broadcast_rows)
+        measures["covered_rows"] = "count_if(_valid AND _covered)"
+        layers["coverage"] = _coverage_checks("valid_rows")
+    return as_layers(measure(lines, measures), layers)
 
 
 def check_promo_windows(df: DataFrame) -> DataFrame:
@@ -171,10 +217,10 @@ def check_promo_windows(df: DataFrame) -> DataFrame:
         "windows",
         measures,
         [
-            none_of("no_negative_durations", "Negative durations", "short"),
-            none_of("start_before_end", "Invalid date ranges", "reversed"),
-            none_of("before_window_correct", "Invalid before windows", "late_before"),
-            none_of("after_window_correct", "Invalid after windows", "early_after"),
+            none_of("no_negative_durations", "Promotions shorter than a day", "short"),
+            none_of("start_before_end", "Promotions that end before they start", "reversed"),
+            none_of("before_window_correct", "Before windows that reach into the promotion", "late_before"),
+            none_of("after_window_correct", "After windows that begin within the promotion", "early_after"),
             none_of("duration_consistent", "Durations that differ from their dates", "wrong_days"),
         ],
     )
@@ -196,13 +242,13 @@ def check_overlap_detection(promos: DataFrame, windows: DataFrame) -> DataFrame:
         "overlap",
         row,
         [
-            Check("row_count_preserved", "Promotions out", "rows_out", "rows_in = rows_out", "rows_in"),
-            none_of("before_overlap_valid", "Invalid before flags", "bad_before_flag"),
-            none_of("after_overlap_valid", "Invalid after flags", "bad_after_flag"),
-            none_of("null_dates_when_invalid", "Before dates of no window", "before_set"),
-            none_of("null_after_dates_when_invalid", "After dates of no window", "after_set"),
-            none_of("before_dates_when_valid", "Before windows without dates", "before_unset"),
-            none_of("after_dates_when_valid", "After windows without dates", "after_unset"),
+            Check("row_count_preserved", "Promotions after overlap detection", "rows_out", "rows_in = rows_out", "rows_in"),
+            none_of("before_overlap_valid", "Before flags neither 0 nor 1", "bad_before_flag"),
+            none_of("after_overlap_valid", "After flags neither 0 nor 1", "bad_after_flag"),
+            none_of("null_dates_when_invalid", "Rejected before windows that have dates", "before_set"),
+            none_of("null_after_dates_when_invalid", "Rejected after windows that have dates", "after_set"),
+            none_of("before_dates_when_valid", "Accepted before windows lacking dates", "before_unset"),
+            none_of("after_dates_when_valid", "Accepted after windows lacking dates", "after_unset"),
         ],
     )
 
@@ -235,21 +281,21 @@ def check_tagged_transactions(tagged: DataFrame) -> DataFrame:
         "tagging",
         measures,
         [
-            none_of("valid_period_values", "Invalid periods", "other_period"),
-            none_of("no_null_periods", "Null periods", "null_period"),
-            none_of("no_null_loyalty_codes", "Null loyalty", "null_code"),
-            none_of("no_negative_volumes", "Negative volumes", "negative_volume"),
-            none_of("no_negative_values", "Negative values", "negative_value"),
-            none_of("no_null_outlets", "Null outlets", "null_outlet"),
+            none_of("valid_period_values", "Rows of an unknown period", "other_period"),
+            none_of("no_null_periods", "Rows of no period", "null_period"),
+            none_of("no_null_loyalty_codes", "Rows of no customer", "null_code"),
+            none_of("no_negative_volumes", "Rows of negative volume", "negative_volume"),
+            none_of("no_negative_values", "Rows of negative value", "negative_value"),
+            none_of("no_null_outlets", "Rows of no outlet", "null_outlet"),
         ],
     )
 
 
-def check_final_metrics(metrics: DataFrame) -> DataFrame:
-    """Wide metrics: keyed once, dated, not negative, and derived values within range."""
-    lift = column(metrics, "volume_lift_pct")
-    rate = column(metrics, "customer_retention_rate")
-    spend = column(metrics, "value_per_loyal_customer_during")
+def check_final_metrics(metrics: DataFrame, lift_severity: str = ERROR) -> DataFrame:
+    """Wide metrics: keyed once, dated, not negative, and derived values within range.
+
+    Lifts beyond the range are common where little was sold before; ``lift_severity`` says whether they fail.
+    """
     row = measure(
         metrics,
         {
@@ -264,42 +310,53 @@ def check_final_metrics(metrics: DataFrame) -> DataFrame:
             "negative_value": "count_if(during_promo_total_value < 0)",
             "negative_customers": "count_if(during_promo_total_loyalty_customers < 0)",
             "no_during": "count_if(during_promo_total_volume IS NULL)",
-            "odd_lift": f"count_if({lift} NOT BETWEEN {LIFT_RANGE[0]} AND {LIFT_RANGE[1]})",
-            "odd_rate": f"count_if({rate} < 0)",
-            "odd_spend": f"count_if({spend} < 0)",
+            "odd_lift": over(metrics, f"count_if(volume_lift_pct NOT BETWEEN {LIFT_RANGE[0]} AND {LIFT_RANGE[1]})", "volume_lift_pct"),
+            "odd_rate": over(metrics, "count_if(customer_retention_rate < 0)", "customer_retention_rate"),
+            "odd_spend": over(metrics, "count_if(value_per_loyal_customer_during < 0)", "value_per_loyal_customer_during"),
         },
     )
     checks = [
-        none_of("no_null_outlets", "Null outlets", "null_outlet"),
-        none_of("no_null_brands", "Null brands", "null_brand"),
-        none_of("no_null_promos", "Null promos", "null_promo"),
-        none_of("no_null_dates", "Null dates", "null_date"),
-        none_of("no_negative_during_volume", "Negative during volume", "negative_volume"),
-        Check("no_duplicate_rows", "Rows", "all_rows", "all_rows = promos", "promos"),
-        none_of("date_ranges_valid", "Reversed date ranges", "reversed"),
-        none_of("no_negative_during_value", "Negative during value", "negative_value"),
-        none_of("no_negative_during_customers", "Negative during customers", "negative_customers"),
-        none_of("during_always_present", "Promos with no during data", "no_during", WARN),
+        none_of("no_null_outlets", "Promotions of no outlet", "null_outlet"),
+        none_of("no_null_brands", "Promotions of no brand", "null_brand"),
+        none_of("no_null_promos", "Promotions without a name", "null_promo"),
+        none_of("no_null_dates", "Promotions without dates", "null_date"),
+        none_of("no_negative_during_volume", "Promotions that sold a negative volume", "negative_volume"),
+        Check("no_duplicate_rows", "Promotions in the result", "all_rows", "all_rows = promos", "promos"),
+        none_of("date_ranges_valid", "Promotions dated backwards", "reversed"),
+        none_of("no_negative_during_value", "Promotions that sold a negative value", "negative_value"),
+        none_of("no_negative_during_customers", "Promotions of fewer than no customers", "negative_customers"),
+        none_of("during_always_present", "Promotions without sales", "no_during", WARN),
     ]
     if "volume_lift_pct" in metrics.columns:
         checks += [
-            none_of("volume_lift_reasonable", "Unreasonable lifts", "odd_lift"),
-            none_of("retention_reasonable", "Negative retention rates", "odd_rate"),
-            none_of("customer_value_reasonable", "Negative values per customer", "odd_spend"),
+            none_of("volume_lift_reasonable", "Promotions whose lift is out of range", "odd_lift", lift_severity),
+            none_of("retention_reasonable", "Promotions of negative retention", "odd_rate"),
+            none_of("customer_value_reasonable", "Promotions of negative spend", "odd_spend"),
         ]
     return as_checks("output", row, checks)
 
 
-def check_reconciliation(tagged: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Volume and value add up to the same before and after aggregation, in all and per period."""
-    source, output = {}, {}
+def tagged_totals() -> dict[str, str]:
+    """Volume and value of tagged transactions, in all and per period, by the names reconciliation reads."""
+    totals = {}
     for kind, amount in AMOUNTS.items():
-        source[f"source_{kind}"] = f"coalesce(sum({amount}), 0)"
+        totals[f"source_{kind}"] = f"coalesce(sum({amount}), 0)"
         for period in PERIODS:
             in_period = f"CASE WHEN period = '{period}' THEN {amount} END"
-            source[f"source_{period}_{kind}"] = f"coalesce(sum({in_period}), 0)"
-            output[f"output_{period}_{kind}"] = f"coalesce(sum({period}_total_{kind}), 0)"
-    row = side_by_side(measure(tagged, source), measure(metrics, output))
+            totals[f"source_{period}_{kind}"] = f"coalesce(sum({in_period}), 0)"
+    return totals
+
+
+def check_reconciliation(tagged: DataFrame, metrics: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """Volume and value add up to the same before and after aggregation, in all and per period.
+
+    ``totals``, a row of :func:`tagged_totals` observed while the tagged rows were aggregated, spares reading them again.
+    """
+    output = {
+        f"output_{period}_{kind}": f"coalesce(sum({period}_total_{kind}), 0)" for kind in AMOUNTS for period in PERIODS
+    }
+    source = measure(tagged, tagged_totals()) if totals is None else totals
+    row = side_by_side(source, measure(metrics, output))
 
     def check(what: str, found: str, written: str) -> Check:
         # Nothing to compare with counts as no difference.
@@ -321,21 +378,38 @@ def check_reconciliation(tagged: DataFrame, metrics: DataFrame) -> DataFrame:
     return as_checks("reconciliation", row, checks)
 
 
+def _covered_days(windows: DataFrame) -> DataFrame:
+    """Days in any period of any promotion of an outlet and brand, as spans that do not meet.
+
+    Equal spans are folded first, so what one outlet and brand sorts is limited by the calendar.
+    """
+    spans = period_spans(windows).select(*PLACE_KEYS, "span_start", "span_end").distinct()
+    place = Window.partitionBy(*PLACE_KEYS)
+    earlier = place.orderBy("span_start", "span_end").rowsBetween(Window.unboundedPreceding, -1)
+    starts = spans.withColumns({"first": F.coalesce(F.col("span_start") > F.max("span_end").over(earlier), F.lit(True))})
+    upto = place.orderBy("span_start", "span_end").rowsBetween(Window.unboundedPreceding, 0)
+    islands = starts.withColumns({"island": F.count_if("first").over(upto)})
+    return islands.groupBy(*PLACE_KEYS, "island").agg(F.min("span_start").alias("span_start"), F.max("span_end").alias("span_end")).drop("island")
+
+
+def _with_coverage(lines: DataFrame, windows: DataFrame, settings: Settings, date_col: str, broadcast_rows: int) -> DataFrame:
+    """Add ``_covered``. A line is in one span at most, so none is repeated."""
+    lines, spans = by_month(lines, _covered_days(windows), settings, date_col)
+    keys = (*PLACE_KEYS, "month")
+    spans = broadcast_if_small(spans.withColumnsRenamed({k: f"span_{k}" for k in keys}), broadcast_rows)
+    same_month = [F.col(k) == F.col(f"span_{k}") for k in keys]
+    return lines.join(spans, [*same_month, F.expr(INSIDE)], "left").withColumns({"_covered": F.col("span_month").isNotNull()})
+
+
+def _coverage_checks(whole: str) -> list[Check]:
+    share = f"round({percent('covered_rows', whole)}, 6)"
+    return [Check("source_coverage", "Valid lines inside a period", share, "true", severity=INFO, unit="%")]
+
+
 def check_source_coverage(
-    valid: DataFrame, windows: DataFrame, settings: Settings, date_col: str = "DateKey"
+    valid: DataFrame, windows: DataFrame, settings: Settings, date_col: str = "DateKey", broadcast_rows: int = 0
 ) -> DataFrame:
     """Share of valid loyalty lines that fall in any period of any promotion. Informational."""
-    lines, spans = by_month(valid.select(*PLACE_KEYS, date_col), period_spans(windows), settings, date_col)
-    keys = (*PLACE_KEYS, "month")
-    spans = spans.withColumnsRenamed({k: f"span_{k}" for k in keys})
-    same_month = [F.col(k) == F.col(f"span_{k}") for k in keys]
-    covered = lines.join(spans, [*same_month, F.expr(INSIDE)], "left_semi")
-    row = side_by_side(
-        measure(valid, {"all_rows": "count(*)"}), measure(covered, {"covered_rows": "count(*)"})
-    )
-    share = f"round({percent('covered_rows', 'all_rows')}, 6)"
-    return as_checks(
-        "coverage",
-        row,
-        [Check("source_coverage", "Valid lines tagged", share, "true", severity=INFO, unit="%")],
-    )
+    lines = _with_coverage(valid.select(*PLACE_KEYS, date_col), windows, settings, date_col, broadcast_rows)
+    row = measure(lines, {"all_rows": "count(*)", "covered_rows": "count_if(_covered)"})
+    return as_checks("coverage", row, _coverage_checks("all_rows"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from promolens.config import Settings
 from promolens.quality import layers
@@ -108,44 +109,64 @@ def check_frames(
     product: DataFrame,
     promo: DataFrame,
     everyone: DataFrame,
-    valid: DataFrame,
+    valid: DataFrame | None,
     promos: DataFrame,
     windows: DataFrame,
     tagged: DataFrame,
     metrics: DataFrame,
     settings: Settings,
-) -> dict[str, DataFrame]:
-    """Check rows of all layers, by layer name."""
-    return {
-        "source": layers.check_source_data(scan, outlet, product, promo, settings),
-        "discounts": layers.check_discount_flags(scan),
-        "loyalty": layers.check_loyalty_derivation(everyone, valid),
-        "windows": layers.check_promo_windows(promos),
-        "overlap": layers.check_overlap_detection(promos, windows),
-        "tagging": layers.check_tagged_transactions(tagged),
-        "output": layers.check_final_metrics(metrics),
-        "reconciliation": layers.check_reconciliation(tagged, metrics),
-    }
-
-
-def evaluate(frames: Mapping[str, DataFrame], raise_on_failure: bool = True) -> dict[str, QualityReport]:
+    expected_keys: tuple[int, int] | None = None,
+    totals: DataFrame | None = None,
+    coverage: bool = False,
+    lift_severity: str = ERROR,
+) -> list[DataFrame]:
+    """Check rows of all layers, each large input read once.
+
+    The scan is read for the source and the discount layer together. Without ``valid`` the loyalty layer takes its
+    valid lines out of ``everyone``, and with ``coverage`` measures that layer in the same pass. ``totals`` are those
+    observed while the tagged rows were aggregated.
+    """
+    if valid is None:
+        among = (windows, settings, settings.broadcast_rows) if coverage else ()
+        loyalty = [layers.check_loyalty_lines(everyone, *among)]
+    else:
+        loyalty = [layers.check_loyalty_derivation(everyone, valid)]
+        if coverage:
+            loyalty.append(layers.check_source_coverage(valid, windows, settings, broadcast_rows=settings.broadcast_rows))
+    return [
+        layers.check_scan(scan, outlet, product, promo, settings, expected_keys),
+        *loyalty,
+        layers.check_promo_windows(promos),
+        layers.check_overlap_detection(promos, windows),
+        layers.check_tagged_transactions(tagged),
+        layers.check_final_metrics(metrics, lift_severity),
+        layers.check_reconciliation(tagged, metrics, totals),
+    ]
+
+
+def evaluate(frames: Sequence[DataFrame], raise_on_failure: bool = True) -> dict[str, QualityReport]:
     """Run all check frames as one job and hand each layer its results."""
-    everything = QualityReport("all layers", *frames.values())
-    reports = {}
-    for layer, frame in frames.items():
-        reports[layer] = QualityReport(layer, frame)
+    everything = QualityReport("all layers", *frames)
+    reports: dict[str, QualityReport] = {}
+    for layer in dict.fromkeys(r.layer for r in everything.results):
+        reports[layer] = QualityReport(layer, everything.frame.filter(F.col("layer") == layer))
         reports[layer]._results = [r for r in everything.results if r.layer == layer]
     if raise_on_failure:
         everything.raise_if_failed()
     return reports
 
 
-def run_all_quality_checks(*frames: DataFrame, settings: Settings, raise_on_failure: bool = True) -> dict[str, QualityReport]:
+def run_all_quality_checks(
+    *frames: DataFrame,
+    settings: Settings,
+    raise_on_failure: bool = True,
+    expected_keys: tuple[int, int] | None = None,
+) -> dict[str, QualityReport]:
     """Every layer's checks over the ten frames of :func:`check_frames`, in one job.
 
     Raises ``ValueError`` if a check of severity ``error`` fails, unless told not to.
     """
-    return evaluate(check_frames(*frames, settings=settings), raise_on_failure)
+    return evaluate(check_frames(*frames, settings=settings, expected_keys=expected_keys), raise_on_failure)
 
 
 def save_audit(checks: DataFrame, table_name: str) -> None:

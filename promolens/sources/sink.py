@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,21 +9,25 @@ from pyspark.sql import functions as F
 
 
 def stage_folder(spark: SparkSession) -> str:
-    """A new folder for one run's staged tables, in the shared folder the session names.
+    """A new folder for one run's staged tables.
 
-    Staged files must outlive the executors that wrote them, so a cluster has no default: a
-    machine-local folder would be lost with its machine. Only a local session, as in tests,
-    gets a temporary one.
+    Staged files must outlive the executors that wrote them, so the folder lies where the session says all can reach:
+    in ``spark.checkpoint.dir``, or in the warehouse where that is unset. A path on the machine's own disk is refused
+    unless the session is local.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="promolens-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+    local = spark.sparkContext.master.startswith("local")
+    if not local and shared.startswith("file:"):
+        raise ValueError(f"{shared} is on one machine; set spark.checkpoint.dir to a folder all executors share")
     return f"{shared.rstrip('/')}/promolens-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a run's staged tables, once nothing reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write ``df`` once and carry on from the files.
 
@@ -37,7 +40,7 @@ def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
 
 
 def save_metrics(metrics: DataFrame, table_name: str, path: str | None = None) -> None:
-    """Replace the rows of a table, keeping every column it ever had.
+    """Replace all rows of a table, partitioned or not, keeping every column it ever had.
 
     A table that does not exist is created, at ``path`` if one is given.
 
@@ -62,4 +65,16 @@ def save_metrics(metrics: DataFrame, table_name: str, path: str | None = None) -
             for f in present
         )
     )
-    aligned.write.insertInto(table_name, overwrite=True)
+    # An insert takes the mode from the session alone; dynamic would keep partitions that get no rows.
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "static")
+    try:
+        aligned.write.insertInto(table_name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
+def save_loyalty_scan(valid: DataFrame, table_name: str) -> None:
+    """Keep the derived loyalty lines as a table that later runs can start from."""
+    valid.write.mode("overwrite").saveAsTable(table_name)

@@ -32,10 +32,10 @@ def chain(spark: SparkSession, settings) -> DataFrame:
     return promos(
         spark,
         [
-            ("001817", "P1", "Kool", 20250702, 20251230),
-            ("001817", "P2", "Kool", 20251231, 20260331),
-            ("001817", "P3", "Kool", 20260401, 20260630),
-            ("001817", "P4", "Kool", 20260701, 20260929),
+            ("000042", "P1", "Alba", 20250702, 20251230),
+            ("000042", "P2", "Alba", 20251231, 20260331),
+            ("000042", "P3", "Alba", 20260401, 20260630),
+            ("000042", "P4", "Alba", 20260701, 20260929),
         ],
         settings,
     )

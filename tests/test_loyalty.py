@@ -39,15 +39,22 @@ BRANDS = [("Brand_X", "Variant_A"), ("Brand_X", "Variant_B"), ("Brand_X", "other
 EXPECTED = ["Standardised_Name_A", "Standardised_Name_B", "Brand_X", "Other", None, "Brand_X"]
 
 
-def test_brand_rules_inline_and_by_lookup(spark, monkeypatch):
+def test_brand_rules(spark):
     df = spark.createDataFrame([(i, *pair) for i, pair in enumerate(BRANDS)], "i int, ReportingBrandName string, Brand string")
     inline = loyalty.standardise_brand_names(df, DEFAULT_BRAND_RULES)
     assert [r.ReportingBrandName for r in inline.orderBy("i").collect()] == EXPECTED
-    monkeypatch.setattr(loyalty, "MAX_INLINE_RULES", 1)
     rules = [*DEFAULT_BRAND_RULES, ("Brand_X", "Variant_A", "shadowed")]
-    looked_up = loyalty.standardise_brand_names(df, rules)
-    assert looked_up.columns == df.columns
-    assert [r.ReportingBrandName for r in looked_up.orderBy("i").collect()] == EXPECTED
+    shadowed = loyalty.standardise_brand_names(df, rules)
+    assert shadowed.columns == df.columns
+    assert [r.ReportingBrandName for r in shadowed.orderBy("i").collect()] == EXPECTED
+
+
+def test_promo_brands_follow_their_product(spark):
+    promo = spark.createDataFrame([(1, "Brand_X"), (2, "Brand_X"), (9, "Brand_X")], "ProductKey long, ReportingBrandName string")
+    product = spark.createDataFrame([(1, "Variant_A"), (2, "other")], "ProductKey long, Brand string")
+    got = loyalty.standardise_promo_brands(promo, product, DEFAULT_BRAND_RULES).collect()
+    assert sorted(map(tuple, got)) == [(1, "Standardised_Name_A"), (2, "Brand_X"), (9, "Brand_X")]
+    assert loyalty.standardise_promo_brands(promo, product, ()) is promo
 
 
 def test_split_keeps_all_and_valid(spark):

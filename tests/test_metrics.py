@@ -15,7 +15,7 @@ from tests.helpers import chain
 TAGGED = """OutletIdentifier string, ReportingBrandName string, PromotionName string,
     PromoTrueStartDate_dt date, PromoTrueEndDate_dt date, LoyaltyCode string,
     MetricVolume decimal(18,2), MetricValue decimal(18,2), period string"""
-PROMO = ("001817", "Kool", "P-001", date(2025, 3, 30), date(2025, 9, 27))
+PROMO = ("000042", "Alba", "Spring", date(2025, 4, 1), date(2025, 9, 29))
 
 
 def tagged(spark, rows):
@@ -84,4 +84,4 @@ def test_saving_validates_first(spark):
     bad = spark.createDataFrame([(None, *PROMO[1:], "c", Decimal(1), Decimal(1), "during_promo")], TAGGED)
     with pytest.raises(AssertionError, match="no_null_outlets"):
         metrics.calculate_metrics(bad, table_name="saved_metrics")
-    assert spark.table("saved_metrics").first().OutletIdentifier == "001817"
+    assert spark.table("saved_metrics").first().OutletIdentifier == "000042"

@@ -36,6 +36,25 @@ def test_tagging_scans_the_sales_once(stages):
     assert "Union" not in text
 
 
+def test_all_checks_scan_the_sales_twice(spark, tmp_path):
+    """On stored sales: one pass for the lines, one for the loyalty lines."""
+    catalog = sample_catalog(spark, "/root/testdata/sf0.001")
+    catalog.table("scan").write.parquet(str(tmp_path / "scan"))
+    catalog.locations["scan"] = str(tmp_path / "scan")
+    stored = Stages(catalog, SETTINGS)
+    from promolens.plans.queries import QUERIES
+
+    text = plan(QUERIES["quality_all"](stored))
+    assert text.count(f"{tmp_path}/scan") == 2
+    assert plan(QUERIES["quality_coverage"](stored)).count(f"{tmp_path}/scan") == 1
+    assert plan(QUERIES["quality_loyalty"](stored)).count(f"{tmp_path}/scan") == 1
+
+
+def test_drilldown_filters_the_rates(stages):
+    text = plan(stages.place("000007", "Brand#11"))
+    assert "EqualTo(p_brand,Brand#11)" in text
+
+
 def test_only_needed_columns_are_read(stages):
     text = plan(stages.metrics)
     scan = next(line for line in text.splitlines() if "FileScan parquet [l_orderkey" in line)

@@ -6,9 +6,10 @@ from decimal import Decimal
 import pytest
 
 from promolens.operators.discounts import add_discount_columns
-from promolens.operators.metrics import calculate_metrics, rollup_by_customer
+from promolens.operators.metrics import calculate_metrics, rollup_by_customer, widen_rollup
 from promolens.operators.overlap import detect_overlaps
 from promolens.quality import layers, validators
+from promolens.quality.core import measure
 from promolens.quality.report import QualityReport, check_frames, evaluate, run_all_quality_checks, save_audit
 from promolens.schemas import TABLES
 from tests.helpers import chain
@@ -156,7 +157,7 @@ def test_overlap_checks(spark, settings, column, value, expected):
         validators.validate_overlap_detection(promos, broken)
 
 
-PROMO = ("001817", "Kool", "P-001", date(2025, 3, 30), date(2025, 9, 27))
+PROMO = ("000042", "Alba", "Spring", date(2025, 4, 1), date(2025, 9, 29))
 
 
 @pytest.mark.parametrize(
@@ -211,6 +212,38 @@ def test_reconciliation(spark):
     assert failed(layers.check_reconciliation(df, slightly)) == []
 
 
+def test_rows_lost_between_tagging_and_rollup_show(spark):
+    df = tagged(spark, [BEFORE, DURING])
+    kept = df.filter("period = 'before_promo'")
+    totals = measure(df, layers.tagged_totals())
+    found = failed(layers.check_reconciliation(rollup_by_customer(kept), widen_rollup(rollup_by_customer(kept)), totals))
+    assert "volume_reconciles" in found and "during_promo_value_reconciles" in found
+
+
+def test_checks_without_their_column_fail(spark, settings):
+    codes = spark.createDataFrame([("WRONG-1",)], "LoyaltyCode string")
+    assert failed(layers.check_loyalty_derivation(codes, codes)) == ["codes_start_with_submitter"]
+    no_day = layers.check_source_data(scan(spark).drop("DateKey"), *dimensions(spark), settings)
+    assert failed(no_day) == ["date_range_covered", "scan_columns_present", "scan_date_filter_applied"]
+
+
+def test_range_is_informational_unless_expected(spark, settings):
+    def row(*expected):
+        checks = layers.check_source_data(scan(spark), *dimensions(spark), settings, *expected)
+        return checks.filter("check_name = 'date_range_covered'").first()
+
+    assert row().severity == "info"
+    assert (row((20200101, 20991231)).severity, row((20200101, 20991231)).passed) == ("error", False)
+
+
+def test_loyalty_in_one_pass(spark):
+    lines = spark.createDataFrame(
+        [("A", "1", "A1"), ("A", "0", None), (None, "1", None), ("A", "2", None), ("A", "3", "B3")],
+        "SubmitterName string, LoyaltyNumber string, LoyaltyCode string",
+    )
+    assert failed(layers.check_loyalty_lines(lines)) == ["codes_start_with_submitter", "no_null_loyalty_codes"]
+
+
 def everything(spark, settings):
     promos = chain(spark, settings)
     windows = detect_overlaps(promos, settings)
@@ -230,7 +263,7 @@ def test_all_layers_in_one_job(spark, settings):
         run_all_quality_checks(*frames, settings=settings)
     quiet = run_all_quality_checks(*frames, settings=settings, raise_on_failure=False)
     assert (quiet["source"].failed_count, quiet["source"].passed_count) == (1, 14)
-    assert "FAIL | scan_date_filter_applied | Rows before 20250101: 1" in quiet["source"].summary()
+    assert "FAIL | scan_date_filter_applied | Lines dated before 20250101: 1" in quiet["source"].summary()
 
 
 def test_warnings_do_not_fail(spark, settings):

@@ -21,8 +21,8 @@ def duckdb_tables():
 
 
 def test_same_names():
-    assert list(entry.queries()) == list(QUERIES)
-    assert set(entry.oracle_sql()) == set(QUERIES)
+    assert list(entry.queries())[: len(QUERIES)] == list(QUERIES)
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")

@@ -8,7 +8,7 @@ from promolens.plans.stages import Stages
 from promolens.schemas import TABLES
 from promolens.sources.catalog import DEFAULT_LOCATIONS, Catalog
 from promolens.sources.loaders import VIEWS, load, load_all, load_scan_table
-from promolens.sources.sink import save_metrics, stage, stage_folder
+from promolens.sources.sink import remove_folder, save_metrics, stage, stage_folder
 
 
 def test_every_view_has_a_default_location():
@@ -79,6 +79,42 @@ def test_saved_table_keeps_and_gains_columns(spark):
     assert [tuple(r) for r in spark.table("evolving").collect()] == [("c", 3, None, None)]
 
 
+def test_partitioned_table_keeps_no_old_rows(spark):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        spark.sql("SELECT 1 AS v, 'old' AS p").write.partitionBy("p").saveAsTable("parted")
+        save_metrics(spark.sql("SELECT 2 AS v, 'new' AS p"), "parted")
+        assert [tuple(r) for r in spark.table("parted").collect()] == [(2, "new")]
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_staged_folder_can_be_removed(spark):
+    folder = stage_folder(spark)
+    stage(spark.range(5), folder, "five")
+    remove_folder(spark, folder)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{folder}/five")
+
+
+class _Cluster:
+    """What stage_folder asks of a session, for one that is not local."""
+
+    class sparkContext:
+        master = "spark://host:7077"
+
+    class conf:
+        @staticmethod
+        def get(name, default=None):
+            return "file:/tmp/shared"
+
+
+def test_cluster_refuses_a_local_folder():
+    with pytest.raises(ValueError, match="on one machine"):
+        stage_folder(_Cluster())
+
+
 def test_unknown_promo_input(spark, settings):
     with pytest.raises(ValueError):
         Stages(Catalog(spark), replace(settings), promo_input="neither")

@@ -139,6 +139,6 @@ def test_one_pass_equals_three(spark, settings):
 
 def test_loyalty_may_carry_promotion_columns(spark, settings):
     windows = detect_overlaps(chain(spark, settings), settings)
-    loyalty = sales(spark, ("001817", "Kool", 20260115, "c")).selectExpr("*", "'mine' AS PromotionName", "DateKey AS Promo_DateKey")
+    loyalty = sales(spark, ("000042", "Alba", 20260115, "c")).selectExpr("*", "'mine' AS PromotionName", "DateKey AS Promo_DateKey")
     tagged = tagging.tag_transactions(loyalty, windows, settings, date_col="Promo_DateKey")
     assert labels(tagged) == [("c", "P2", "during_promo")]

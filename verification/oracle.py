@@ -444,6 +444,10 @@ BODIES: dict[str, str] = {
     "quality_all": " UNION ALL ".join(
         f"SELECT '{layer}' AS layer, {CHECK} FROM ({_checks(layer)})" for layer in CHECKS
     ),
+    "check_builders": " UNION ALL ".join(
+        [_zero("no_null_LoyaltyNumber", "scan", "LoyaltyNumber IS NULL"), _zero("no_negative_MetricVolume", "scan", "MetricVolume < 0")]
+    ),
+    "loyalty_dates": f"SELECT {LINE}, {_as_date('DateKey')} AS DateKey_dt FROM loyalty_valid",
     "discount_summary": f"""SELECT *, {_pct('promo_transactions', 'total_transactions')} AS promo_pct FROM (
         SELECT count(*) AS total_transactions, count(*) FILTER (WHERE SMP_discount > 0) AS smp_transactions,
                count(*) FILTER (WHERE MP_discount > 0) AS mp_transactions,
@@ -492,19 +496,41 @@ BODIES: dict[str, str] = {
 }
 
 
-def _needed(sql: str) -> list[str]:
+def _needed(sql: str, ctes: dict[str, str]) -> list[str]:
     """The common tables a statement needs, each after those it is built on."""
     found: list[str] = []
-    for name in CTES:
+    for name in ctes:
         if re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", sql):
-            found += [*_needed(CTES[name]), name]
+            found += [*_needed(ctes[name], ctes), name]
     return list(dict.fromkeys(found))
 
 
-def statement(body: str) -> str:
-    tables = ",\n".join(f"{name} AS ({CTES[name]})" for name in _needed(body))
+def statement(body: str, ctes: dict[str, str] = CTES) -> str:
+    tables = ",\n".join(f"{name} AS ({ctes[name]})" for name in _needed(body, ctes))
     return f"WITH {tables}\n{body}" if tables else body
 
 
+# Sales and promotions both take their brand from the product, so renaming there renames both.
+RENAMED = CTES | {
+    "product": f"""
+        SELECT * REPLACE (CASE WHEN ReportingBrandName = 'Brand#1' AND Brand = 'red widget' THEN 'Brand#1 Red'
+                               WHEN ReportingBrandName = 'Brand#1' AND Brand = 'small ring' THEN 'Brand#1 Small'
+                               ELSE ReportingBrandName END AS ReportingBrandName) FROM ({CTES['product']})"""
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: statement(body) for name, body in BODIES.items()}
+    renamed = {"metrics_with_brand_rules": statement(BODIES["metrics_derived"], RENAMED)}
+    same = {
+        "quality_audit": "quality_all",
+        "calculate_metrics": "metrics_derived",
+        "metrics_from_loyalty_scan": "metrics_derived",
+        "validated_discounts": "discount_columns",
+        "validated_loyalty": "loyalty_valid",
+        "validated_windows": "promo_windows",
+        "validated_overlaps": "detect_overlaps",
+        "validated_tagged": "tag_transactions",
+        "validated_metrics": "metrics_derived",
+    }
+    plain = BODIES | {name: BODIES[other] for name, other in same.items()}
+    return {name: statement(body) for name, body in plain.items()} | renamed
