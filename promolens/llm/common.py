@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +21,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per session, in case it is not installed where they run."""
+    context = spark.sparkContext
+    if not hasattr(context, "_shipped_package"):
+        package = Path(__file__).resolve().parents[1]
+        path = f"{tempfile.mkdtemp(prefix='package-')}/{package.name}.zip"
+        with zipfile.ZipFile(path, "w") as archive:
+            for file in sorted(package.rglob("*.py")):
+                archive.write(file, file.relative_to(package.parent))
+        context.addPyFile(path)
+        context._shipped_package = True
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder the session names in ``spark.checkpoint.dir``."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    """A new folder in the shared one the session names in ``spark.checkpoint.dir``, else in the warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
     return f"{shared.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
