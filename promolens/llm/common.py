@@ -47,6 +47,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[..., Sequence]]) -> DataFrame:
     """``mapInArrow`` over Python lists: ``make()`` is called once per task and gives a function of the
     columns of a batch, as lists, that returns the output columns in the order of ``schema``."""

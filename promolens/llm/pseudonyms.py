@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from promolens.llm.common import fresh
+
 ROUNDS = 8
 _LOWER, _UPPER, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 _FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
@@ -214,6 +216,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", kinds: str = "
         names = [",".join(sorted(set(found))) for _, found in rows]
         return pd.DataFrame({"text": [new for new, _ in rows], "kinds": names, "count": [len(found) for _, found in rows]})
 
-    done = docs.withColumn("_masked", F.pandas_udf(run, "text string, kinds string, count int")(F.col(text)))
-    columns = {text: F.col("_masked.text"), kinds: F.col("_masked.kinds"), count: F.col("_masked.count")}
-    return done.withColumns(columns).drop("_masked")
+    new = fresh(docs, "masked")
+    done = docs.withColumn(new, F.pandas_udf(run, "text string, kinds string, count int")(F.col(text)))
+    columns = {text: F.col(f"{new}.text"), kinds: F.col(f"{new}.kinds"), count: F.col(f"{new}.count")}
+    return done.withColumns(columns).drop(new)

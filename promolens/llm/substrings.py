@@ -21,7 +21,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import mixed, stored, word_hashes, word_spans
+from promolens.llm.common import fresh, mixed, stored, word_hashes, word_spans
 
 WINDOW, GRAM = 13, 5
 #: Bits of the filter of shared anchors that every task gets: 16 MB. Beyond a hundred million shared anchors it lets
@@ -327,10 +327,11 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 
 
 def marked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``_windows``, the repeated windows' first words (null without any)."""
-    found = repeated_windows(docs, key, text).select(F.col("key").alias("_key"), F.col("text_hash").alias("_text_hash"), F.col("windows").alias("_windows"))
-    own = (F.col(key).cast("long") == F.col("_key")) & (F.xxhash64(text) == F.col("_text_hash"))
-    return docs.join(found, own, "left").drop("_key", "_text_hash")
+    """All columns of ``docs`` and, last, the repeated windows' first words (null without any)."""
+    name, content, windows = (fresh(docs, n) for n in ("found_key", "found_hash", "windows"))
+    found = repeated_windows(docs, key, text).select(F.col("key").alias(name), F.col("text_hash").alias(content), F.col("windows").alias(windows))
+    own = (F.col(key).cast("long") == F.col(name)) & (F.xxhash64(text) == F.col(content))
+    return docs.join(found, own, "left").drop(name, content)
 
 
 def covered(words: int, windows: list[int] | None) -> np.ndarray:
@@ -374,7 +375,8 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     a text with a smaller key, judged on the input. Null texts stay null, null keys keep their text and count for no
     other; rows of one key are not held against each other; shorter texts have no windows.
     """
-    return marked(docs, key, text).withColumn(text, _scalar(cut, "string")(F.col(text), F.col("_windows"))).drop("_windows")
+    rows = marked(docs, key, text)
+    return rows.withColumn(text, _scalar(cut, "string")(F.col(text), F.col(rows.columns[-1]))).drop(rows.columns[-1])
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -387,6 +389,6 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         return f"{len(words)} {len(words) - len(kept)} {hashlib.sha256(b' '.join(kept)).hexdigest()}"
 
     rows = marked(docs.select(key, text), key, text)
-    parts = F.split(_scalar(digest, "string")(F.col(text), F.col("_windows")), " ")
+    parts = F.split(_scalar(digest, "string")(F.col(text), F.col(rows.columns[-1])), " ")
     done = rows.select(F.col(key), parts.alias("parts"))
     return done.select(key, F.col("parts")[0].cast("long").alias("n_words"), F.col("parts")[1].cast("long").alias("n_removed"), F.col("parts")[2].alias("kept_sha256"))
