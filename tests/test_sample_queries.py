@@ -10,6 +10,7 @@ from promolens.plans.analysis import run
 from promolens.plans.queries import QUERIES, as_doubles
 from promolens.plans.stages import Stages
 from promolens.sources.sample import SETTINGS, sample_catalog
+from tests.conftest import bag
 from verification.compare import connect, rows
 
 FOLDER = "/root/testdata/sf0.001"
@@ -68,5 +69,23 @@ def test_full_run(spark):
         run(sample_catalog(spark, FOLDER), SETTINGS)
 
 
+def test_run_from_saved_loyalty_lines(spark):
+    with run(sample_catalog(spark, FOLDER), SETTINGS, loyalty_table="saved_loyalty", lift_severity="warn") as first:
+        want = bag(first.metrics)
+        share = first.checks["coverage"].results[0].value
+    with pytest.raises(Exception, match="FAILED_READ_FILE|does not exist|PATH_NOT_FOUND"):
+        first.metrics.collect()
+    catalog = sample_catalog(spark, FOLDER)
+    catalog.locations["loyalty_scan"] = "saved_loyalty"
+    options = {"loyalty_input": "loyalty_scan", "lift_severity": "warn", "every_promo": True, "check": True}
+    with run(catalog, SETTINGS, **options) as again:
+        assert bag(again.metrics.filter("during_promo_total_volume IS NOT NULL OR before_promo_total_volume IS NOT NULL OR after_promo_total_volume IS NOT NULL")) == want
+        assert again.metrics.count() == 664 and again.checks["coverage"].results[0].value == share
+    with pytest.raises(ValueError, match="date_range_covered"):
+        run(catalog, SETTINGS, lift_severity="warn", expected_keys=(19000101, 29991231))
+    with pytest.raises(ValueError, match="loyalty_input"):
+        run(catalog, SETTINGS, loyalty_input="neither")
+
+
 def test_rollup_is_exact(stages):
     assert rollup_by_customer(stages.tagged).agg({"tagged_rows": "sum"}).first()[0] == 771
