@@ -27,7 +27,7 @@ _KINDS = {
     "date": r"(?<![\w/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\w/-]|\.[0-9])",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "card": r"(?<![\w-])(?:[0-9]{13,19}|[0-9]{4}(?P<s>[ -])[0-9]{4}(?P=s)[0-9]{4}(?P=s)[0-9]{1,7}|[0-9]{4}(?P<t>[ -])[0-9]{6}(?P=t)[0-9]{4,5})(?![\w-])",
-    "phone": r"(?<![\w+.-])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}(?P<u>[ .-])[0-9]{3}(?P=u)[0-9]{4})(?![\w-])",
+    "phone": r"(?<![\w+.-])(?:\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}(?P<u>[ .-])[0-9]{3}(?P=u)[0-9]{4})(?![\w-]|\.[0-9])",
 }
 _PATTERN = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in _KINDS.items()))
 #: A text without any of these holds no match.

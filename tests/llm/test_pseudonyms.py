@@ -44,6 +44,11 @@ def test_clean_values_stay():
 
 
 def test_neighbours():
+    for phone in ("+1 (826) 555-4081", "+49 30 1234567", "(212) 555-0101"):
+        for other in ("190.137.223.204", "4111111111111111", "die.55@mail4.example.com", "123-45-6789"):
+            for sign in (" ", ", ", "\n"):
+                text, kinds = MASK(f"on {phone}{sign}{other} at {other}{sign}{phone}.")
+                assert phone not in text and other not in text and len(kinds) == 4, (phone, other, sign, text, kinds)
     text, kinds = MASK("7536784127813050 484516811 and 4111111111111111 555")
     assert "4111111111111111" not in text and "card" in kinds
 
