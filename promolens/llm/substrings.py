@@ -249,7 +249,7 @@ def window_answers(texts: DataFrame, shared: Shared) -> DataFrame:
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for keys, values in _batches(batch):
+            for keys, values in _batches(batch, batch.num_rows):  # as many as there are, so that equal runs meet
                 parts, slices, lows = [], [], []
                 for key, value in zip(keys, values, strict=True):
                     data, begin, end, words = _hashed(value)
@@ -321,7 +321,7 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -
                     yield _record(["owner", "text_hash", "key", "content", "first"], [*own, *(np.concatenate([getattr(r, n) for r in runs]) for n in ("key", "content", "first"))])
 
     places = texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(occurrences, "owner long, text_hash long, key long, content long, first long")
-    windows = F.filter(F.transform("least", lambda x, j: F.when(x < F.col("owner"), F.col("first") + j)), lambda x: x.isNotNull())
+    windows = F.filter(F.transform("least", lambda x, j: F.when(x < F.col("owner"), (F.col("first") + j).cast("int"))), lambda x: x.isNotNull())
     hits = places.join(answers, ["key", "content"]).select(F.col("owner").alias("key"), "text_hash", windows.alias("windows")).filter(F.size("windows") > 0)
     return hits.groupBy("key", "text_hash").agg(F.array_distinct(F.flatten(F.collect_list("windows"))).alias("windows"))
 
