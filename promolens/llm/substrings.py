@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from promolens.llm.common import fresh, mixed, stored, word_hashes, word_spans
 
-WINDOW, GRAM = 13, 5
+WINDOW, GRAM = 13, 4
 #: Bits of the filter of shared anchors that every task gets: 16 MB. Beyond a hundred million shared anchors it lets
 #: more and more runs pass that no other document has; they cost work, and change no result.
 FILTER_BITS = 27
