@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -117,29 +118,31 @@ def _coder(content: bytes, pattern: str) -> ChunkCoder:
 
 
 def token_pieces(docs: DataFrame, content: bytes, pattern: str, end_id: int, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Tokenise every whole text, append the end id, and cut full windows off; one row per piece, without its ids.
+    """Tokenise every whole text, append the end id, and cut full windows off; one row per piece.
 
-    A null text counts as empty: only the end id. The ranks and the pattern must be the vocabulary's.
+    ``ids`` are the piece's ids as bytes, little-endian, of 2 bytes each where the vocabulary allows it, else 4. A null
+    text counts as empty: only the end id. The ranks and the pattern must be the vocabulary's.
     """
     vocabulary = docs.sparkSession.sparkContext.broadcast(content)
 
     def make() -> Callable:
         coder = _coder(vocabulary.value, pattern)
         kind = "<u2" if coder.code == "H" else "<u4"
+        narrow = kind if end_id < 1 << 16 else "<u4"
 
         def work(keys: list, texts: list) -> list[list]:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for name, value in zip(keys, texts, strict=True):
                 ids = np.append(np.frombuffer(coder.packed(value), dtype=kind).astype("<u4"), np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(ids), window):
                     part = ids[start : start + window]
-                    for column, x in zip(out, (name, start, len(part), zlib.crc32(part.tobytes()), len(ids)), strict=True):
+                    for column, x in zip(out, (name, start, len(part), zlib.crc32(part.tobytes()), len(ids), part.astype(narrow).tobytes()), strict=True):
                         column.append(x)
             return out
 
         return work
 
-    schema = f"`{key}` long, start long, length long, ids_crc32 long, doc_tokens long"
+    schema = f"`{key}` long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
     return map_rows(docs.select(F.col(key).cast("long"), F.coalesce(F.col(text), F.lit(""))), schema, make)
 
 
@@ -166,5 +169,44 @@ def pack(pieces: DataFrame, key: str = "doc_id", window: int = WINDOW, bins: int
 
 
 def pack_documents(docs: DataFrame, content: bytes, pattern: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Tokenise, cut and pack whole documents; see ``token_pieces`` and ``pack``. The pieces are stored in between."""
-    return pack(stored(token_pieces(docs, content, pattern, end_id, key=key, text=text)), key)
+    """Tokenise, cut and pack whole documents; see ``token_pieces`` and ``pack``. Each piece has its ``ids``, as an array.
+
+    The pieces are stored in between. Places are found without the ids, which are joined to them once, by the piece.
+    """
+    pieces = stored(token_pieces(docs, content, pattern, end_id, key=key, text=text).withColumn("_piece", F.monotonically_increasing_id()))
+    places = pack(pieces.drop("ids"), key)
+    joined = places.join(pieces.select("_piece", "ids"), "_piece")
+    plain = [c for c in places.columns if c != "_piece"]
+    schema = joined.select(*plain, F.array(F.lit(0)).alias("ids")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths, packed = batch.column(plain.index("length")).to_numpy(), b"".join(batch.column(len(plain)).to_pylist())
+            ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
+            values = np.frombuffer(packed, dtype=f"<u{len(packed) // max(1, int(ends[-1]))}") if packed else np.empty(0)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(plain)], ids], [*plain, "ids"])
+
+    return joined.select(*plain, "ids").mapInArrow(run, schema)
+
+
+def digests(packed: DataFrame) -> DataFrame:
+    """Packed pieces with the CRC-32 of their ids, of 4 bytes each, in place of the ids."""
+    kept = packed.drop("ids")
+    names, schema = kept.columns, kept.schema
+    at = names.index("ids_crc32")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *columns, ids = batch.columns
+            ends, values = ids.offsets.to_numpy().tolist(), ids.values.to_numpy().astype("<u4")
+            columns[at] = pa.array([zlib.crc32(values[a:b].tobytes()) for a, b in zip(ends, ends[1:], strict=False)], pa.int64())
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return packed.select(*names, "ids").mapInArrow(run, schema)
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """The training sequences: one row (sequence_id, ids) for each, of at most a window of ids."""
+    parts = F.sort_array(F.collect_list(F.struct("offset", "ids")))
+    return packed.groupBy("sequence_id").agg(F.flatten(F.transform(parts, lambda x: x["ids"])).alias("ids"))

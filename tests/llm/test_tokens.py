@@ -139,3 +139,21 @@ def test_packing(documents):
         assert at <= 2048
     assert sum(r.length for r in got) / (len(sequences) - 1) / 2048 > 0.95
     assert packing.pack_documents(documents([]), ranks, public_tokenizers.PATTERN, 1).count() == 0
+
+
+def test_packed_sequences_hold_the_ids(documents):
+    rows = ODD + [(100 + k, t) for k, t in enumerate(HARD)] + [(1000, "some words " * 3000)]
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+    known = tiktoken.Encoding("k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+    for end_id in (1, 70_000):
+        packed = packing.pack_documents(documents(rows), ranks, public_tokenizers.PATTERN, end_id)
+        pieces = packed.collect()
+        want = [(i, [*known.encode_ordinary(t or ""), end_id]) for i, t in rows]
+        assert sorted(((r.doc_id, r.start, r.ids) for r in pieces), key=repr) == sorted(((i, s, ids[s : s + 2048]) for i, ids in want for s in range(0, len(ids), 2048)), key=repr)
+        whole = {r.sequence_id: r.ids for r in packing.sequences(packed).collect()}
+        assert sum(map(len, whole.values())) == sum(len(ids) for _, ids in want) and max(map(len, whole.values())) <= 2048
+        for r in pieces:
+            assert whole[r.sequence_id][r.offset : r.offset + r.length] == r.ids
+        derived = packing.digests(packed.withColumn("ids_crc32", packed.start)).collect()
+        assert sorted((repr(r.doc_id), r.start, r.ids_crc32) for r in derived) == sorted((repr(r.doc_id), r.start, r.ids_crc32) for r in pieces)
