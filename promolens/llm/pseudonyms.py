@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -18,18 +18,26 @@ ROUNDS = 8
 _LOWER, _UPPER, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 _FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
-#: What is looked for; a match counts only if its validator agrees.
+#: What is looked for; a match counts only if its validator agrees. Letters beyond ASCII may stand next to a value, as in
+#: scripts written without blanks.
 _KINDS = {
-    "email": r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-])",
-    "secret": r"(?<!\w)(?:AKIA[A-Z0-9]{16}|(?i:password|passwd|secret|token|api_?key)\s{0,2}[=:]\s{0,2}[\"']?[A-Za-z0-9_-]{8,})(?!\w)",
-    "iban": r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
-    "ip": r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9])",
-    "date": r"(?<![\w/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\w/-]|\.[0-9])",
-    "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
-    "card": r"(?<![\w-])(?:[0-9]{13,19}|[0-9]{4}(?P<s>[ -])[0-9]{4}(?P=s)[0-9]{4}(?P=s)[0-9]{1,7}|[0-9]{4}(?P<t>[ -])[0-9]{6}(?P=t)[0-9]{4,5})(?![\w-])",
-    "phone": r"(?<![\w+.-])(?:\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}(?P<u>[ .-])[0-9]{3}(?P=u)[0-9]{4})(?![\w-]|\.[0-9])",
+    "email": r"(?<![A-Za-z0-9_.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9_-])",
+    "secret": r"(?<![A-Za-z0-9_])(?:AKIA[A-Z0-9]{16}|(?i:password|passwd|secret|token|api_?key)\s{0,2}[=:]\s{0,2}[\"']?[A-Za-z0-9_-]{8,})(?![A-Za-z0-9_])",
+    "iban": r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9_])",
+    "ip": r"(?<![A-Za-z0-9_.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![A-Za-z0-9_]|\.[0-9])",
+    "date": r"(?<![A-Za-z0-9_/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?!(?![Tt][0-9])[A-Za-z0-9_/-]|\.[0-9])",
+    "ssn": r"(?<![A-Za-z0-9_-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_-])",
+    "card": r"(?<![A-Za-z0-9_-])(?:[0-9]{13,19}|[0-9]{4}(?P<s>[ -])[0-9]{4}(?P=s)[0-9]{4}(?P=s)[0-9]{1,7}|[0-9]{4}(?P<t>[ -])[0-9]{6}(?P=t)[0-9]{4,5})(?![A-Za-z0-9_-])",
+    "phone": r"(?<![A-Za-z0-9_+.-])(?:\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}(?P<u>[ .-])[0-9]{3}(?P=u)[0-9]{4})(?![A-Za-z0-9_-]|\.[0-9])",
 }
 _PATTERN = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in _KINDS.items()))
+_ALONE = {kind: re.compile(pattern) for kind, pattern in _KINDS.items()}
+#: Characters of an IBAN by country.
+_IBAN_LENGTHS = {country: length for length, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+}.items() for country in countries.split()}
 #: A text without any of these holds no match.
 _HINT = re.compile(r"[0-9@]|AKIA|(?i:passw|secret|token|api_?key)")
 
@@ -175,6 +183,21 @@ _MASKS: dict[str, Callable[[Feistel, str], str]] = {
 }
 
 
+_ORDER = list(_KINDS)
+
+
+def _ends(kind: str, match: re.Match) -> Iterator[int]:
+    """Ends that a value may have: an IBAN's by its country, then the whole match, then before each blank in it."""
+    text, start, end = match.string, match.start(), match.end()
+    cuts = [end, *(k for k in range(end - 1, start, -1) if text[k] == " ")]
+    if kind == "iban":
+        size = _IBAN_LENGTHS.get(text[start : start + 2])
+        cuts.sort(key=lambda k: len(text[start:k].replace(" ", "")) != size)
+    for cut in cuts:
+        if cut == end or _ALONE[kind].fullmatch(text, start, cut):
+            yield cut
+
+
 @lru_cache(maxsize=2)
 def masker(key: bytes) -> Callable[[str], tuple[str, list[str]]]:
     """A function from a text to the text with pseudonyms and the kinds found, one entry per value."""
@@ -188,14 +211,29 @@ def masker(key: bytes) -> Callable[[str], tuple[str, list[str]]]:
         if not _HINT.search(text):
             return text, []
         kinds: list[str] = []
-
-        def replace(match: re.Match) -> str:
-            moved = pseudonym(match.lastgroup, match.group())
-            if moved != match.group():
-                kinds.append(match.lastgroup)
-            return moved
-
-        return _PATTERN.sub(replace, text), kinds
+        out: list[str] = []
+        done = at = 0
+        while match := _PATTERN.search(text, at):
+            found = replaced(match)
+            if found is None:  # another value may begin within this one
+                at = match.start() + 1
+                continue
+            kind, end, moved = found
+            kinds.append(kind)
+            out += [text[done : match.start()], moved]
+            done = at = end
+        return "".join([*out, text[done:]]), kinds
+
+    def replaced(match: re.Match) -> tuple[str, int, str] | None:
+        """The first kind of value, and the end of it, that is valid where the match begins."""
+        text, start = match.string, match.start()
+        for kind in _ORDER[_ORDER.index(match.lastgroup) :]:
+            own = match if kind == match.lastgroup else _ALONE[kind].match(text, start)
+            for end in _ends(kind, own) if own else ():
+                moved = pseudonym(kind, text[start:end])
+                if moved != text[start:end]:
+                    return kind, end, moved
+        return None
 
     return mask
 

@@ -53,6 +53,35 @@ def test_neighbours():
     assert "4111111111111111" not in text and "card" in kinds
 
 
+IBANS = ["ES9121000418450200051332", "PL61109010140000071219812874", "BE68539007547034", "ES91 2100 0418 4502 0005 1332", "AT611904300234573201"]
+
+
+def test_words_after_a_value():
+    for iban in IBANS:
+        for word in ("BIC", "PLN", "A", "12", "IBAN", "SWIFT BIC", "IBAN BIC"):
+            text, kinds = MASK(f"to {iban} {word}, or {iban} {word}.")
+            assert iban not in text and kinds == ["iban", "iban"] and f" {word}, or " in text and text.endswith(f" {word}."), (iban, word, text)
+    text, kinds = MASK("AB12 4111 1111 1111 1111 and 1234 4111 1111 1111 1111")
+    assert "4111 1111 1111 1111" not in text and kinds == ["card", "card"] and text.startswith("AB12 ") and " 1234 " in text
+    text, kinds = MASK(f"{IBANS[0]} 4111 1111 1111 1111")
+    assert "4111 1111" not in text and kinds == ["iban", "card"]
+
+
+def test_values_beside_letters_of_other_scripts():
+    for kind, values in VALUES.items():
+        for value in values + (IBANS if kind == "iban" else []):
+            for before, after in (("電話", "です"), ("ที่", "ครับ"), ("邮箱", "。"), ("é", "ü")):
+                text, kinds = MASK(f"{before}{value}{after}")
+                assert kinds == [kind] and value not in text and text.startswith(before) and text.endswith(after), (value, text, kinds)
+
+
+def test_times_after_a_date():
+    for time in ("T00:00:00Z", "T23:59", "t01:02:03+01:00"):
+        text, kinds = MASK(f"born 1980-02-03{time}.")
+        assert kinds == ["date"] and "1980-02-03" not in text and text.endswith(f"{time}.")
+    assert MASK("1980-02-03Total") == ("1980-02-03Total", [])
+
+
 @given(st.integers(2, 3000))
 def test_permutations(size):
     cipher = pseudonyms.Feistel(KEY)
