@@ -120,5 +120,79 @@ FROM b {" ".join(joins)}
 """
 
 
+_WARC = """
+WITH p AS (SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS body FROM pages),
+d AS (
+  SELECT page_id, strlen(body) AS payload_bytes, CAST(CAST(unhex(sha1(body)) AS BIT) AS VARCHAR) AS bits,
+    row_number() OVER (PARTITION BY body ORDER BY page_id NULLS LAST, r) AS place, first(page_id) OVER (PARTITION BY body ORDER BY page_id NULLS LAST, r) AS first_id
+  FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(list_sum([CAST(substr(bits, 5 * k + b + 1, 1) AS INTEGER) << (4 - b) for b in range(0, 5)]) AS INTEGER) + 1, 1) for k in range(0, 32)], '') AS payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN first_id END AS refers_to
+FROM d
+"""
+
+
+def _codes(scale: int = 4096, parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Every round as tables of their own: all parts against all entries, then floored means."""
+    away = "CAST(list_sum([(s.x[j] - c.x[j]) * (s.x[j] - c.x[j]) for j in range(1, len(s.x) + 1)]) AS BIGINT)"
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(
+            f"a{k} AS MATERIALIZED (SELECT s.r, s.part, min({away} * {entries} + c.entry) AS nearest FROM s JOIN c{k} c USING (part) GROUP BY s.r, s.part)"
+        )
+        if k < rounds:
+            steps.append(f"""m{k} AS (
+  SELECT part, nearest % {entries} AS entry, j, sum(x[j])::HUGEINT AS total, count(*) AS n FROM a{k} JOIN s USING (r, part), unnest(range(1, len(x) + 1)) AS u(j) GROUP BY ALL
+),
+c{k + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(means.x, c{k}.x) AS x FROM c{k} LEFT JOIN (
+    SELECT part, entry, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY j) AS x FROM m{k} GROUP BY part, entry
+  ) means USING (part, entry)
+)""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label, [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+),
+s AS MATERIALIZED (SELECT r, part, q[part * len(q) // {parts} + 1 : (part + 1) * len(q) // {parts}] AS x FROM v, unnest(range(0, {parts})) AS u(part)),
+c0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x FROM s WHERE r <= {entries}),
+{(", " + chr(10)).join(steps)},
+coded AS (
+  SELECT r, string_agg(printf('%02x', nearest % {entries}), '' ORDER BY part) AS code, CAST(sum(nearest // {entries}) AS BIGINT) AS error FROM a{rounds} GROUP BY r
+),
+book AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM v JOIN coded USING (r), book
+"""
+
+
+_NEGATIVES = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+),
+scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+),
+near AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scored WHERE same),
+pairs AS (
+  SELECT n.anchor_id, n.vec_id AS positive_id, f.vec_id AS negative_id, n.score AS positive_score, f.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY n.anchor_id, n.place ORDER BY f.score DESC, f.vec_id) AS INTEGER) AS rank
+  FROM near n JOIN scored f ON n.anchor_id = f.anchor_id AND NOT f.same AND 50 * n.score <= 100 * f.score AND 100 * f.score <= 95 * n.score
+  WHERE n.place <= 5
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM pairs WHERE rank <= 3
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_licenses": _licenses(), "op5_top_k": _TOP_K, "op10_quality": _quality()}
+    return {
+        "op4_licenses": _licenses(),
+        "op5_top_k": _TOP_K,
+        "op10_quality": _quality(),
+        "op11_warc": _WARC,
+        "op12_codes": _codes(),
+        "op13_negatives": _NEGATIVES,
+    }

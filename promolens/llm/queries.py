@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm import bpe, languages, licenses, packing, pseudonyms, quality, shards, simhash, substrings, vectors
-from promolens.llm.common import ship_package, table
+from promolens.llm import bpe, codes, languages, licenses, negatives, packing, pseudonyms, quality, shards, simhash, substrings, vectors, warc
+from promolens.llm.common import checkpoint_folder, ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,3 +89,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.assess(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return found.select("doc_id", *counts, "base_failed", "kept")
+
+
+@query
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = checkpoint_folder(spark)
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = codes.compress(table(spark, sf_dir, "embeddings"))
+    return done.with_label_errors().select(F.col("key").alias("vec_id"), "code", "error", "label_error", F.lit(done.digest).alias("codebooks_sha256"))
+
+
+@query
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    mined = negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+    return mined.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

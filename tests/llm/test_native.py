@@ -16,7 +16,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_against_sql(spark, name):
     base = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "pages"):
         base.execute(f"create view {table} as select * from '{FOLDER}/{table}.parquet'")
     frame = queries.QUERIES[name](spark, FOLDER)
     columns = sorted(frame.columns)
