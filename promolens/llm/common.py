@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,15 +36,23 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """A new folder in the shared one the session names in ``spark.checkpoint.dir``, else in the warehouse."""
+    """A new folder in the shared one the session names in ``spark.checkpoint.dir``, else in the warehouse.
+
+    A path on the machine's own disk is refused unless the session is local.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+    if shared.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{shared} is on one machine; set spark.checkpoint.dir to a folder all executors share")
     return f"{shared.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and carry on from the files: cuts lineage, survives lost executors."""
+def stored(df: DataFrame, block: int | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and carry on from the files: cuts lineage, survives lost executors.
+
+    ``block`` is the size of a row group, which a writing task holds in memory.
+    """
     path = checkpoint_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.options(**({"parquet.block.size": block} if block else {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -55,9 +64,24 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[..., Sequence]]) -> DataFrame:
+def parts_of(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts and byte strings take ``most`` bytes, or of one row that takes more."""
+    sizes = np.zeros(batch.num_rows, dtype=np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy()
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[..., Sequence]], most: int = 1 << 62) -> DataFrame:
     """``mapInArrow`` over Python lists: ``make()`` is called once per task and gives a function of the
-    columns of a batch, as lists, that returns the output columns in the order of ``schema``."""
+    columns of a batch, as lists, that returns the output columns in the order of ``schema``. It gets rows of at most
+    ``most`` bytes at a time, or a single longer one."""
     target = df.sparkSession.createDataFrame([], schema).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,11 +89,10 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[..., Sequen
 
         work, arrow = make(), to_arrow_schema(target)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            out = work(*(column.to_pylist() for column in batch.columns))
-            arrays = [pa.array(values, type=field.type) for values, field in zip(out, arrow, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+            for part in parts_of(batch, most):
+                out = work(*(column.to_pylist() for column in part.columns))
+                arrays = [pa.array(values, type=field.type) for values, field in zip(out, arrow, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return df.mapInArrow(run, target)
 

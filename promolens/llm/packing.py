@@ -12,11 +12,13 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from promolens.llm.bpe import ChunkCoder, parse_ranks
-from promolens.llm.common import map_rows, numbered, stored
+from promolens.llm.bpe import parse_ranks
+from promolens.llm.common import map_rows, numbered, parts_of, stored
 
 #: Tokens of a sequence, bins of piece lengths, and the most pieces of an enumerated combination.
 WINDOW, BINS, DEPTH = 2048, 128, 3
+#: Bytes of text or ids a Python worker takes at a time, and of a row group of the stored pieces.
+PART, BLOCK = 2 << 20, 16 << 20
 
 
 def combinations(bins: int = BINS, depth: int = DEPTH) -> list[tuple[int, ...]]:
@@ -111,10 +113,11 @@ def segments(found: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, i
 
 
 @lru_cache(maxsize=2)
-def _coder(content: bytes, pattern: str) -> ChunkCoder:
+def _encoding(content: bytes, pattern: str) -> tuple[tiktoken.Encoding, str]:
+    """The coder, and the type of its ids: 2 bytes where the vocabulary allows it, else 4."""
     ranks = parse_ranks(content)
     encoding = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return ChunkCoder(encoding.encode_ordinary, max(ranks.values()))
+    return encoding, "<u2" if max(ranks.values()) < 1 << 16 else "<u4"
 
 
 def token_pieces(docs: DataFrame, content: bytes, pattern: str, end_id: int, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -126,14 +129,13 @@ def token_pieces(docs: DataFrame, content: bytes, pattern: str, end_id: int, win
     vocabulary = docs.sparkSession.sparkContext.broadcast(content)
 
     def make() -> Callable:
-        coder = _coder(vocabulary.value, pattern)
-        kind = "<u2" if coder.code == "H" else "<u4"
+        encoding, kind = _encoding(vocabulary.value, pattern)
         narrow = kind if end_id < 1 << 16 else "<u4"
 
         def work(keys: list, texts: list) -> list[list]:
             out: list[list] = [[], [], [], [], [], []]
             for name, value in zip(keys, texts, strict=True):
-                ids = np.append(np.frombuffer(coder.packed(value), dtype=kind).astype("<u4"), np.uint32(end_id)).astype("<u4")
+                ids = np.array([*encoding.encode_ordinary(value), end_id], dtype="<u4")
                 for start in range(0, len(ids), window):
                     part = ids[start : start + window]
                     for column, x in zip(out, (name, start, len(part), zlib.crc32(part.tobytes()), len(ids), part.astype(narrow).tobytes()), strict=True):
@@ -143,7 +145,7 @@ def token_pieces(docs: DataFrame, content: bytes, pattern: str, end_id: int, win
         return work
 
     schema = f"`{key}` long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
-    return map_rows(docs.select(F.col(key).cast("long"), F.coalesce(F.col(text), F.lit(""))), schema, make)
+    return map_rows(docs.select(F.col(key).cast("long"), F.coalesce(F.col(text), F.lit(""))), schema, make, most=PART)
 
 
 def pack(pieces: DataFrame, key: str = "doc_id", window: int = WINDOW, bins: int = BINS) -> DataFrame:
@@ -172,20 +174,39 @@ def pack_documents(docs: DataFrame, content: bytes, pattern: str, end_id: int, k
     """Tokenise, cut and pack whole documents; see ``token_pieces`` and ``pack``. Each piece has its ``ids``, as an array.
 
     The pieces are stored in between. Places are found without the ids, which are joined to them once, by the piece.
+    Null texts are the end id alone, null keys and repeated rows are packed like others, no rows give no rows; further
+    columns of the documents are left behind.
     """
-    pieces = stored(token_pieces(docs, content, pattern, end_id, key=key, text=text).withColumn("_piece", F.monotonically_increasing_id()))
+    return _seated(docs, content, pattern, end_id, key, text, digest=False)
+
+
+def packed_digests(docs: DataFrame, content: bytes, pattern: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``pack_documents`` with the CRC-32 of the packed ids, of 4 bytes each, in place of the ids; read in one pass."""
+    return _seated(docs, content, pattern, end_id, key, text, digest=True)
+
+
+def _seated(docs: DataFrame, content: bytes, pattern: str, end_id: int, key: str, text: str, digest: bool) -> DataFrame:
+    pieces = stored(token_pieces(docs, content, pattern, end_id, key=key, text=text).withColumn("_piece", F.monotonically_increasing_id()), block=BLOCK)
     places = pack(pieces.drop("ids"), key)
     joined = places.join(pieces.select("_piece", "ids"), "_piece")
     plain = [c for c in places.columns if c != "_piece"]
-    schema = joined.select(*plain, F.array(F.lit(0)).alias("ids")).schema
+    at = plain.index("ids_crc32")
+    schema = joined.select(*plain, *([] if digest else [F.array(F.lit(0)).alias("ids")])).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lengths, packed = batch.column(plain.index("length")).to_numpy(), b"".join(batch.column(len(plain)).to_pylist())
-            ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
-            values = np.frombuffer(packed, dtype=f"<u{len(packed) // max(1, int(ends[-1]))}") if packed else np.empty(0)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(plain)], ids], [*plain, "ids"])
+            for part in parts_of(batch, PART):
+                columns, packed = part.columns[:-1], part.column(len(plain)).to_pylist()
+                lengths = part.column(plain.index("length")).to_numpy()
+                kinds = [f"<u{len(ids) // int(n)}" for ids, n in zip(packed, lengths, strict=True)]
+                if digest:
+                    sums = [zlib.crc32(np.frombuffer(ids, dtype=kind).astype("<u4").tobytes()) for ids, kind in zip(packed, kinds, strict=True)]
+                    columns[at] = pa.array(sums, pa.int64())
+                    yield pa.RecordBatch.from_arrays(columns, plain)
+                else:
+                    ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
+                    values = np.frombuffer(b"".join(packed), dtype=kinds[0]) if kinds else np.empty(0)
+                    yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(np.int32)))], [*plain, "ids"])
 
     return joined.select(*plain, "ids").mapInArrow(run, schema)
 
@@ -199,14 +220,14 @@ def digests(packed: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             *columns, ids = batch.columns
-            ends, values = ids.offsets.to_numpy().tolist(), ids.values.to_numpy().astype("<u4")
-            columns[at] = pa.array([zlib.crc32(values[a:b].tobytes()) for a, b in zip(ends, ends[1:], strict=False)], pa.int64())
+            ends, values = ids.offsets.to_numpy().tolist(), ids.values.to_numpy()
+            columns[at] = pa.array([zlib.crc32(values[a:b].astype("<u4").tobytes()) for a, b in zip(ends, ends[1:], strict=False)], pa.int64())
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return packed.select(*names, "ids").mapInArrow(run, schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
-    """The training sequences: one row (sequence_id, ids) for each, of at most a window of ids."""
+    """The training sequences: one row (sequence_id, ids) for each, of at most a window of ids; none for no pieces."""
     parts = F.sort_array(F.collect_list(F.struct("offset", "ids")))
     return packed.groupBy("sequence_id").agg(F.flatten(F.transform(parts, lambda x: x["ids"])).alias("ids"))

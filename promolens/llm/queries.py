@@ -81,7 +81,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return packing.digests(packing.pack_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, end_id=1))
+    return packing.packed_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, end_id=1)
 
 
 @query

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import map_rows, stored
+from promolens.llm.common import fresh, map_rows, stored
 
 #: Fingerprints link at this many differing bits; each half of 32 bits is covered for half as many.
 DISTANCE = 3
@@ -235,3 +235,26 @@ def near_duplicates(docs: DataFrame, words: int = 3, key: str = "doc_id", text:
     smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = labelled.join(smallest, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(F.col("key").alias(key), "fp", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, words: int = 3, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+    """The rows of ``docs`` that stand for their component of ``near_duplicates``, with all their columns: one row each.
+
+    It is the row of the smallest key; null keys come last, and of equal keys the smaller fingerprint and then the
+    smaller hash of the text decide. Null texts and those without words are one group. Of repeated rows one stays. No
+    rows give none. ``docs`` is read twice, and only keys and hashes are compared.
+    """
+
+    def make() -> Callable:
+        return lambda keys, hashes, texts: [keys, hashes, [fingerprint(value, words) for value in texts]]
+
+    given = docs.select(F.col(key).cast("long"), F.xxhash64(text), F.col(text))
+    prints = stored(map_rows(given, "key long, text_hash long, fp long", make, most=4 << 20))
+    first = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "fp", "text_hash")).alias("first")
+    distinct = prints.groupBy("fp").agg(first)
+    joined = components(links(distinct, hot))
+    labelled = distinct.join(joined, distinct["fp"] == joined["node"], "left").select(F.coalesce("root", "fp").alias("root"), "first")
+    name, content = fresh(docs, "kept_key"), fresh(docs, "kept_hash")
+    kept = labelled.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.key").alias(name), F.col("first.text_hash").alias(content))
+    own = F.col(key).cast("long").eqNullSafe(F.col(name)) & (F.xxhash64(text) == F.col(content))
+    return docs.join(kept, own).dropDuplicates([name, content]).select(*docs.columns)

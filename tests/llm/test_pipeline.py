@@ -3,13 +3,14 @@ from __future__ import annotations
 import hashlib
 import random
 
-import numpy as np
 import pytest
 from llm.conftest import ODD
+from llm.test_simhash import closure
+from llm.test_simhash import plain as simhash_of
 from llm.test_substrings import plain
 
 import corpus_pipeline
-from promolens.llm import wide_simhash
+from promolens.llm import simhash
 
 
 def prose(rng, n):
@@ -37,71 +38,28 @@ def rows():
     return out
 
 
-def test_fingerprint_distance_follows_similarity():
-    rng = random.Random(13)
-    for share, low, high in ((0.02, 5, 45), (0.5, 60, 140)):
-        words = prose(rng, 400)
-        other = [w if rng.random() > share else "edited" for w in words]
-        apart = sum(bin((a ^ b) & (2**64 - 1)).count("1") for a, b in zip(wide_simhash.fingerprint(" ".join(words)), wide_simhash.fingerprint(" ".join(other)), strict=True))
-        assert low < apart < high
+def stays(rows):
+    """Of each component of fingerprints, by comparing all, the row of the smallest key."""
+    root = closure([simhash_of(t) for _, t in rows])
+    best: dict = {}
+    for (i, t), r in zip(rows, root, strict=True):
+        best.setdefault(r, []).append((i is None, i or 0, simhash_of(t), i, t))
+    return sorted(((min(group)[3], min(group)[4]) for group in best.values()), key=repr)
 
 
 def test_near_dedup(documents, rows, spark):
-    for hot in (wide_simhash.HOT, 3):
-        kept = {r.key for r in wide_simhash.representatives(documents(rows), hot=hot).collect()}
-        assert {100 + 10 * k for k in range(60)} <= kept and {3000 + k for k in range(60)} <= kept
-        assert not {101 + 10 * k for k in range(1, 60, 2)} & kept
-        assert len({102 + 10 * k for k in range(1, 60, 2)} & kept) <= 1
-    frame = corpus_pipeline.near_dedup(spark, documents(rows), "")
-    got = [r.doc_id for r in frame.collect()]
-    assert len(got) == len(set(got)) and frame.columns == documents(rows).columns
-    assert got.count(4) == 1 and 5 not in got
-
-
-def shingled(text):
-    words = text.lower().split()
-    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
-
-
-def test_near_dedup_on_both_sides_of_the_threshold(documents):
     rng = random.Random(14)
-    rows, pairs = [], []
-    for k in range(240):
-        words = prose(rng, rng.randrange(60, 260))
-        near = list(words)
-        for at in rng.sample(range(len(near)), rng.randrange(1, 1 + len(near) // 25)):
-            near[at] = f"edited{at}"
-        if k % 4 == 0:
-            near = words + prose(rng, rng.randrange(1, len(words) // 2))
-        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(near))]
-        a, b = shingled(rows[-2][1]), shingled(rows[-1][1])
-        pairs.append((2 * k + 1, len(a & b) / len(a | b)))
-    near, far = {i for i, j in pairs if j >= 0.8}, {i for i, j in pairs if 0.6 <= j < 0.8}
-    assert len(near) > 60 and len(far) > 60
-    for block in (wide_simhash.BLOCK, 300):  # so few shingles that the two texts of a pair are in blocks of their own
-        kept = {r.key for r in wide_simhash.representatives(documents(rows), block=block).collect()}
-        assert far <= kept and len(near & kept) <= 0.05 * len(near) and set(range(0, 480, 2)) <= kept
-
-
-def test_alike_against_all_pairs():
-    rng = random.Random(15)
-    for texts in (120, 1):
-        sets = [{rng.randrange(40) for _ in range(rng.choice((1, 5, 38, 60, 90)))} for _ in range(texts)]
-        ordered = [np.array(sorted(s), dtype=np.uint64) for s in sets]
-        want = [(i, k) for i in range(texts) for k in range(i) if 5 * len(sets[i] & sets[k]) >= 4 * len(sets[i] | sets[k])]
-        got = wide_simhash.alike(np.arange(texts), ordered)
-        assert set(got) <= {p for i, k in want for p in ((i, k), (k, i))}
-        reached = {frozenset(c) for c in groups(texts, got)}
-        assert reached == {frozenset(c) for c in groups(texts, want)} and len(got) == texts - len(reached)
-
-
-def groups(n, links):
-    found = {i: {i} for i in range(n)}
-    for i, k in links:
-        both = found[i] | found[k]
-        for x in both:
-            found[x] = both
-    return found.values()
+    words = prose(rng, 3000)  # one edit in so long a text changes few bits
+    crowd = [(5000 + k, " ".join([*words[: 20 * k], f"edited{k}", *words[20 * k + 1 :]])) for k in range(60)]
+    many = rows + crowd + [(6000 + k, "one text of many copies") for k in range(200)]
+    random.Random(15).shuffle(many)
+    want = stays(many)
+    for hot in (simhash.HOT, 3):
+        frame = simhash.one_of_each_group(documents(many), hot=hot)
+        assert sorted(((r.doc_id, r.text) for r in frame.collect()), key=repr) == want and frame.columns == documents(many).columns
+    assert sum(i is not None and 5000 <= i < 5060 for i, _ in want) < 30 and sum(i is not None and i >= 6000 for i, _ in want) == 1
+    frame = corpus_pipeline.near_dedup(spark, documents(many), "")
+    assert sorted(((r.doc_id, r.text) for r in frame.collect()), key=repr) == want
 
 
 def test_stages(documents, rows, spark):
