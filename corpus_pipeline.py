@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm import bpe, packing, pseudonyms, quality, substrings, wide_simhash
+from promolens.llm import bpe, packing, pseudonyms, quality, simhash, substrings
 from promolens.llm.common import fresh, ship_package, stored, table
 from promolens.llm.queries import PSEUDONYM_KEY
 
@@ -32,8 +32,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, a similarity of 0.8 or more."""
-    return wide_simhash.one_of_each_group(docs)
+    """One document of each group whose fingerprints of three-word shingles link at three differing bits or fewer.
+
+    That of the smallest doc_id stays, null ids last; null and empty texts are one group, and of repeated rows one stays.
+    """
+    return simhash.one_of_each_group(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
