@@ -9,7 +9,7 @@ from promolens.config import DEFAULT_METRICS_TABLE
 from promolens.functions.ratios import change_percent, percent, ratio
 from promolens.quality.validators import validate_metrics
 from promolens.schemas import METRICS, PERIODS, PROMO_KEYS
-from promolens.sources.sink import save_metrics, stage, stage_folder
+from promolens.sources.sink import save_metrics
 
 
 def aggregate_by_period(tagged: DataFrame) -> DataFrame:
@@ -98,14 +98,13 @@ def calculate_metrics(
 ) -> DataFrame:
     """Wide metrics of tagged transactions, optionally derived and saved.
 
-    Saving starts jobs: the result is computed once into a staged table, validated there,
-    and only then replaces the rows of ``table_name``.
+    Saving starts jobs: the result is computed once into a new location of the table, validated there,
+    and only then replaces the rows of ``table_name``, from which it is returned.
     """
     metrics = widen_rollup(rollup_by_customer(tagged))
     if include_derived:
         metrics = add_derived_metrics(metrics)
     if not save_to_table:
         return metrics
-    metrics = stage(metrics, stage_folder(metrics.sparkSession), "metrics")
-    save_metrics(validate_metrics(metrics), table_name)
-    return metrics
+    save_metrics(metrics, table_name, check=validate_metrics)
+    return metrics.sparkSession.table(table_name).select(*metrics.columns)

@@ -97,7 +97,7 @@ def run(
     if loyalty_table is not None:
         save_loyalty_scan(stages.loyalty_valid, loyalty_table)
     if table_name is not None:
-        save_metrics(validate_metrics(metrics), table_name)
+        save_metrics(metrics, table_name, check=validate_metrics)
     summaries = {
         "discounts": reports.discount_summary(stages.scan),
         "loyalty": reports.loyalty_summary(stages.loyalty_all),

@@ -8,7 +8,7 @@ from promolens.plans.stages import Stages
 from promolens.schemas import TABLES
 from promolens.sources.catalog import DEFAULT_LOCATIONS, Catalog
 from promolens.sources.loaders import VIEWS, load, load_all, load_scan_table
-from promolens.sources.sink import remove_folder, save_metrics, stage, stage_folder
+from promolens.sources.sink import remove_folder, restore_previous, save_metrics, stage, stage_folder
 
 
 def test_every_view_has_a_default_location():
@@ -79,6 +79,64 @@ def test_saved_table_keeps_and_gains_columns(spark):
     assert [tuple(r) for r in spark.table("evolving").collect()] == [("c", 3, None, None)]
 
 
+def _location(spark, table):
+    return next(r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r.col_name == "Location")
+
+
+def _half_way(spark):
+    """Rows of which the last can't be computed, after others are written."""
+    return spark.range(0, 100, 1, 4).selectExpr("CASE WHEN id = 99 THEN raise_error('half way') ELSE 'new' END AS k", "CAST(id AS INT) AS v")
+
+
+def test_failed_replacement_leaves_the_old_rows(spark, tmp_path):
+    for table, path in (("failing", None), ("failing_at_path", str(tmp_path / "t"))):
+        save_metrics(spark.sql("SELECT 'a' AS k, 1 AS v"), table, path)
+        before = _location(spark, table)
+        reader = spark.table(table)
+        with pytest.raises(Exception, match="half way"):
+            save_metrics(_half_way(spark), table)
+
+        def refuse(rows):
+            assert rows.count() == 2
+            raise ValueError("not these")
+
+        with pytest.raises(ValueError, match="not these"):
+            save_metrics(spark.sql("SELECT 'b' AS k, 2 AS v UNION ALL SELECT 'c', 3"), table, check=refuse)
+        assert _location(spark, table) == before
+        assert [tuple(r) for r in spark.table(table).collect()] == [("a", 1)] == [tuple(r) for r in reader.collect()]
+    assert not list((tmp_path / "t_versions").iterdir())
+
+
+def test_replacement_keeps_the_last_version_only(spark, tmp_path):
+    table = "versioned"
+    save_metrics(spark.sql("SELECT 1 AS v"), table, str(tmp_path / "t"))
+    begun = spark.table(table)
+    save_metrics(spark.sql("SELECT 2 AS v"), table)
+    assert [r.v for r in begun.collect()] == [1]  # a reader that began before
+    save_metrics(spark.sql("SELECT 3 AS v"), table, check=lambda rows: rows.count())
+    assert len(list((tmp_path / "t_versions").iterdir())) == 2 and not (tmp_path / "t").exists()
+    restore_previous(spark, table)
+    assert [r.v for r in spark.table(table).collect()] == [2]
+    restore_previous(spark, table)
+    assert [r.v for r in spark.table(table).collect()] == [3]
+    save_metrics(spark.sql("SELECT 1 AS v"), "unversioned")
+    with pytest.raises(ValueError, match="no earlier rows"):
+        restore_previous(spark, "unversioned")
+
+
+def test_refused_new_table_is_not_created(spark):
+    with pytest.raises(ZeroDivisionError):
+        save_metrics(spark.sql("SELECT 1 AS v"), "never", check=lambda rows: 1 // 0)
+    assert not spark.catalog.tableExists("never")
+
+
+def test_failed_replacement_of_a_partitioned_table(spark):
+    spark.sql("SELECT 1 AS v, 'old' AS k").write.partitionBy("k").saveAsTable("parted_failing")
+    with pytest.raises(Exception, match="half way"):
+        save_metrics(_half_way(spark), "parted_failing")
+    assert [tuple(r) for r in spark.table("parted_failing").collect()] == [(1, "old")]
+
+
 def test_partitioned_table_keeps_no_old_rows(spark):
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")

@@ -438,6 +438,7 @@ BODIES: dict[str, str] = {
     "metrics_derived": f"SELECT {_doubles(*TOTALS)} FROM metrics",
     "metrics_all_promos": f"SELECT {_doubles(*TOTALS)} FROM (SELECT {KEYS} FROM windows) LEFT JOIN metrics USING ({KEYS})",
     "metrics_sink_roundtrip": f"SELECT {_doubles(*TOTALS)} FROM metrics",
+    "metrics_sink_failed_write": f"SELECT {_doubles(*TOTALS)} FROM metrics_wide",
     **{f"quality_{layer}": _checks(layer) for layer in CHECKS},
     "quality_coverage": f"""SELECT 'source_coverage' AS check_name, true AS passed,
         round(CAST(({COVERED}) AS DOUBLE) / (SELECT count(*) FROM loyalty_valid) * 100, 6) AS value""",
