@@ -26,7 +26,7 @@ class Settings:
     ``unmatched`` says what overlap flag a promotion gets that has no other promotion at
     its outlet and brand: ``"zero"`` (no overlap) or ``"null"`` (unknown, so neither
     window is accepted). Dimensions and promotion spans are broadcast if a count finds at
-    most ``broadcast_rows`` rows.
+    most ``broadcast_rows`` rows. More than ``max_gap_days`` days without sales fail the checks.
     """
 
     # The defaults of what is loaded.
@@ -41,6 +41,8 @@ class Settings:
     unmatched: str = "zero"
     brand_rules: tuple[tuple[str, str, str], ...] = DEFAULT_BRAND_RULES
     broadcast_rows: int = 1_000_000
+    # The longest run of days without any sale that is no sign of lost data.
+    max_gap_days: int = 7
 
     def __post_init__(self) -> None:
         if self.unmatched not in ("zero", "null"):

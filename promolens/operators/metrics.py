@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.config import DEFAULT_METRICS_TABLE
 from promolens.functions.ratios import change_percent, percent, ratio
 from promolens.quality.validators import validate_metrics
-from promolens.schemas import METRICS, PERIODS, PROMO_KEYS
+from promolens.schemas import METRICS, PERIODS, PLACE_KEYS, PROMO_KEYS
 from promolens.sources.sink import save_metrics
 
 
@@ -41,13 +41,43 @@ def rollup_by_customer(tagged: DataFrame) -> DataFrame:
     The shuffle is on the customer too, and rows are combined before it, so neither a
     promotion nor a customer that most transactions belong to fills a single task.
     """
-    return tagged.groupBy(*PROMO_KEYS, "period", "LoyaltyCode").agg(
+    return tagged.groupBy(*PROMO_KEYS, "period", "LoyaltyCode").agg(*_sums())
+
+
+# Levels of the accounts: one customer of a promotion and period, or one place and period.
+CUSTOMER, PLACE = "customer", "place"
+
+
+def rollup_with_ledger(tagged: DataFrame) -> DataFrame:
+    """The rows of :func:`rollup_by_customer`, and beside them a ledger: the same sums per place and period.
+
+    ``level`` says which a row is. Both come out of one aggregation of one pass, whose shuffle counts every transaction
+    once whatever tasks are repeated. A ledger row is a plain sum, so ledgers of parts of the sales add up to that of
+    all, in any order, and so do those of places to any wider group.
+    """
+    keys = [*PROMO_KEYS, "period", "LoyaltyCode"]
+    sets = tagged.groupingSets([keys, [*PLACE_KEYS, "period"]], *keys)
+    level = F.when(F.grouping("LoyaltyCode") == 0, CUSTOMER).otherwise(PLACE)
+    return sets.agg(*_sums(), level.alias("level"))
+
+
+def rollup_of(accounts: DataFrame) -> DataFrame:
+    return accounts.filter(F.col("level") == CUSTOMER).drop("level")
+
+
+def ledger_of(accounts: DataFrame) -> DataFrame:
+    names = [c for c in accounts.columns if c not in ("level", "LoyaltyCode", *PROMO_KEYS) or c in PLACE_KEYS]
+    return accounts.filter(F.col("level") == PLACE).select(*names)
+
+
+def _sums() -> list[Column]:
+    return [
         F.sum("MetricVolume").alias("MetricVolume"),
         F.sum("MetricValue").alias("MetricValue"),
         F.count("*").alias("tagged_rows"),
         F.count_if(F.col("MetricVolume") < 0).alias("negative_volume_rows"),
         F.count_if(F.col("MetricValue") < 0).alias("negative_value_rows"),
-    )
+    ]
 
 
 def widen_rollup(rollup: DataFrame) -> DataFrame:

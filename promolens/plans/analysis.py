@@ -86,6 +86,7 @@ def run(
             stages.totals,
             coverage=True,
             lift_severity=lift_severity,
+            ledger=stages.kept("ledger"),
         )
         checks = evaluate(frames, raise_on_failure=False)
         if audit_table is not None:

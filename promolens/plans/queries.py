@@ -47,6 +47,8 @@ from promolens.operators.tagging import (
 )
 from promolens.plans.stages import Stages
 from promolens.quality import layers, validators
+from promolens.quality.gaps import date_gaps
+from promolens.quality.ledger import differences
 from promolens.quality.report import QualityReport, check_frames, save_audit
 from promolens.schemas import AFTER, BEFORE, DURING, PROMO_KEYS
 from promolens.sources.loaders import VIEWS
@@ -180,7 +182,16 @@ def _source_checks(s: Stages) -> DataFrame:
 
 def _reconciliation(s: Stages) -> DataFrame:
     rollup = s.kept("rollup")
-    return layers.check_reconciliation(rollup, widen_rollup(rollup), s.totals)
+    return layers.check_reconciliation(rollup, widen_rollup(rollup), s.totals, s.kept("ledger"))
+
+
+def _altered_places(s: Stages) -> DataFrame:
+    """Which places differ if the metrics of one outlet lost their after period and another's volume is one too much."""
+    metrics = stage(widen_rollup(s.kept("rollup")), s.folder, "wide")
+    first, last = metrics.agg(F.min("OutletIdentifier"), F.max("OutletIdentifier")).first()
+    lost = F.when(F.col("OutletIdentifier") != first, F.col("after_promo_total_value"))
+    more = F.col("during_promo_total_volume") + F.when(F.col("OutletIdentifier") == last, 1).otherwise(0)
+    return differences(s.kept("ledger"), metrics.withColumns({"after_promo_total_value": lost, "during_promo_total_volume": more}))
 
 
 def _check_frames(s: Stages) -> list[DataFrame]:
@@ -197,6 +208,7 @@ def _check_frames(s: Stages) -> list[DataFrame]:
         add_derived_metrics(widen_rollup(rollup)),
         s.settings,
         totals=s.totals,
+        ledger=s.kept("ledger"),
     )
 
 
@@ -269,6 +281,10 @@ QUERIES: dict[str, StageQuery] = {
     "quality_tagging": _checks(lambda s: layers.check_tagged_transactions(s.tagged)),
     "quality_output": _checks(lambda s: layers.check_final_metrics(s.metrics)),
     "quality_reconciliation": _checks(_reconciliation),
+    "ledger": lambda s: s.kept("ledger"),
+    "ledger_differences": _altered_places,
+    "date_gaps": lambda s: date_gaps(s.table("scan")),
+    "outlet_date_gaps": lambda s: date_gaps(s.table("scan"), "OutletKey", least=21, expected_keys=(19970101, 19981231)),
     "quality_coverage": _checks(
         lambda s: layers.check_source_coverage(
             s.loyalty_valid, s.kept("windows"), s.settings, broadcast_rows=s.settings.broadcast_rows

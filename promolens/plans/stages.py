@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promolens.config import Settings
 from promolens.operators.discounts import add_discount_columns
 from promolens.operators.enrich import enrich_scan, promos_with_sales
 from promolens.operators.loyalty import process_loyalty_data, standardise_promo_brands
-from promolens.operators.metrics import add_derived_metrics, rollup_by_customer, widen_rollup
+from promolens.operators.metrics import add_derived_metrics, ledger_of, rollup_by_customer, rollup_of, rollup_with_ledger, widen_rollup
 from promolens.operators.overlap import detect_overlaps
 from promolens.operators.promo_windows import build_promo_windows
 from promolens.operators.tagging import tag_transactions
+from promolens.quality.core import measure
 from promolens.quality.layers import tagged_totals
 from promolens.schemas import BRAND, OUTLET
 from promolens.sources.catalog import Catalog
@@ -63,17 +64,17 @@ class Stages:
         Overlap detection reads the promotions twice and tagging needs to know how large the
         windows are. Without this, the promotion rates would be scanned once per use.
         """
+        if name in ("rollup", "ledger") and name not in self._kept:
+            accounts = stage(rollup_with_ledger(self.tagged), self.folder, "accounts", by="level")
+            self._kept |= {"rollup": rollup_of(accounts), "ledger": ledger_of(accounts)}
         if name not in self._kept:
             self._kept[name] = stage(getattr(self, name), self.folder, name)
         return self._kept[name]
 
     @cached_property
     def totals(self) -> DataFrame:
-        """Totals of the tagged transactions, observed while their rollup was stored: one row, no further pass."""
-        self.kept("rollup")
-        found = self._observed.get
-        kinds = [f"CAST('{value}' AS DECIMAL(38, 4)) AS {name}" for name, value in found.items()]
-        return self.catalog.spark.range(1).selectExpr(*kinds)
+        """Totals of the tagged transactions: the sum of the ledger that was stored with their rollup."""
+        return measure(self.kept("ledger"), tagged_totals())
 
     def table(self, name: str) -> DataFrame:
         return load(self.catalog, name, self.settings)
@@ -141,9 +142,7 @@ class Stages:
         The tagged transactions themselves are never stored: whatever is asked about them,
         this smaller set answers.
         """
-        self._observed = Observation("tagged")
-        totals = (F.expr(sql).alias(name) for name, sql in tagged_totals().items())
-        return rollup_by_customer(self.tagged.observe(self._observed, *totals))
+        return rollup_by_customer(self.tagged)
 
     @cached_property
     def metrics(self) -> DataFrame:

@@ -17,7 +17,10 @@ ERROR, WARN, INFO = "error", "warn", "info"
 
 @dataclass(frozen=True)
 class Check:
-    """A named condition over measures. ``passed`` that comes out null counts as failed."""
+    """A named condition over measures. ``passed`` that comes out null counts as failed.
+
+    ``detail`` is an expression whose text, if any, ends the message of a check that has not passed.
+    """
 
     name: str
     label: str
@@ -26,6 +29,7 @@ class Check:
     threshold: str = "0"
     severity: str = ERROR
     unit: str = ""
+    detail: str = "''"
 
 
 def none_of(name: str, label: str, measure: str, severity: str = ERROR) -> Check:
@@ -93,7 +97,8 @@ def as_layers(measures: DataFrame, layers: Mapping[str, Iterable[Check]]) -> Dat
             'layer', {literal(layer)}, 'check_name', {literal(check.name)},
             'severity', {literal(check.severity)}, 'passed', coalesce({check.passed}, false),
             'message', concat({literal(check.label + ": ")},
-                coalesce(CAST({check.value} AS STRING), 'unknown'), {literal(check.unit)}),
+                coalesce(CAST({check.value} AS STRING), 'unknown'), {literal(check.unit)},
+                CASE WHEN {check.passed} THEN '' ELSE coalesce({check.detail}, '') END),
             'value', CAST({check.value} AS DOUBLE), 'threshold', CAST({check.threshold} AS DOUBLE))"""
 
     rows = ", ".join(row(layer, check) for layer, checks in layers.items() for check in checks)

@@ -29,6 +29,8 @@ from promolens.quality.core import (
     side_by_side,
     some_of,
 )
+from promolens.quality.gaps import longest_gap
+from promolens.quality.ledger import differences
 from promolens.schemas import BRAND, END, OUTLET, PERIODS, PLACE_KEYS, PROMO, START
 
 # Limits of the checks, in percent. The names of the checks below are fixed values as well.
@@ -48,6 +50,8 @@ def _scan_measures(scan: DataFrame, settings: Settings) -> dict[str, str]:
         "no_product": over(scan, "count_if(ProductKey IS NULL)", "ProductKey"),
         "first_key": over(scan, "min(DateKey)", "DateKey"),
         "last_key": over(scan, "max(DateKey)", "DateKey"),
+        # As many as the calendar has days.
+        "day_keys": "collect_set(DateKey)" if "DateKey" in scan.columns else "max(CAST(NULL AS ARRAY<INT>))",
     }
 
 
@@ -70,6 +74,7 @@ def _source_row(scan_row: DataFrame, outlet: DataFrame, product: DataFrame, prom
 def _source_checks(
     scan: DataFrame, outlet: DataFrame, product: DataFrame, promo: DataFrame, settings: Settings, expected_keys: tuple[int, int] | None
 ) -> list[Check]:
+    gap = longest_gap("day_keys", *(expected_keys or ()))
     covered, last, severity = "first_key IS NOT NULL", "last_key", INFO
     if expected_keys is not None:
         covered = f"first_key <= {expected_keys[0]} AND last_key >= {expected_keys[1]}"
@@ -88,6 +93,10 @@ def _source_checks(
         columns_present("product_columns_present", product, ("ProductKey", BRAND)),
         columns_present("promo_columns_present", promo, (PROMO, "PromotionStatus")),
         Check("date_range_covered", "Last day in the scan", "last_key", covered, last, severity),
+        Check(
+            "dates_without_gaps", "Longest run of days without sales", f"{gap}.days", f"{gap}.days <= {settings.max_gap_days}",
+            str(settings.max_gap_days), detail=f"concat(', from ', {gap}.gap_start, ' to ', {gap}.gap_end)",
+        ),
         none_of("unique_outlet_key", "Outlet keys held more than once", "(outlet_rows - outlets)"),
         none_of("unique_product_key", "Product keys held more than once", "(product_rows - products)"),
     ]
@@ -101,9 +110,10 @@ def check_source_data(
     settings: Settings,
     expected_keys: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Inputs: present, filtered, keyed, and covering the expected date keys.
+    """Inputs: present, filtered, keyed, and covering the expected date keys without gaps.
 
-    Without expected keys nothing is known about the range, so that check is informational.
+    Without expected keys nothing is known about the range, so that check is informational; gaps are then looked for
+    between the first and the last day there is.
     """
     row = _source_row(measure(scan, _scan_measures(scan, settings)), outlet, product, promo, settings)
     return as_checks("source", row, _source_checks(scan, outlet, product, promo, settings, expected_keys))
@@ -178,9 +188,13 @@ def _loyalty_checks() -> list[Check]:
 
 
 def check_loyalty_derivation(everyone: DataFrame, valid: DataFrame) -> DataFrame:
-    """Loyalty codes: set, well-formed, and derived for a plausible share of lines."""
+    """Loyalty codes: set, well-formed, and derived for a plausible share of lines.
+
+    Lines read back from an earlier run are all valid; given as both frames, no share of them is checked.
+    """
     row = side_by_side(measure(everyone, {"all_rows": "count(*)"}), measure(valid, _code_measures(valid, "true")))
-    return as_checks("loyalty", row, _loyalty_checks())
+    checks = [c for c in _loyalty_checks() if everyone is not valid or c.name != "loyalty_derivation_rate"]
+    return as_checks("loyalty", row, checks)
 
 
 def check_loyalty_lines(
@@ -347,16 +361,20 @@ def tagged_totals() -> dict[str, str]:
     return totals
 
 
-def check_reconciliation(tagged: DataFrame, metrics: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+def check_reconciliation(
+    tagged: DataFrame, metrics: DataFrame, totals: DataFrame | None = None, ledger: DataFrame | None = None
+) -> DataFrame:
     """Volume and value add up to the same before and after aggregation, in all and per period.
 
-    ``totals``, a row of :func:`tagged_totals` observed while the tagged rows were aggregated, spares reading them again.
+    ``totals``, a row of :func:`tagged_totals`, spares reading the tagged rows again. With the ``ledger`` of these rows
+    every place must agree to the last digit as well; ``quality.ledger.differences`` names those that do not.
     """
     output = {
         f"output_{period}_{kind}": f"coalesce(sum({period}_total_{kind}), 0)" for kind in AMOUNTS for period in PERIODS
     }
     source = measure(tagged, tagged_totals()) if totals is None else totals
-    row = side_by_side(source, measure(metrics, output))
+    apart = [] if ledger is None else [measure(differences(ledger, metrics), {"places_apart": "count(*)"})]
+    row = side_by_side(source, measure(metrics, output), *apart)
 
     def check(what: str, found: str, written: str) -> Check:
         # Nothing to compare with counts as no difference.
@@ -375,6 +393,8 @@ def check_reconciliation(tagged: DataFrame, metrics: DataFrame, totals: DataFram
         for period in PERIODS
         for kind in AMOUNTS
     ]
+    if ledger is not None:
+        checks.append(none_of("places_reconcile", "Places and periods whose totals differ", "places_apart"))
     return as_checks("reconciliation", row, checks)
 
 

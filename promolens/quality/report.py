@@ -119,12 +119,13 @@ def check_frames(
     totals: DataFrame | None = None,
     coverage: bool = False,
     lift_severity: str = ERROR,
+    ledger: DataFrame | None = None,
 ) -> list[DataFrame]:
     """Check rows of all layers, each large input read once.
 
     The scan is read for the source and the discount layer together. Without ``valid`` the loyalty layer takes its
-    valid lines out of ``everyone``, and with ``coverage`` measures that layer in the same pass. ``totals`` are those
-    observed while the tagged rows were aggregated.
+    valid lines out of ``everyone``, and with ``coverage`` measures that layer in the same pass. ``totals`` and ``ledger``
+    are those of the tagged rows, stored with their rollup.
     """
     if valid is None:
         among = (windows, settings, settings.broadcast_rows) if coverage else ()
@@ -140,7 +141,7 @@ def check_frames(
         layers.check_overlap_detection(promos, windows),
         layers.check_tagged_transactions(tagged),
         layers.check_final_metrics(metrics, lift_severity),
-        layers.check_reconciliation(tagged, metrics, totals),
+        layers.check_reconciliation(tagged, metrics, totals, ledger),
     ]
 
 

@@ -29,14 +29,15 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Write ``df`` once and carry on from the files.
+def stage(df: DataFrame, folder: str, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` once and carry on from the files, partitioned by a column of few values if one is named.
 
     Later stages re-read columns they need instead of recomputing, and the file sizes give
     the optimizer true statistics to choose between a broadcast and a shuffled join.
     """
     path = f"{folder}/{name}"
-    df.write.mode("error").parquet(path)
+    writer = df.write.mode("error")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

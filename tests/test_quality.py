@@ -62,7 +62,7 @@ def test_source_checks_on_dimensions(spark, settings):
     twice = outlet.union(outlet)
     draft = table(spark, "promo_master", {"PromotionStatus": "'Draft'"}, {"PromotionStatus": "NULL"})
     checks = layers.check_source_data(scan(spark), twice, product.drop("ReportingBrandName"), draft, settings, (20250101, 20250701))
-    assert failed(checks) == ["date_range_covered", "product_columns_present", "promo_status_filtered", "unique_outlet_key"]
+    assert failed(checks) == ["date_range_covered", "dates_without_gaps", "product_columns_present", "promo_status_filtered", "unique_outlet_key"]
     values = {r.check_name: r.value for r in checks.collect()}
     assert (values["promo_status_filtered"], values["unique_outlet_key"]) == (2, 1)
 

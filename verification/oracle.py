@@ -275,6 +275,27 @@ def _sums() -> list[str]:
 
 RATE = "(SELECT CAST((SELECT count(*) FROM loyalty_valid) AS DOUBLE) / (SELECT count(*) FROM loyalty_all) * 100)"
 
+LONGEST_GAP = f"""(SELECT coalesce(max(date_diff('day', before, day) - 1), 0) FROM (
+    SELECT day, lag(day) OVER (ORDER BY day) AS before FROM (SELECT DISTINCT {_as_date('DateKey')} AS day FROM scan)))"""
+
+# The two sides of every place and period, full outer.
+PLACE_SUMS = """
+    SELECT OutletIdentifier, ReportingBrandName, period, coalesce(s.volume, 0) AS source_volume, coalesce(o.volume, 0) AS output_volume,
+           coalesce(s.amount, 0) AS source_value, coalesce(o.amount, 0) AS output_value
+    FROM (SELECT OutletIdentifier, ReportingBrandName, period, sum(MetricVolume) AS volume, sum(MetricValue) AS amount FROM tagged GROUP BY ALL) s
+    FULL JOIN (
+      SELECT OutletIdentifier, ReportingBrandName, period, sum(volume) AS volume, sum(amount) AS amount FROM (
+        SELECT OutletIdentifier, ReportingBrandName, 'before_promo' AS period, before_promo_total_volume AS volume, before_promo_total_value AS amount FROM {metrics}
+        UNION ALL SELECT OutletIdentifier, ReportingBrandName, 'during_promo', during_promo_total_volume, during_promo_total_value FROM {metrics}
+        UNION ALL SELECT OutletIdentifier, ReportingBrandName, 'after_promo', after_promo_total_volume, after_promo_total_value FROM {metrics}
+      ) GROUP BY ALL
+    ) o USING (OutletIdentifier, ReportingBrandName, period)
+    WHERE coalesce(s.volume, 0) <> coalesce(o.volume, 0) OR coalesce(s.amount, 0) <> coalesce(o.amount, 0)"""
+ALTERED = """(SELECT * REPLACE (
+    CASE WHEN OutletIdentifier <> (SELECT min(OutletIdentifier) FROM metrics_wide) THEN after_promo_total_value END AS after_promo_total_value,
+    during_promo_total_volume + CASE WHEN OutletIdentifier = (SELECT max(OutletIdentifier) FROM metrics_wide) THEN 1 ELSE 0 END AS during_promo_total_volume
+  ) FROM metrics_wide)"""
+
 CHECKS: dict[str, list[str]] = {
     "source": [
         _some("scan_table_not_empty", "scan"),
@@ -290,6 +311,7 @@ CHECKS: dict[str, list[str]] = {
         _present("product_columns_present"),
         _present("promo_columns_present"),
         _check("date_range_covered", "(SELECT max(DateKey) FROM scan)", "(SELECT count(DateKey) > 0 FROM scan)"),
+        _check("dates_without_gaps", LONGEST_GAP, f"{LONGEST_GAP} <= 7"),
         _repeated("unique_outlet_key", "outlet", "OutletKey"),
         _repeated("unique_product_key", "product", "ProductKey"),
     ],
@@ -355,7 +377,7 @@ CHECKS: dict[str, list[str]] = {
         _zero("retention_reasonable", "metrics", "customer_retention_rate < 0"),
         _zero("customer_value_reasonable", "metrics", "value_per_loyal_customer_during < 0"),
     ],
-    "reconciliation": _sums(),
+    "reconciliation": [*_sums(), _zero("places_reconcile", f"({PLACE_SUMS.format(metrics='metrics_wide')})", "true")],
 }
 
 
@@ -440,6 +462,20 @@ BODIES: dict[str, str] = {
     "metrics_sink_roundtrip": f"SELECT {_doubles(*TOTALS)} FROM metrics",
     "metrics_sink_failed_write": f"SELECT {_doubles(*TOTALS)} FROM metrics_wide",
     **{f"quality_{layer}": _checks(layer) for layer in CHECKS},
+    "ledger": """SELECT OutletIdentifier, ReportingBrandName, period, CAST(sum(MetricVolume) AS DOUBLE) AS MetricVolume,
+        CAST(sum(MetricValue) AS DOUBLE) AS MetricValue, count(*) AS tagged_rows,
+        count(*) FILTER (WHERE MetricVolume < 0) AS negative_volume_rows, count(*) FILTER (WHERE MetricValue < 0) AS negative_value_rows
+        FROM tagged GROUP BY OutletIdentifier, ReportingBrandName, period""",
+    "ledger_differences": f"SELECT {_doubles('source_volume', 'output_volume', 'source_value', 'output_value')} FROM ({PLACE_SUMS.format(metrics=ALTERED)})",
+    "date_gaps": f"""SELECT CAST(before + 1 AS DATE) AS gap_start, CAST(day - 1 AS DATE) AS gap_end, CAST(date_diff('day', before, day) - 1 AS INTEGER) AS gap_days
+        FROM (SELECT day, lag(day) OVER (ORDER BY day) AS before FROM (SELECT DISTINCT {_as_date('DateKey')} AS day FROM scan))
+        WHERE date_diff('day', before, day) > 1""",
+    "outlet_date_gaps": f"""SELECT OutletKey, CAST(before + 1 AS DATE) AS gap_start, CAST(day - 1 AS DATE) AS gap_end,
+        CAST(date_diff('day', before, day) - 1 AS INTEGER) AS gap_days
+        FROM (SELECT OutletKey, day, lag(day) OVER (PARTITION BY OutletKey ORDER BY day) AS before FROM (
+          SELECT DISTINCT OutletKey, {_as_date('DateKey')} AS day FROM scan WHERE DateKey BETWEEN 19970101 AND 19981231
+          UNION SELECT DISTINCT OutletKey, DATE '1996-12-31' FROM scan UNION SELECT DISTINCT OutletKey, DATE '1999-01-01' FROM scan))
+        WHERE date_diff('day', before, day) > 21""",
     "quality_coverage": f"""SELECT 'source_coverage' AS check_name, true AS passed,
         round(CAST(({COVERED}) AS DOUBLE) / (SELECT count(*) FROM loyalty_valid) * 100, 6) AS value""",
     "quality_all": " UNION ALL ".join(
