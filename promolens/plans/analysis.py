@@ -87,6 +87,7 @@ def run(
             coverage=True,
             lift_severity=lift_severity,
             ledger=stages.kept("ledger"),
+            derived=from_scan,
         )
         checks = evaluate(frames, raise_on_failure=False)
         if audit_table is not None:

@@ -35,6 +35,7 @@ from promolens.operators.metrics import (
 )
 from promolens.operators.overlap import add_overlap_flags, detect_overlaps
 from promolens.operators.promo_windows import build_promo_result
+from promolens.operators.segments import tag_by_segments
 from promolens.operators.tagging import (
     get_after_windows,
     get_before_windows,
@@ -265,6 +266,7 @@ QUERIES: dict[str, StageQuery] = {
     "tag_before": _tag(tag_before_transactions),
     "tag_after": _tag(tag_after_transactions),
     "tag_transactions": lambda s: s.tagged,
+    "tag_by_segments": _tag(tag_by_segments),
     "union_all_periods": _tagged_apart,
     "metrics_long": lambda s: aggregate_by_period(s.tagged),
     "metrics_pivot": lambda s: pivot_to_wide_format(aggregate_by_period(s.tagged)),

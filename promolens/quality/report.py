@@ -120,18 +120,19 @@ def check_frames(
     coverage: bool = False,
     lift_severity: str = ERROR,
     ledger: DataFrame | None = None,
+    derived: bool = True,
 ) -> list[DataFrame]:
     """Check rows of all layers, each large input read once.
 
     The scan is read for the source and the discount layer together. Without ``valid`` the loyalty layer takes its
     valid lines out of ``everyone``, and with ``coverage`` measures that layer in the same pass. ``totals`` and ``ledger``
-    are those of the tagged rows, stored with their rollup.
+    are those of the tagged rows, stored with their rollup. Loyalty lines of an earlier run are not ``derived`` here.
     """
     if valid is None:
         among = (windows, settings, settings.broadcast_rows) if coverage else ()
         loyalty = [layers.check_loyalty_lines(everyone, *among)]
     else:
-        loyalty = [layers.check_loyalty_derivation(everyone, valid)]
+        loyalty = [layers.check_loyalty_derivation(everyone, valid, derived)]
         if coverage:
             loyalty.append(layers.check_source_coverage(valid, windows, settings, broadcast_rows=settings.broadcast_rows))
     return [

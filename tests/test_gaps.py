@@ -81,7 +81,8 @@ def test_gaps_of_outlets(spark, expected):
 def test_no_days(spark, settings):
     empty = sales(spark, [(1, None), (2, 0)])
     assert gaps.date_gaps(empty).count() == 0 and gaps.date_gaps(empty.limit(0), "OutletKey").count() == 0
-    assert "dates_without_gaps" in failed(layers.check_source_data(empty, *dimensions(spark), settings))
+    assert "dates_without_gaps" not in failed(layers.check_source_data(empty, *dimensions(spark), settings))
+    assert "dates_without_gaps" in failed(layers.check_source_data(empty, *dimensions(spark), settings, (20250101, 20250201)))
     assert failed(layers.check_source_data(sales(spark, [(1, FIRST)]), *dimensions(spark), settings)) == []
 
 

@@ -224,7 +224,7 @@ def test_checks_without_their_column_fail(spark, settings):
     codes = spark.createDataFrame([("WRONG-1",)], "LoyaltyCode string")
     assert failed(layers.check_loyalty_derivation(codes, codes)) == ["codes_start_with_submitter"]
     no_day = layers.check_source_data(scan(spark).drop("DateKey"), *dimensions(spark), settings)
-    assert failed(no_day) == ["date_range_covered", "scan_columns_present", "scan_date_filter_applied"]
+    assert failed(no_day) == ["date_range_covered", "dates_without_gaps", "scan_columns_present", "scan_date_filter_applied"]
 
 
 def test_range_is_informational_unless_expected(spark, settings):
@@ -257,12 +257,12 @@ def test_all_layers_in_one_job(spark, settings):
     reports = run_all_quality_checks(*frames, settings=settings)
     assert list(reports) == ["source", "discounts", "loyalty", "windows", "overlap", "tagging", "output", "reconciliation"]
     assert all(r.all_passed for r in reports.values())
-    assert sum(len(r.results) for r in reports.values()) == 63
+    assert sum(len(r.results) for r in reports.values()) == 64
     frames[0] = scan(spark, DateKey=20200101)
     with pytest.raises(ValueError, match="scan_date_filter_applied"):
         run_all_quality_checks(*frames, settings=settings)
     quiet = run_all_quality_checks(*frames, settings=settings, raise_on_failure=False)
-    assert (quiet["source"].failed_count, quiet["source"].passed_count) == (1, 14)
+    assert (quiet["source"].failed_count, quiet["source"].passed_count) == (1, 15)
     assert "FAIL | scan_date_filter_applied | Lines dated before 20250101: 1" in quiet["source"].summary()
 
 

@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import random
+from datetime import date, timedelta
+from decimal import Decimal
+
+import pytest
+
+from promolens.operators import segments, tagging
+from promolens.operators.overlap import detect_overlaps
+from promolens.schemas import BEFORE, DURING, PLACE_KEYS
+from tests.conftest import bag
+from tests.helpers import LOYALTY, key, promos
+
+FIRST = date(2025, 1, 1)
+
+
+def rates(rng, n=120):
+    """A third of the promotions at one place; spans that share ends, nest, touch, or have no real end."""
+    rows = []
+    for k in range(n):
+        outlet, brand = ("hot", "B") if k % 3 == 0 else (rng.choice(["o1", "o2", None]), rng.choice(["B", "C", None]))
+        begin = FIRST + timedelta(days=7 * rng.randrange(60))
+        end = begin + timedelta(days=rng.choice([0, 6, 13, 27, 400]))
+        rows.append((outlet, f"P{k}", brand, key(begin), 99991230 if k % 29 == 0 else key(end)))
+    return rows
+
+
+def lines(spark, rng, n=900):
+    rows = []
+    for k in range(n):
+        place = ("hot", "B") if rng.random() < 0.34 else (rng.choice(["o1", "o2", None]), rng.choice(["B", "C", None]))
+        day = rng.choice([20250230, 20251399, None]) if k % 50 == 0 else key(FIRST + timedelta(days=rng.randrange(-400, 900)))
+        rows.append((*place, day, f"c{k % 90}", Decimal(k), Decimal(2 * k)))
+    return spark.createDataFrame(rows, LOYALTY)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("broadcast_rows", [0, 100_000])
+def test_rows_equal_tagging_by_spans(spark, settings, seed, broadcast_rows):
+    rng = random.Random(seed)
+    windows, loyalty = detect_overlaps(promos(spark, rates(rng), settings), settings), lines(spark, rng)
+    for periods in ({}, {"periods": [DURING]}, {"periods": [BEFORE]}):
+        want = bag(tagging.tag_transactions(loyalty, windows, settings, **periods))
+        assert bag(segments.tag_by_segments(loyalty, windows, settings, broadcast_rows=broadcast_rows, **periods)) == want
+        assert want or periods == {"periods": [BEFORE]}
+
+
+def test_segments_do_not_meet_and_are_bounded_by_the_calendar(spark, settings):
+    rng = random.Random(3)
+    rows = [("hot", f"P{k}", "B", key(begin := FIRST + timedelta(days=rng.randrange(40))), key(begin + timedelta(days=rng.randrange(20)))) for k in range(500)]
+    windows = promos(spark, rows, settings)
+    windows = detect_overlaps(windows, settings)
+    found = segments.elementary_segments(windows, [DURING]).orderBy("span_start").collect()
+    assert len(found) <= 60 and sum(len(r.holders) for r in found) > 500
+    assert all(a.span_end < b.span_start for a, b in zip(found, found[1:], strict=False)) and all(r.span_start <= r.span_end for r in found)
+    for r in found:
+        held = {p for _, p, _, a, b in rows if a <= key(r.span_start) and key(r.span_end) <= b}
+        assert {h.PromotionName for h in r.holders} == held
+
+
+def test_each_sale_meets_one_segment(spark, settings):
+    """No more rows leave the join than sales enter it; they multiply after it only."""
+    rng = random.Random(4)
+    windows, loyalty = detect_overlaps(promos(spark, rates(rng), settings), settings), lines(spark, rng)
+    sales, pieces = tagging.by_month(loyalty, segments.elementary_segments(windows), settings, "DateKey")
+    matched = sales.join(pieces, [*PLACE_KEYS, "month"]).filter(tagging.INSIDE)
+    assert 0 < matched.count() <= loyalty.count() < segments.tag_by_segments(loyalty, windows, settings).count()
+    text = segments.tag_by_segments(loyalty, windows, settings)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "NestedLoop" not in text and "Python" not in text
+
+
+def test_nothing_to_tag(spark, settings):
+    windows = detect_overlaps(promos(spark, [("o", "P", "B", 20250601, 20250610)], settings), settings)
+    loyalty = lines(spark, random.Random(5), 20)
+    assert segments.tag_by_segments(loyalty.limit(0), windows, settings).count() == 0
+    assert segments.tag_by_segments(loyalty, windows.limit(0), settings).count() == 0
+    assert segments.elementary_segments(windows.limit(0)).count() == 0

@@ -568,6 +568,7 @@ def oracle_sql() -> dict[str, str]:
         "validated_overlaps": "detect_overlaps",
         "validated_tagged": "tag_transactions",
         "validated_metrics": "metrics_derived",
+        "tag_by_segments": "tag_transactions",
     }
     plain = BODIES | {name: BODIES[other] for name, other in same.items()}
     return {name: statement(body) for name, body in plain.items()} | renamed
