@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from promolens.config import DEFAULT_METRICS_TABLE
 from promolens.functions.ratios import change_percent, percent, ratio
-from promolens.quality.validators import validate_metrics
+from promolens.quality.guards import guard_metrics, violations
 from promolens.schemas import METRICS, PERIODS, PLACE_KEYS, PROMO_KEYS
 from promolens.sources.sink import save_metrics
 
@@ -128,13 +128,14 @@ def calculate_metrics(
 ) -> DataFrame:
     """Wide metrics of tagged transactions, optionally derived and saved.
 
-    Saving starts jobs: the result is computed once into a new location of the table, validated there,
-    and only then replaces the rows of ``table_name``, from which it is returned.
+    Saving starts jobs: the result is computed once into a new location of the table, where the first row that breaks a
+    check stops the write, and only then replaces the rows of ``table_name``, from which it is returned.
     """
     metrics = widen_rollup(rollup_by_customer(tagged))
     if include_derived:
         metrics = add_derived_metrics(metrics)
     if not save_to_table:
         return metrics
-    save_metrics(metrics, table_name, check=validate_metrics)
+    with violations():
+        save_metrics(guard_metrics(metrics), table_name)
     return metrics.sparkSession.table(table_name).select(*metrics.columns)

@@ -11,8 +11,8 @@ from promolens.operators import reports
 from promolens.operators.metrics import add_derived_metrics, keep_all_promos, widen_rollup
 from promolens.plans.stages import Stages
 from promolens.quality.core import ERROR
+from promolens.quality.guards import guard_metrics, violations
 from promolens.quality.report import QualityReport, check_frames, evaluate, save_audit
-from promolens.quality.validators import validate_metrics
 from promolens.sources.catalog import Catalog
 from promolens.sources.sink import remove_folder, save_loyalty_scan, save_metrics, stage
 
@@ -99,7 +99,8 @@ def run(
     if loyalty_table is not None:
         save_loyalty_scan(stages.loyalty_valid, loyalty_table)
     if table_name is not None:
-        save_metrics(metrics, table_name, check=validate_metrics)
+        with violations():
+            save_metrics(guard_metrics(metrics), table_name)
     summaries = {
         "discounts": reports.discount_summary(stages.scan),
         "loyalty": reports.loyalty_summary(stages.loyalty_all),

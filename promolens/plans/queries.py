@@ -47,7 +47,7 @@ from promolens.operators.tagging import (
     union_all_periods,
 )
 from promolens.plans.stages import Stages
-from promolens.quality import layers, validators
+from promolens.quality import guards, layers
 from promolens.quality.gaps import date_gaps
 from promolens.quality.ledger import differences
 from promolens.quality.report import QualityReport, check_frames, save_audit
@@ -299,16 +299,16 @@ QUERIES: dict[str, StageQuery] = {
     "calculate_metrics": lambda s: calculate_metrics(s.tagged, save_to_table=False),
     "metrics_with_brand_rules": _with_brand_rules,
     "metrics_from_loyalty_scan": lambda s: Stages(s.catalog, s.settings, loyalty_input="loyalty_scan").metrics,
-    "validated_discounts": lambda s: validators.validate_discount_columns(s.scan).select(
+    "validated_discounts": lambda s: guards.guard_discount_columns(s.scan).select(
         *LINE, "SMP_discount", "MP_discount", "CPN_discount", "is_promo"
     ),
-    "validated_loyalty": lambda s: validators.validate_loyalty_derivation(s.loyalty_all, s.loyalty_valid).select(
+    "validated_loyalty": lambda s: guards.guard_loyalty_derivation(s.loyalty_valid).select(
         *LINE, "OutletIdentifier", "ReportingBrandName", "LoyaltyCode", "MetricVolume", "MetricValue"
     ),
-    "validated_windows": lambda s: validators.validate_promo_windows(s.kept("promos")),
-    "validated_overlaps": lambda s: validators.validate_overlap_detection(s.kept("promos"), s.kept("windows")),
-    "validated_tagged": lambda s: validators.validate_tagged_transactions(s.tagged),
-    "validated_metrics": lambda s: validators.validate_metrics(s.metrics),
+    "validated_windows": lambda s: guards.guard_promo_windows(s.kept("promos")),
+    "validated_overlaps": lambda s: guards.guard_overlap_detection(s.kept("promos"), s.kept("windows")),
+    "validated_tagged": lambda s: guards.guard_tagged_transactions(s.tagged),
+    "validated_metrics": lambda s: guards.guard_metrics(s.metrics),
     "discount_summary": lambda s: reports.discount_summary(s.scan),
     "loyalty_summary": lambda s: reports.loyalty_summary(s.loyalty_all),
     "promo_windows_summary": lambda s: reports.promo_windows_summary(s.promos),
