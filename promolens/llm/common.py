@@ -78,7 +78,7 @@ def parts_of(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
         at = to
 
 
-def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[..., Sequence]], most: int = 1 << 62) -> DataFrame:
+def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[..., Sequence]], most: int = 8 << 20) -> DataFrame:
     """``mapInArrow`` over Python lists: ``make()`` is called once per task and gives a function of the
     columns of a batch, as lists, that returns the output columns in the order of ``schema``. It gets rows of at most
     ``most`` bytes at a time, or a single longer one."""

@@ -13,8 +13,8 @@ from promolens.llm.common import map_rows
 #: The longest context, in bytes, and the line feeds that stand before every text in place of a context.
 ORDER = 3
 _START = b"\n" * ORDER
-#: The training sample: rows of each language, and the longest text that may be in it, in bytes.
-SAMPLE_ROWS, SAMPLE_TEXT = 400, 1 << 18
+#: The training sample: rows of each language, and their bytes; a longer text is drawn only if it is the language's first.
+SAMPLE_ROWS, SAMPLE_BYTES = 400, 32 << 20
 #: The most languages that are learned, those with the most texts.
 LANGUAGES = 1000
 #: Bytes of text that a worker scores at a time.
@@ -141,16 +141,19 @@ class ContextTrees:
 def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = SAMPLE_ROWS) -> ContextTrees:
     """Fit the trees on at most ``rows`` texts of each language, those of the smallest hashes of their key.
 
-    Rows without text or language, and texts over SAMPLE_TEXT bytes, are left out. The sample, and so what the
-    driver receives, is at most LANGUAGES times ``rows`` such texts. Only drawn texts are shuffled.
+    Rows without text or language are left out. A language's texts are drawn until they have SAMPLE_BYTES, so that one
+    of long texts only is learned as well, from the first of them at least. The sample, and so what the driver receives,
+    is LANGUAGES times SAMPLE_BYTES and a text at most. Only drawn texts are shuffled.
     """
     found = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter("lang is not null")
     sizes = found.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
     chance = F.broadcast(sizes.select("lang", (F.lit(1.5 * rows) / F.col("count")).alias("chance")))
     order = F.xxhash64("key", F.lit("sample"))
     drawn = found.withColumn("order", order).join(chance, "lang").filter(F.pmod("order", F.lit(1 << 30)) < F.col("chance") * (1 << 30))
-    kept = drawn.filter(F.col("text").isNotNull() & (F.octet_length("text") <= SAMPLE_TEXT))
-    first = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "text"))).filter(F.col("rank") <= rows)
+    own = Window.partitionBy("lang").orderBy("order", "text")
+    ranked = drawn.filter(F.col("text").isNotNull()).withColumn("rank", F.row_number().over(own)).filter(F.col("rank") <= rows)
+    upto = F.sum(F.octet_length("text").cast("long")).over(own.rowsBetween(Window.unboundedPreceding, 0))
+    first = ranked.withColumn("upto", upto).filter((F.col("upto") <= SAMPLE_BYTES) | (F.col("rank") == 1))
     texts: dict[str, list[bytes]] = {}
     for row in first.select("lang", "text").toLocalIterator():
         texts.setdefault(row["lang"], []).append(row["text"].encode())

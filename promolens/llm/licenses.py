@@ -58,7 +58,7 @@ def license_words(text: Column) -> Column:
 def _grams(words: Column) -> Column:
     size = F.size(words)
     places = F.when(size >= K, F.sequence(F.lit(0), size - K)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.xxhash64(F.slice(words, i + 1, K)))
+    return F.transform(F.transform(places, lambda i: F.slice(words, i + 1, K)), lambda gram: F.struct(F.xxhash64(gram).alias("hash"), gram.alias("gram")))
 
 
 def template_grams(spark: SparkSession, phrases: dict[str, str] = PHRASES, templates: dict[str, tuple[str, ...]] = TEMPLATES) -> DataFrame:
@@ -69,11 +69,11 @@ def template_grams(spark: SparkSession, phrases: dict[str, str] = PHRASES, templ
         raise ValueError(f"templates need {K} words or more, and {MOST_GRAMS} in all or fewer: {short}")
     rows = F.array(*(F.struct(F.lit(n).alias("template"), F.lit(label).alias("label"), F.lit(exact).alias("exact"), F.split(F.lit(text), " ").alias("words")) for n, (text, label, exact) in enumerate(entries)))
     one = spark.range(1).select(F.inline(rows))
-    grams = one.select("template", "label", "exact", "words", (F.size("words") - K + 1).alias("grams"), F.posexplode(_grams(F.col("words"))).alias("at", "hash"))
-    own = grams.select("hash", "template", "label", "exact", "grams", "at", F.slice("words", F.col("at") + 1, K).alias("gram"))
+    grams = one.select("template", "label", "exact", "words", (F.size("words") - K + 1).alias("grams"), F.posexplode(_grams(F.col("words"))).alias("at", "own"))
+    own = grams.select("own.hash", "template", "label", "exact", "grams", "at", F.col("own.gram").alias("wanted"))
     header = spark.range(1).select(
         F.lit(0).cast("long").alias("hash"), F.lit(-1).alias("template"), F.lit(None).cast("string").alias("label"), F.lit(False).alias("exact"),
-        F.lit(0).alias("grams"), F.lit(0).alias("at"), F.array().cast("array<string>").alias("gram"),
+        F.lit(0).alias("grams"), F.lit(0).alias("at"), F.array().cast("array<string>").alias("wanted"),
     )
     return own.union(header)
 
@@ -82,22 +82,22 @@ def occurrences(docs: DataFrame, templates: DataFrame, key: str = "doc_id", text
     """Occurrences of templates in every whole text: (row, key, n_words, template, label, exact, coverage, first, last).
 
     ``row`` tells repeated rows apart. Every text has a header row of template -1, so that none is lost. Grams meet
-    template positions in a join with the broadcast templates, and equal hashes are verified word by word there.
-    What matches is partitioned by row, counted by the diagonal (place in the text less place in the template),
-    and neighbouring diagonals are merged. An occurrence needs all grams of a phrase on one diagonal, or COVERAGE
-    of a template's grams within a span no longer than the template and the drift.
+    template positions in a join with the broadcast templates, and equal hashes are verified word by word there; a
+    gram carries its own words only, so the work is in proportion to the text. What matches is partitioned by row, counted
+    by the diagonal (place in the text less place in the template), and neighbouring diagonals are merged. An occurrence
+    needs all grams of a phrase on one diagonal, or on a chain of neighbouring ones COVERAGE of a template's grams, each
+    counted once; how often words were inserted or left out on the way does not matter.
     """
     words = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), license_words(F.col(text)).alias("words"))
-    exploded = words.select("row", "key", "words", F.size("words").cast("long").alias("n_words"), F.posexplode(F.concat(F.array(F.lit(0).cast("long")), _grams(F.col("words")))).alias("place", "hash"))
-    met = exploded.join(F.broadcast(templates), "hash").filter(
-        ((F.col("place") == 0) & (F.col("template") == -1))
-        | ((F.col("place") > 0) & (F.col("template") >= 0) & (F.slice("words", F.greatest("place", F.lit(1)), K) == F.col("gram")))
-    )
+    header = F.array(F.struct(F.lit(0).cast("long").alias("hash"), F.array().cast("array<string>").alias("gram")))
+    listed = words.select("row", "key", F.size("words").cast("long").alias("n_words"), F.concat(header, _grams(F.col("words"))).alias("grams_of"))
+    exploded = listed.select("row", "key", "n_words", F.posexplode("grams_of").alias("place", "own")).select("row", "key", "n_words", "place", "own.hash", "own.gram")
+    met = exploded.join(F.broadcast(templates), "hash").filter((F.col("place") == 0) == (F.col("template") == -1)).filter(F.col("gram") == F.col("wanted"))
     votes = (
         met.select("row", "key", "n_words", "template", "label", "exact", "grams", (F.col("place") - 1).alias("place"), (F.col("place") - 1 - F.col("at")).alias("diagonal"))
         .repartition("row")
         .groupBy("row", "template", "diagonal")
-        .agg(*(F.first(c).alias(c) for c in ("key", "n_words", "label", "exact", "grams")), F.count("*").alias("votes"), F.min("place").alias("first"), F.max("place").alias("last"))
+        .agg(*(F.first(c).alias(c) for c in ("key", "n_words", "label", "exact", "grams")), F.collect_set(F.col("place") - F.col("diagonal")).alias("met"), F.min("place").alias("first"), F.max("place").alias("last"))
     )
     own = Window.partitionBy("row", "template").orderBy("diagonal")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(own) > DRIFT, F.lit(True)) | F.col("exact")
@@ -105,11 +105,10 @@ def occurrences(docs: DataFrame, templates: DataFrame, key: str = "doc_id", text
         votes.withColumn("apart", apart.cast("int"))
         .withColumn("group", F.sum("apart").over(own))
         .groupBy("row", "template", "group")
-        .agg(*(F.first(c).alias(c) for c in ("key", "n_words", "label", "exact", "grams")), F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"))
+        .agg(*(F.first(c).alias(c) for c in ("key", "n_words", "label", "exact", "grams")), F.size(F.array_distinct(F.flatten(F.collect_list("met")))).alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"))
     )
     coverage = F.least(F.lit(1.0), F.col("votes") / F.greatest(F.col("grams"), F.lit(1)))
-    spans = F.col("last") - F.col("first") + 1 <= F.col("grams") + 2 * DRIFT
-    real = (F.col("template") == -1) | F.when(F.col("exact"), F.col("votes") == F.col("grams")).otherwise((coverage >= COVERAGE) & spans)
+    real = (F.col("template") == -1) | F.when(F.col("exact"), F.col("votes") == F.col("grams")).otherwise(coverage >= COVERAGE)
     return merged.filter(real).select("row", "key", "n_words", "template", "label", "exact", coverage.alias("coverage"), F.col("first").cast("long").alias("first"), (F.col("last") + K - 1).cast("long").alias("last"))
 
 

@@ -27,21 +27,20 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents
 t AS (SELECT * FROM (VALUES {values}) AS v(template, label, exact, w)),
 tg AS (SELECT template, label, exact, len(w) - 2 AS grams, p AS pos, w[p + 1 : p + 3] AS gram FROM t, unnest(range(0, len(w) - 2)) AS u(p)),
 g AS (SELECT r, p AS place, w[p + 1 : p + 3] AS gram FROM d, unnest(range(0, len(w) - 2)) AS u(p)),
-votes AS (
-  SELECT r, template, label, exact, grams, place - pos AS diagonal, count(*) AS votes, min(place) AS first, max(place) AS last
-  FROM g JOIN tg USING (gram) GROUP BY ALL
-),
+met AS (SELECT r, template, label, exact, grams, place - pos AS diagonal, place, pos FROM g JOIN tg USING (gram)),
+votes AS (SELECT DISTINCT r, template, exact, diagonal FROM met),
 starts AS (
   SELECT *, CASE WHEN exact OR coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > {licenses.DRIFT}, true) THEN 1 ELSE 0 END AS apart
   FROM votes
 ),
-grouped AS (SELECT *, sum(apart) OVER (PARTITION BY r, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS grp FROM starts),
+grouped AS (SELECT r, template, diagonal, sum(apart) OVER (PARTITION BY r, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS grp FROM starts),
 merged AS (
-  SELECT r, template, label, exact, grams, grp, sum(votes) AS votes, min(first) AS first, max(last) AS last FROM grouped GROUP BY ALL
+  SELECT r, template, label, exact, grams, grp, count(DISTINCT pos) AS votes, min(place) AS first, max(place) AS last
+  FROM met JOIN grouped USING (r, template, diagonal) GROUP BY ALL
 ),
 found AS (
   SELECT *, least(1.0::DOUBLE, votes::DOUBLE / grams) AS coverage FROM merged
-  WHERE CASE WHEN exact THEN votes = grams ELSE least(1.0::DOUBLE, votes::DOUBLE / grams) >= {licenses.COVERAGE} AND last - first + 1 <= grams + {2 * licenses.DRIFT} END
+  WHERE CASE WHEN exact THEN votes = grams ELSE least(1.0::DOUBLE, votes::DOUBLE / grams) >= {licenses.COVERAGE} END
 ),
 summed AS (
   SELECT r, count(*) FILTER (exact) AS n_base, min(first) FILTER (exact) AS first_word, max(first) FILTER (exact) AS last_word,
@@ -70,7 +69,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 
 
 def _quality() -> str:
-    share = lambda part, whole, scale: f"CAST(least({quality.TOP}, floor({scale}::DOUBLE * {part} / greatest({whole}, 1))) AS INTEGER)"
+    share = lambda part, whole, scale: f"CAST(floor({scale}::DOUBLE * {part} / greatest({whole}, 1)) AS BIGINT)"
     measures = {
         "symbols": share("n_symbols", "word_chars", 1000),
         "duplicate_lines": share("n_dup_lines", "n_lines", 1000),
@@ -78,21 +77,26 @@ def _quality() -> str:
         "stutter": share("n_same", "n_words", 1000),
         "word_length": share("word_chars", "n_words", 100),
     }
+    rest = lambda m: f"greatest(0, length(bin({m})) - {quality.BITS})"
+    buckets = ", ".join(f"(({r.measure} >> {rest(r.measure)}) << {rest(r.measure)}) AS {r.measure}_bucket" for r in quality.RULES)
     n = quality.REPEAT
     levels = ((0, ["lang", "source"]), (1, ["lang"]), (2, []))
     read, joins = [], []
     for level, by in levels:
         keys = "".join(f"{b}, " for b in by)
         for rule in quality.RULES:
+            if rule.scripted and not by:
+                continue
             name = f"l{level}_{rule.measure}"
             read.append(
-                f"{name} AS (SELECT {keys}count(*) AS texts, greatest({rule.floor}::DOUBLE, quantile_disc({rule.measure}, 0.5) + {rule.spread}::DOUBLE * "
-                f"(quantile_disc({rule.measure}, {rule.quantile}) - quantile_disc({rule.measure}, 0.5))) AS limit_ FROM b WHERE NOT base_failed "
+                f"{name} AS (SELECT {keys}count(*) AS texts, greatest({rule.floor}::DOUBLE, quantile_disc({rule.measure}_bucket, 0.5) + {rule.spread}::DOUBLE * "
+                f"(quantile_disc({rule.measure}_bucket, {rule.quantile}) - quantile_disc({rule.measure}_bucket, 0.5))) AS limit_ FROM b WHERE NOT base_failed "
                 f"{'GROUP BY ' + ', '.join(by) if by else ''} HAVING count(*) >= {quality.MIN_GROUP if by else 1})"
             )
             on = " AND ".join(f"b.{c} IS NOT DISTINCT FROM {name}.{c}" for c in by) or "true"
             joins.append(f"LEFT JOIN {name} ON {on}")
-    over = " OR ".join(f"coalesce({r.measure} > coalesce(l0_{r.measure}.limit_, l1_{r.measure}.limit_, l2_{r.measure}.limit_), false)" for r in quality.RULES)
+    limit = lambda r: ", ".join(f"l{level}_{r.measure}.limit_" for level in range(2 if r.scripted else 3))
+    over = " OR ".join(f"coalesce({r.measure} > coalesce({limit(r)}), false)" for r in quality.RULES)
     words = _WORDS.format(text="coalesce(text, '')", breaks=r"[\x20\x09-\x0D]+")
     return rf"""
 WITH d AS (
@@ -109,11 +113,12 @@ m AS (
     len(lines) AS n_lines, len([i for i in range(1, len(w)) if w[i] = w[i + 1]]) AS n_same, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
   FROM d LEFT JOIN covered USING (r)
 ),
-b AS (
+measures AS (
   SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED} * n_words AS base_failed,
     {", ".join(f"{measures[r.measure]} AS {r.measure}" for r in quality.RULES)}
   FROM m
 ),
+b AS (SELECT *, {buckets} FROM measures),
 {(", " + chr(10)).join(read)}
 SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({over}) AS kept
 FROM b {" ".join(joins)}

@@ -21,7 +21,8 @@ _FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 3
 #: What is looked for; a match counts only if its validator agrees. Letters beyond ASCII may stand next to a value, as in
 #: scripts written without blanks.
 _KINDS = {
-    "email": r"(?<![A-Za-z0-9_.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9_-])",
+    # Begins where a run of its characters does, so that a run is read once however long it is.
+    "email": r"(?<![A-Za-z0-9_.%+-])%*[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9_-])",
     "secret": r"(?<![A-Za-z0-9_])(?:AKIA[A-Z0-9]{16}|(?i:password|passwd|secret|token|api_?key)\s{0,2}[=:]\s{0,2}[\"']?[A-Za-z0-9_-]{8,})(?![A-Za-z0-9_])",
     "iban": r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9_])",
     "ip": r"(?<![A-Za-z0-9_.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![A-Za-z0-9_]|\.[0-9])",

@@ -19,19 +19,22 @@ from promolens.llm.common import stored, words_of
 REPEAT = 8
 #: Base rules: fewer words, or a larger percentage of repeated words, fail.
 MIN_WORDS, MAX_REPEATED = 20, 30
-#: Buckets of a measure: 0 to this, in thousandths (mean word length in hundredths of characters); larger values count as this.
-TOP = 2000
+#: Leading bits of a measure that make its bucket: values below 2048 are buckets of their own, larger ones share one with
+#: others up to a thousandth apart. Measures are in thousandths (mean word length in hundredths of characters).
+BITS = 11
 
 
 @dataclass(frozen=True)
 class Adaptive:
     """A measure and its threshold in a group: the median plus ``spread`` times the distance from the median to the
-    upper quantile, but at least ``floor``; above it a text fails. The floor keeps groups of ordinary texts whole."""
+    upper quantile, but at least ``floor``; above it a text fails. The floor keeps groups of ordinary texts whole. What is
+    ordinary for a ``scripted`` measure depends on the script, so it has no limit from texts of other languages."""
 
     measure: str
     floor: int
     spread: float = 4.0
     quantile: float = 0.75
+    scripted: bool = False
 
 
 RULES = (
@@ -39,10 +42,11 @@ RULES = (
     Adaptive("duplicate_lines", floor=400),
     Adaptive("repeated", floor=250),
     Adaptive("stutter", floor=300),
-    Adaptive("word_length", floor=1200),
+    Adaptive("word_length", floor=1200, scripted=True),
 )
 _QUANTILES = sorted({rule.quantile for rule in RULES})
-#: Groups with fewer texts use their language's thresholds, and those of small languages the whole table's.
+#: Groups with fewer texts use their language's thresholds, and those of small languages the whole table's, or for scripted
+#: measures none.
 MIN_GROUP = 50
 
 
@@ -101,8 +105,8 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
 
 
-def _buckets() -> list[Column]:
-    share = lambda part, whole, scale=1000: F.least(F.lit(TOP), F.floor(F.lit(scale) * F.col(part) / F.greatest(F.col(whole), F.lit(1)))).cast("int")
+def _measures() -> list[Column]:
+    share = lambda part, whole, scale=1000: F.floor(F.lit(scale) * F.col(part) / F.greatest(F.col(whole), F.lit(1))).cast("long")
     measures = {
         "symbols": share("n_symbols", "word_chars"),
         "duplicate_lines": share("n_dup_lines", "n_lines"),
@@ -113,6 +117,12 @@ def _buckets() -> list[Column]:
     return [measures[rule.measure].alias(rule.measure) for rule in RULES]
 
 
+def _bucket(measure: str) -> Column:
+    """The smallest value with the same leading bits and as many others."""
+    rest = F.greatest(F.lit(0), F.length(F.bin(measure)) - BITS)
+    return F.call_function("shiftleft", F.call_function("shiftright", F.col(measure), rest), rest)
+
+
 def limits(sketch: DataFrame, by: list[str]) -> DataFrame:
     """Merge sketches by the given columns and read the limits off: one row per group, a column for each rule."""
     merged = sketch.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
@@ -131,15 +141,16 @@ def limits(sketch: DataFrame, by: list[str]) -> DataFrame:
 
 
 def judged(measures: DataFrame) -> DataFrame:
-    """Add base_failed, the measures' buckets, their limits and ``kept`` to measured rows.
+    """Add base_failed, the measures, their limits and ``kept`` to measured rows. A scripted measure's limit is null, and
+    not judged, in a language of fewer than MIN_GROUP texts.
 
     Sketches are taken of all texts that pass the base rules. They are summed per task before anything is shuffled,
     so a language or source with most of the rows costs no more than its few thousand buckets. Every text then gets
     the limits of its language and source, or of the wider group where that has fewer than MIN_GROUP texts. Null
     languages and sources are groups like others. ``measures`` is read twice, so it should be stored.
     """
-    rows = measures.select("*", base_failed().alias("base_failed"), *_buckets())
-    measure = F.explode(F.array(*(F.struct(F.lit(r.measure).alias("measure"), F.col(r.measure).alias("bucket")) for r in RULES)))
+    rows = measures.select("*", base_failed().alias("base_failed"), *_measures())
+    measure = F.explode(F.array(*(F.struct(F.lit(r.measure).alias("measure"), _bucket(r.measure).alias("bucket")) for r in RULES)))
     sketch = (
         rows.filter(~F.col("base_failed"))
         .select(F.lit(0).alias("all"), "lang", "source", measure.alias("m"))
@@ -153,8 +164,9 @@ def judged(measures: DataFrame) -> DataFrame:
         own = own.filter(F.col("texts") >= MIN_GROUP) if level < 2 else own
         names = {rule.measure: f"limit{level}_{rule.measure}" for rule in RULES}
         own = own.select(*(F.col(b).alias(f"by{level}_{b}") for b in by), *(F.col(f"max_{m}").alias(n) for m, n in names.items()))
-        for measure_name, name in names.items():
-            found[measure_name].append(F.col(name))
+        for rule in RULES:
+            if level < 2 or not rule.scripted:
+                found[rule.measure].append(F.col(names[rule.measure]))
         joined = joined.join(own, reduce(and_, (F.col(b).eqNullSafe(F.col(f"by{level}_{b}")) for b in by)), "left")
     limit = {measure_name: F.coalesce(*columns) for measure_name, columns in found.items()}
     over = reduce(or_, (F.coalesce(F.col(m) > limit[m], F.lit(False)) for m in limit))

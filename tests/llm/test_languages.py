@@ -66,3 +66,12 @@ def test_held_out_accuracy(spark):
     rows = queries.QUERIES["op6_languages"](spark, folder).join(truth, "doc_id")
     held = rows.filter("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
     assert held > 0.98 and rows.count() == 1000
+
+
+def test_a_language_of_long_texts_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(languages, "SAMPLE_BYTES", 5000)
+    rows = [(k, "aba bab abba " * 2000, "long") for k in range(3)] + [(10 + k, "xyz zyx yx " * 20, "short") for k in range(60)]
+    trees = languages.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert trees.languages == ["long", "short"]
+    asked = spark.createDataFrame([(1, "abba bab"), (2, "zyx xyz")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in languages.identify(asked, trees).collect()} == {1: "long", 2: "short"}

@@ -115,3 +115,64 @@ def test_top_k(spark, monkeypatch):
 def test_large_components():
     big = np.array([[2.0**70, -(2.0**70)], [1.0, 2.0]])
     assert vectors._products(big, big).tolist() == [[2**63 - 1, -(2**63)], [-(2**63), 5]]
+
+
+def test_license_with_many_insertions(documents):
+    """Words put in at several places drift the diagonals apart; what counts is how much of the template is there."""
+    words = GRANT.split()
+    rows = []
+    for k, cuts in enumerate(((10,), (10, 20, 30), (5, 15, 25, 35, 45), range(4, 46, 3))):
+        with_more = [w for at, word in enumerate(words) for w in ([*(f"put{at}{n}" for n in range(3)), word] if at in cuts else [word])]
+        rows.append((k, "before " + " ".join(with_more) + " after"))
+    rows.append((9, " ".join(f"{a} x{n}" for n, a in enumerate(words))))  # all words, none of the grams
+    got = {r.key: r for r in licenses.scan(documents(rows)).collect()}
+    assert [got[k].labels for k in (0, 1, 2, 3, 9)] == ["mit", "mit", "mit", "", ""]
+    grams = {tuple(words[k : k + 3]) for k in range(len(words) - 2)}
+    for k in (0, 1, 2):
+        own = rows[k][1].split()
+        assert got[k].score == pytest.approx(len(grams & {tuple(own[j : j + 3]) for j in range(len(own) - 2)}) / len(grams))
+
+
+def test_repeated_grams_of_a_template_count_once(documents):
+    part = " ".join(GRANT.split()[:12])
+    assert [r.labels for r in licenses.scan(documents([(1, " ".join([part] * 40))])).collect()] == [""]
+
+
+def test_license_work_is_in_proportion_to_the_text(documents):
+    import time
+
+    def seconds(n):
+        begun = time.perf_counter()
+        assert [r.labels for r in licenses.scan(documents([(1, "some words and more " * (n // 4) + GRANT)])).collect()] == ["mit"]
+        return time.perf_counter() - begun
+
+    seconds(20_000)
+    short, long = seconds(80_000), seconds(320_000)
+    assert long < 8 * short + 2
+
+
+def test_word_length_beyond_two_thousand_hundredths(documents):
+    """A limit above every bucket of ordinary words still parts longer words from shorter ones."""
+    rng = np.random.default_rng(11)
+    word = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    rows = [(k, " ".join(word(int(n)) for n in rng.integers(15, 26, 60))) for k in range(120)] + [(500, " ".join(word(400) for _ in range(60)))]
+    got = {r.key: r for r in quality.assess(documents(rows)).collect()}
+    assert got[500].word_length == 40_000 > got[500].max_word_length > 2000 and not got[500].kept
+    assert sum(got[k].kept for k in range(120)) > 110
+
+
+def test_buckets_keep_the_leading_bits(spark):
+    values = [0, 1, 2047, 2048, 2049, 4095, 4096, 40_000, 10**9 + 7]
+    frame = spark.createDataFrame([(v,) for v in values], "m long").select(quality._bucket("m").alias("b"))
+    assert [r.b for r in frame.collect()] == [v >> s << s for v in values for s in [max(0, v.bit_length() - 11)]]
+
+
+@pytest.mark.parametrize("texts", [1, 49, 50])
+def test_scripted_measures_are_not_judged_by_other_languages(documents, texts):
+    rng = np.random.default_rng(12)
+    word = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    prose = [(k, " ".join(word(int(n)) for n in rng.integers(2, 8, 60))) for k in range(200)]
+    long = [(1000 + k, " ".join(word(int(n)) for n in rng.integers(13, 18, 60))) for k in range(texts)]
+    got = {r.key: r for r in quality.assess(documents(prose + long, lang=lambda i: "th" if i >= 1000 else "en")).collect()}
+    assert all(got[1000 + k].kept for k in range(texts)) and all(got[k].kept for k in range(200))
+    assert (got[1000].max_word_length is None) == (texts < 50) and got[1000].max_symbols is not None

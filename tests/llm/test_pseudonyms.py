@@ -97,3 +97,24 @@ def test_rows(documents):
     assert got[0].asDict().keys() >= {"key", "shard", "lang", "n_chars"}
     assert pseudonyms.pseudonymise(documents([]), KEY).count() == 0
     assert MASK(rows[-1][1]) != pseudonyms.masker(b"other")(rows[-1][1])
+
+
+def test_long_texts_take_time_in_proportion():
+    import time
+
+    for part in ("%41%42c%", "a.b_c-", "a@b.", "12-34 ", "x=y:secret=", "AB12 CD34 "):
+        took = []
+        for size in (1 << 17, 1 << 20):
+            begun = time.perf_counter()
+            MASK(part * (size // len(part)) + " 1")
+            took.append(time.perf_counter() - begun)
+        assert took[1] < 16 * took[0] + 0.5, (part, took)
+    begun = time.perf_counter()
+    MASK("%41%42c%" * (1 << 17) + " 1")
+    assert time.perf_counter() - begun < 2
+
+
+def test_addresses_after_a_percent_sign():
+    for text in ("%john.doe@example.com", "x %41john.doe@example.com", "100%john.doe@example.com y"):
+        masked, kinds = MASK(text)
+        assert kinds == ["email"] and "john.doe" not in masked and len(masked) == len(text)
