@@ -152,13 +152,13 @@ def _sink_roundtrip(s: Stages) -> DataFrame:
 def _failed_write(s: Stages) -> DataFrame:
     """Saved, then replaced by rows of which one can't be computed: the table must hold the first ones."""
     spark, folder = s.catalog.spark, s.folder
-    wide = stage(widen_rollup(s.rollup), folder, "wide")
-    table = "promo_metrics_" + folder.rsplit("-", 1)[1]
-    save_metrics(wide, table, f"{folder}/table")
+    wide = stage(widen_rollup(s.rollup), folder, "wide_before_failure")
+    table = "promo_failing_" + folder.rsplit("-", 1)[1]
+    save_metrics(wide, table, f"{folder}/failing")
     last = wide.agg(F.max("OutletIdentifier")).first()[0]
     broken = F.when(F.col("OutletIdentifier") == last, F.raise_error(F.lit("half way"))).otherwise(F.col("PromotionName"))
     try:
-        save_metrics(wide.withColumns({"PromotionName": broken.cast("string"), "late": F.lit(1)}).limit(1 << 30), table)
+        save_metrics(wide.withColumns({"PromotionName": broken.cast("string"), "late": F.lit(1)}), table)
     except Exception as error:
         if "half way" not in str(error):
             raise
@@ -188,7 +188,7 @@ def _reconciliation(s: Stages) -> DataFrame:
 
 def _altered_places(s: Stages) -> DataFrame:
     """Which places differ if the metrics of one outlet lost their after period and another's volume is one too much."""
-    metrics = stage(widen_rollup(s.kept("rollup")), s.folder, "wide")
+    metrics = stage(widen_rollup(s.kept("rollup")), s.folder, "wide_to_alter")
     first, last = metrics.agg(F.min("OutletIdentifier"), F.max("OutletIdentifier")).first()
     lost = F.when(F.col("OutletIdentifier") != first, F.col("after_promo_total_value"))
     more = F.col("during_promo_total_volume") + F.when(F.col("OutletIdentifier") == last, 1).otherwise(0)

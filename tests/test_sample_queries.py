@@ -63,7 +63,7 @@ def test_full_run(spark):
     assert spark.table("run_metrics").count() == result.metrics.count() == 491
     bad = [r.check_name for report in result.checks.values() for r in report.failed]
     assert bad == ["volume_lift_reasonable"]
-    assert spark.table("run_audit").count() == 64
+    assert spark.table("run_audit").count() == 66
     assert {name: df.count() for name, df in result.summaries.items()}["tagging"] == 4
     with pytest.raises(ValueError, match="volume_lift_reasonable"):
         run(sample_catalog(spark, FOLDER), SETTINGS)
