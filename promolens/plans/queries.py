@@ -285,7 +285,7 @@ QUERIES: dict[str, StageQuery] = {
     "quality_reconciliation": _checks(_reconciliation),
     "ledger": lambda s: s.kept("ledger"),
     "ledger_differences": _altered_places,
-    "date_gaps": lambda s: date_gaps(s.table("scan")),
+    "date_gaps": lambda s: date_gaps(s.table("scan"), expected_keys=(19961201, 19981231)),
     "outlet_date_gaps": lambda s: date_gaps(s.table("scan"), "OutletKey", least=21, expected_keys=(19970101, 19981231)),
     "quality_coverage": _checks(
         lambda s: layers.check_source_coverage(

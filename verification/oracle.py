@@ -468,7 +468,9 @@ BODIES: dict[str, str] = {
         FROM tagged GROUP BY OutletIdentifier, ReportingBrandName, period""",
     "ledger_differences": f"SELECT {_doubles('source_volume', 'output_volume', 'source_value', 'output_value')} FROM ({PLACE_SUMS.format(metrics=ALTERED)})",
     "date_gaps": f"""SELECT CAST(before + 1 AS DATE) AS gap_start, CAST(day - 1 AS DATE) AS gap_end, CAST(date_diff('day', before, day) - 1 AS INTEGER) AS gap_days
-        FROM (SELECT day, lag(day) OVER (ORDER BY day) AS before FROM (SELECT DISTINCT {_as_date('DateKey')} AS day FROM scan))
+        FROM (SELECT day, lag(day) OVER (ORDER BY day) AS before FROM (
+          SELECT {_as_date('DateKey')} AS day FROM scan WHERE DateKey BETWEEN 19961201 AND 19981231
+          UNION SELECT DATE '1996-11-30' UNION SELECT DATE '1999-01-01'))
         WHERE date_diff('day', before, day) > 1""",
     "outlet_date_gaps": f"""SELECT OutletKey, CAST(before + 1 AS DATE) AS gap_start, CAST(day - 1 AS DATE) AS gap_end,
         CAST(date_diff('day', before, day) - 1 AS INTEGER) AS gap_days
