@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promolens.operators.sizes import broadcast_if_small
+from promolens.operators.survivors import one_per_key
 
 SALE_KEYS = ("ProductKey", "OutletKey", "DateKey")
 
@@ -50,15 +51,20 @@ def match_references(
     product_variant: DataFrame,
     check_unique: bool = True,
     broadcast_rows: int = 0,
+    survivors: bool = False,
 ) -> DataFrame:
     """Add what the secondary outlet and product tables say, as ``Ref_`` columns.
 
     Each table is followed by key: outlet key, identifier, state; product key, brand code,
     variant. A key held twice would multiply scan lines, so that is checked first (a job on
-    the four small tables) unless the caller knows better. With ``broadcast_rows`` the two joined references are
+    the four small tables) unless the caller knows better. With ``survivors`` one row of each key goes on instead
+    (``survivors.one_per_key``; ``survivors.key_conflicts`` names the keys that had others). With ``broadcast_rows`` the two joined references are
     counted and broadcast if small, so that the lines need no shuffle.
     """
-    if check_unique:
+    if survivors:
+        outlet_reference, outlet_state = one_per_key(outlet_reference, ["OutletKey"]), one_per_key(outlet_state, ["OutletIdentifier"])
+        product_reference, product_variant = one_per_key(product_reference, ["ProductKey"]), one_per_key(product_variant, ["ExternalBrandCode"])
+    elif check_unique:
         assert_unique(outlet_reference, ["OutletKey"], "outlet reference")
         assert_unique(outlet_state, ["OutletIdentifier"], "outlet state")
         assert_unique(product_reference, ["ProductKey"], "product reference")

@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+import itertools
+
+import pytest
+from pyspark.sql import functions as F
+
+from promolens.operators.enrich import match_references
+from promolens.operators.survivors import key_conflicts, one_per_key
+from tests.conftest import bag
+
+ROWS = [(1, "a", 5, "x"), (1, "a", 3, "y"), (2, "b", 1, None), (2, "b", 1, "z"), (3, "c", 7, "w"), (3, "c", 7, "w"), (None, "d", 2, "u"), (None, "e", 1, "v"), (4, None, None, None)]
+SCHEMA = "k int, name string, rank int, note string"
+
+
+def test_one_whole_row_of_each_key_whatever_the_order(spark):
+    want = bag(one_per_key(spark.createDataFrame(ROWS, SCHEMA), ["k"]))
+    assert set(want) == {(1, "a", 3, "y"), (2, "b", 1, None), (3, "c", 7, "w"), (None, "d", 2, "u"), (4, None, None, None)}
+    for order in itertools.islice(itertools.permutations(ROWS), 0, 362880, 60480):
+        assert bag(one_per_key(spark.createDataFrame(list(order), SCHEMA), ["k"])) == want
+
+
+def test_preference(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    chosen = {r.k: r.note for r in one_per_key(df, ["k"], [-F.col("rank"), F.col("note").isNull()]).collect()}
+    assert chosen == {1: "x", 2: "z", 3: "w", None: "u", 4: None}
+    assert one_per_key(df, SCHEMA.replace(" int", "").replace(" string", "").split(", ")).count() == 8
+    with pytest.raises(ValueError, match="missing"):
+        one_per_key(df, ["missing"])
+
+
+def test_conflicts(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    found = {r.k: (r.key_rows, r.differing) for r in key_conflicts(df, ["k"]).collect()}
+    assert found == {1: (2, "rank,note"), 2: (2, "note"), None: (2, "name,rank,note")}
+    assert key_conflicts(df.limit(0), ["k"]).count() == 0 and one_per_key(df.limit(0), ["k"]).count() == 0
+
+
+def test_hot_key_is_combined_before_the_shuffle(spark):
+    df = spark.range(30000).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id AS v")
+    plan = one_per_key(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan and "Window" not in plan
+    assert one_per_key(df, ["k"]).filter("k = 0").first().v == 0
+
+
+def test_repeated_references_match_once(spark):
+    scan = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "OutletKey long, ProductKey long")
+    outlets = spark.createDataFrame([(1, "o1"), (1, "o0"), (2, "o2")], "OutletKey long, OutletIdentifier string")
+    states = spark.createDataFrame([("o0", "X"), ("o0", "W"), ("o2", "Y")], "OutletIdentifier string, State string")
+    products = spark.createDataFrame([(10, "B", "e"), (10, "A", "e"), (20, "C", "f")], "ProductKey long, ReportingBrandName string, ExternalBrandCode string")
+    variants = spark.createDataFrame([("e", "v2"), ("e", "v1")], "ExternalBrandCode string, BrandVariant string")
+    tables = (outlets, states, products, variants)
+    with pytest.raises(ValueError, match="not unique"):
+        match_references(scan, *tables)
+    got = match_references(scan, *tables, survivors=True)
+    assert bag(got.select("OutletKey", "Ref_OutletIdentifier", "Ref_State", "Ref_ReportingBrandName", "Ref_BrandVariant")) == [
+        (1, "o0", "W", "A", "v1"), (2, "o2", "Y", "C", None), (3, None, None, None, None)
+    ]
