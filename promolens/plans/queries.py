@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from pyspark.sql.types import DecimalType
 
 from promolens.config import Settings
 from promolens.operators import reports
+from promolens.operators.calendar import calendar_rollup
+from promolens.operators.customers import customer_sets, distinct_customers, merge_sets, number_customers
 from promolens.operators.discounts import add_discount_columns
 from promolens.operators.enrich import (
     enrich_scan,
@@ -19,6 +22,7 @@ from promolens.operators.enrich import (
     match_references,
     promos_with_sales,
 )
+from promolens.operators.increments import changed_places, update_rollup
 from promolens.operators.loyalty import (
     derive_loyalty_code,
     is_valid_loyalty_number,
@@ -31,11 +35,13 @@ from promolens.operators.metrics import (
     calculate_metrics,
     keep_all_promos,
     pivot_to_wide_format,
+    rollup_by_customer,
     widen_rollup,
 )
 from promolens.operators.overlap import add_overlap_flags, detect_overlaps
-from promolens.operators.promo_windows import build_promo_result
+from promolens.operators.promo_windows import build_promo_result, build_promo_windows
 from promolens.operators.segments import tag_by_segments
+from promolens.operators.survivors import key_conflicts
 from promolens.operators.tagging import (
     get_after_windows,
     get_before_windows,
@@ -44,14 +50,16 @@ from promolens.operators.tagging import (
     tag_after_transactions,
     tag_before_transactions,
     tag_during_transactions,
+    tag_transactions,
     union_all_periods,
 )
 from promolens.plans.stages import Stages
 from promolens.quality import guards, layers
 from promolens.quality.gaps import date_gaps
+from promolens.quality.history import run_values, value_drift
 from promolens.quality.ledger import differences
 from promolens.quality.report import QualityReport, check_frames, save_audit
-from promolens.schemas import AFTER, BEFORE, DURING, PROMO_KEYS
+from promolens.schemas import AFTER, BEFORE, BRAND, DURING, OUTLET, PROMO_KEYS
 from promolens.sources.loaders import VIEWS
 from promolens.sources.sample import BRAND_RULES, SETTINGS, sample_catalog
 from promolens.sources.sink import save_metrics, stage
@@ -230,11 +238,104 @@ def _check_builders(s: Stages) -> DataFrame:
     return report.frame
 
 
+def _check_results(s: Stages) -> DataFrame:
+    """Checks evaluated by a report: collected in one job, the failed ones counted, and handed on as rows."""
+    report = QualityReport("custom").check_no_nulls(s.scan, "LoyaltyNumber").check_no_negatives(s.scan, "MetricVolume")
+    rows = report.as_frame(s.catalog.spark).select("layer", "check_name", "severity", "passed", "value")
+    return rows.withColumns({"passed_checks": F.lit(report.passed_count), "failed_checks": F.lit(report.failed_count)})
+
+
 def _with_brand_rules(s: Stages) -> DataFrame:
     """Brands renamed on both sides, so promotions still find their sales."""
     return Stages(s.catalog, replace(s.settings, brand_rules=BRAND_RULES)).metrics
 
 
+def _distinct_customers(s: Stages) -> DataFrame:
+    """Customers per brand, state, period and in all, of the union of sets made in two runs with a dictionary that grew."""
+    rollup = s.kept("rollup")
+    odd = F.pmod(F.xxhash64(BRAND), F.lit(2)) == 1
+    first = stage(number_customers(rollup.filter(odd)), s.folder, "customers_then")
+    sets = stage(customer_sets(rollup.filter(odd), first), s.folder, "sets_then")
+    grown = stage(number_customers(rollup, first), s.folder, "customers_now")
+    sets = stage(merge_sets(sets, customer_sets(rollup.filter(~odd), grown)), s.folder, "sets_now")
+    placed = sets.join(s.table("outlet").select(OUTLET, "State"), OUTLET, "left")
+    return distinct_customers(placed, [[BRAND], ["State"], ["period"], [BRAND, "period"], []])
+
+
+# Days up to which sales had come in, by run.
+ARRIVALS = (date(1999, 6, 30), date(2000, 9, 15))
+
+
+def _known_windows(s: Stages, upto: date | None) -> DataFrame:
+    """Promotion windows as a run on that day saw them: no later rates, and that day as today; the settings' for none."""
+    if upto is None:
+        return s.kept("windows")
+    rates = s.rates.filter(F.col("DateKey") <= int(upto.strftime("%Y%m%d")))
+    settings = replace(s.settings, as_of=upto)
+    promos = stage(build_promo_windows(rates, settings), s.folder, f"promos_{upto:%Y%m%d}")
+    return stage(detect_overlaps(promos, settings), s.folder, f"windows_{upto:%Y%m%d}")
+
+
+def _incremental_rollup(s: Stages) -> DataFrame:
+    """A first run and two increments, each from the stored result of the one before."""
+    lines = stage(s.loyalty_valid.select(OUTLET, BRAND, "DateKey", "LoyaltyCode", "MetricVolume", "MetricValue"), s.folder, "lines")
+    day = F.col("DateKey")
+    begin = ARRIVALS[0]
+    windows = _known_windows(s, begin)
+    first = lines.filter(day <= int(begin.strftime("%Y%m%d")))
+    rollup = stage(rollup_by_customer(tag_transactions(first, windows, replace(s.settings, as_of=begin))), s.folder, "rollup_0")
+    for k, (upto, then) in enumerate(zip(ARRIVALS, (*ARRIVALS[1:], None), strict=True), 1):
+        known, later = int(upto.strftime("%Y%m%d")), _known_windows(s, then)
+        arrived = lines.filter((day > known) & (day <= (int(then.strftime("%Y%m%d")) if then else 99991231)))
+        updated = update_rollup(
+            rollup, windows, later, lines.filter(day <= known), arrived, s.settings, upto, broadcast_rows=s.settings.broadcast_rows
+        )
+        rollup, windows = stage(updated, s.folder, f"rollup_{k}"), later
+    return rollup
+
+
+def _changed_places(s: Stages) -> DataFrame:
+    return changed_places(_known_windows(s, ARRIVALS[1]), s.kept("windows"), ARRIVALS[1])
+
+
+def _repeated_references(s: Stages) -> tuple[DataFrame, DataFrame]:
+    """Outlet references and states in which a third of the keys occur again and say something else."""
+    again = F.pmod(F.col("OutletKey"), F.lit(3)) == 0
+    references = s.table("outlet_reference")
+    other = F.concat(F.lit("Z"), F.col(OUTLET))
+    states = s.table("outlet_state")
+    return (
+        references.unionByName(references.filter(again).withColumns({OUTLET: other})),
+        states.unionByName(states.filter(F.col(OUTLET).endswith("5")).withColumns({"State": F.lit(None).cast("string")})),
+    )
+
+
+def _reference_survivors(s: Stages) -> DataFrame:
+    others = (s.table(name) for name in ("product_reference", "product_variant"))
+    matched = match_references(s.table("scan"), *_repeated_references(s), *others, broadcast_rows=s.settings.broadcast_rows, survivors=True)
+    return matched.select(*LINE, "Ref_OutletIdentifier", "Ref_State")
+
+
+def _reference_conflicts(s: Stages) -> DataFrame:
+    references, states = _repeated_references(s)
+    found = {"outlet_reference": key_conflicts(references, ["OutletKey"]), "outlet_state": key_conflicts(states, [OUTLET])}
+    named = [df.select(F.lit(name).alias("table_name"), F.col(df.columns[0]).cast("string").alias("key"), "key_rows", "differing") for name, df in found.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
+def _quality_drift(s: Stages) -> DataFrame:
+    """The sales checks of each year's lines, a run a year; the last run's against those before it, then tenfold."""
+    year = F.floor(F.col("DateKey") / 10000).cast("int").alias("year")
+    yearly = s.scan.groupBy(year).agg(F.count("*").alias("lines"), F.sum("MetricVolume").alias("volume"), F.max("MetricValue").alias("largest"))
+    values = yearly.selectExpr("CAST(year AS STRING) AS run_id", "stack(3, 'lines', double(lines), 'volume', double(volume), 'largest', double(largest)) AS (check_name, value)")
+    checks = values.select(F.lit("sales").alias("layer"), "check_name", F.lit(True).alias("passed"), "value", "run_id")
+    runs = stage(checks, s.folder, "check_runs")
+    last = runs.agg(F.max("run_id")).first()[0]
+    tenfold = run_values(runs.filter(F.col("run_id") == last).withColumns({"value": F.col("value") * 10}).drop("run_id"), "tenfold")
+    judged = [value_drift(df, runs).withColumns({"run": F.lit(name)}) for name, df in ((last, runs.filter(F.col("run_id") == last)), ("tenfold", tenfold))]
+    return reduce(DataFrame.unionByName, judged)
+
+
 def _drilldown(s: Stages) -> DataFrame:
     place = ("000007", "Brand#11")
     return reports.validate_specific_outlet(s.place(*place), *place)
@@ -295,6 +396,7 @@ QUERIES: dict[str, StageQuery] = {
     "quality_all": _quality_all,
     "quality_audit": _quality_audit,
     "check_builders": _checks(_check_builders),
+    "check_results": _check_results,
     "loyalty_dates": lambda s: prepare_loyalty_dates(s.loyalty_valid).select(*LINE, "DateKey_dt"),
     "calculate_metrics": lambda s: calculate_metrics(s.tagged, save_to_table=False),
     "metrics_with_brand_rules": _with_brand_rules,
@@ -309,6 +411,15 @@ QUERIES: dict[str, StageQuery] = {
     "validated_overlaps": lambda s: guards.guard_overlap_detection(s.kept("promos"), s.kept("windows")),
     "validated_tagged": lambda s: guards.guard_tagged_transactions(s.tagged),
     "validated_metrics": lambda s: guards.guard_metrics(s.metrics),
+    "distinct_customers": _distinct_customers,
+    "incremental_rollup": _incremental_rollup,
+    "incremental_metrics": lambda s: add_derived_metrics(widen_rollup(_incremental_rollup(s))),
+    "changed_places": _changed_places,
+    "reference_survivors": _reference_survivors,
+    "reference_conflicts": _reference_conflicts,
+    "quality_drift": _quality_drift,
+    "calendar_rollup": lambda s: calendar_rollup(s.table("scan"), 19970108, 19981120),
+    "brand_calendar": lambda s: calendar_rollup(s.enriched, 19970108, 19981120, [BRAND]),
     "discount_summary": lambda s: reports.discount_summary(s.scan),
     "loyalty_summary": lambda s: reports.loyalty_summary(s.loyalty_all),
     "promo_windows_summary": lambda s: reports.promo_windows_summary(s.promos),

@@ -212,6 +212,88 @@ CTES: dict[str, str] = {
         FROM metrics_wide""",
 }
 
+# The windows as a run of 15 September 2000 saw them: no later rates, and that day as today.
+THEN = "DATE '2000-09-15'"
+_THEN_TABLES = ("single_promo", "spans", "promos", "flags_null", "flags_zero", "windows")
+for _name in _THEN_TABLES:
+    _sql = re.sub(rf"\b(FROM|JOIN) ({'|'.join(_THEN_TABLES)})\b", r"\1 then_\2", CTES[_name]).replace(AS_OF, THEN)
+    CTES[f"then_{_name}"] = _sql + (" AND DateKey <= 20000915" if _name == "single_promo" else "")
+
+
+def _past_spans(prefix: str) -> str:
+    cut = f"least({{}}, {THEN})"
+    parts = [
+        f"SELECT {KEYS}, '{period}' AS period, {first} AS a, {cut.format(last)} AS b FROM {prefix}windows"
+        f" WHERE {accepted} AND {first} <= {cut.format(last)}"
+        for period, first, last, accepted in (
+            ("during", "PromoTrueStartDate_dt", "PromoTrueEndDate_dt", "true"),
+            ("before", "before_window_start", "before_window_end", "has_before_window"),
+            ("after", "after_window_start", "after_window_end", "has_after_window"),
+        )
+    ]
+    return " UNION ALL ".join(parts)
+
+
+CTES |= {
+    "past_spans": _past_spans(""),
+    "then_past_spans": _past_spans("then_"),
+    "repeated_reference": """
+        SELECT DISTINCT OutletKey, OutletIdentifier FROM outlet_all
+        UNION ALL SELECT DISTINCT OutletKey, 'Z' || OutletIdentifier FROM outlet_all WHERE OutletKey % 3 = 0""",
+    "repeated_state": """
+        SELECT DISTINCT OutletIdentifier, State FROM outlet_all
+        UNION ALL SELECT DISTINCT OutletIdentifier, NULL FROM outlet_all WHERE OutletIdentifier LIKE '%5'""",
+    "check_runs": """
+        SELECT CAST(DateKey // 10000 AS VARCHAR) AS run_id, check_name, CAST(v AS DOUBLE) AS value FROM (
+          SELECT DateKey, 'lines' AS check_name, count(*) OVER y AS v FROM scan WINDOW y AS (PARTITION BY DateKey // 10000)
+          UNION SELECT DateKey, 'volume', sum(MetricVolume) OVER y FROM scan WINDOW y AS (PARTITION BY DateKey // 10000)
+          UNION SELECT DateKey, 'largest', max(MetricValue) OVER y FROM scan WINDOW y AS (PARTITION BY DateKey // 10000))
+        GROUP BY ALL""",
+}
+
+
+def _drift(run: str, times: int, earlier: str) -> str:
+    return f"""
+        SELECT 'sales' AS layer, check_name, true AS passed, value, runs, usual, low, high,
+               CASE WHEN runs >= 3 THEN value < low OR value > high END AS drifted, {run} AS run
+        FROM (SELECT check_name, {times} * value AS value FROM check_runs WHERE run_id = (SELECT max(run_id) FROM check_runs))
+        JOIN (SELECT check_name, runs, m AS usual, least(a - 4 * (b - a), m - abs(m) * 0.5) AS low,
+                     greatest(b + 4 * (b - a), m + abs(m) * 0.5) AS high
+              FROM (SELECT check_name, count(*) AS runs, quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.5) AS m,
+                           quantile_cont(value, 0.75) AS b FROM check_runs WHERE {earlier} GROUP BY check_name)) USING (check_name)"""
+
+
+def _calendar(lines: str, by: str = "") -> str:
+    """Levels apart, each straight from the lines."""
+    first, last = "DATE '1997-01-08'", "DATE '1998-11-20'"
+    starts = {
+        "week": ("CAST(date_trunc('week', day) AS DATE)", "CAST(begin + 6 AS DATE)"),
+        "month": ("CAST(date_trunc('month', day) AS DATE)", "CAST(last_day(begin) AS DATE)"),
+        "all": (first, last),
+    }
+    return " UNION ALL ".join(
+        f"""SELECT {by} '{level}' AS level, greatest(begin, {first}) AS level_start, least({end}, {last}) AS level_end,
+        CAST(least({end}, {last}) - greatest(begin, {first}) + 1 AS INTEGER) AS days, begin < {first} OR {end} > {last} AS partial,
+        total_lines, total_volume, total_value
+        FROM (SELECT {by} {begin} AS begin, count(*) AS total_lines, CAST(sum(MetricVolume) AS DOUBLE) AS total_volume,
+                     CAST(sum(MetricValue) AS DOUBLE) AS total_value
+              FROM (SELECT *, {_as_date('DateKey')} AS day FROM {lines} WHERE DateKey BETWEEN 19970108 AND 19981120)
+              GROUP BY {by} {begin})"""
+        for level, (begin, end) in starts.items()
+    )
+
+
+def _customers(*levels: str) -> str:
+    names = ("ReportingBrandName", "State", "period")
+    return " UNION ALL ".join(
+        f"SELECT '{level}' AS level, "
+        + ", ".join(f"{n if n in level.split(',') else 'CAST(NULL AS VARCHAR)'} AS {n}" for n in names)
+        + ", count(DISTINCT LoyaltyCode) AS customers FROM tagged JOIN outlet USING (OutletIdentifier)"
+        + (f" GROUP BY {', '.join(level.split(','))}" if level != "all" else "")
+        for level in levels
+    )
+
+
 AMOUNTS = ("MetricVolume", "MetricValue")
 TOTALS = tuple(
     f"{p}_total_{m}" for p in ("before_promo", "during_promo", "after_promo") for m in ("volume", "value")
@@ -486,7 +568,33 @@ BODIES: dict[str, str] = {
     "check_builders": " UNION ALL ".join(
         [_zero("no_null_LoyaltyNumber", "scan", "LoyaltyNumber IS NULL"), _zero("no_negative_MetricVolume", "scan", "MetricVolume < 0")]
     ),
+    "check_results": "SELECT 'custom' AS layer, check_name, 'error' AS severity, passed, value, "
+    "CAST(sum(CAST(passed AS INTEGER)) OVER () AS INTEGER) AS passed_checks, CAST(sum(CAST(NOT passed AS INTEGER)) OVER () AS INTEGER) AS failed_checks FROM ("
+    + " UNION ALL ".join([_zero("no_null_LoyaltyNumber", "scan", "LoyaltyNumber IS NULL"), _zero("no_negative_MetricVolume", "scan", "MetricVolume < 0")])
+    + ")",
     "loyalty_dates": f"SELECT {LINE}, {_as_date('DateKey')} AS DateKey_dt FROM loyalty_valid",
+    "distinct_customers": _customers("ReportingBrandName", "State", "period", "ReportingBrandName,period", "all"),
+    "incremental_rollup": f"""SELECT {KEYS}, period, LoyaltyCode, CAST(sum(MetricVolume) AS DOUBLE) AS MetricVolume,
+        CAST(sum(MetricValue) AS DOUBLE) AS MetricValue, count(*) AS tagged_rows,
+        count(*) FILTER (WHERE MetricVolume < 0) AS negative_volume_rows, count(*) FILTER (WHERE MetricValue < 0) AS negative_value_rows
+        FROM tagged GROUP BY {KEYS}, period, LoyaltyCode""",
+    "changed_places": """SELECT DISTINCT OutletIdentifier, ReportingBrandName FROM (
+        (SELECT * FROM past_spans EXCEPT ALL SELECT * FROM then_past_spans)
+        UNION ALL (SELECT * FROM then_past_spans EXCEPT ALL SELECT * FROM past_spans))""",
+    "reference_survivors": """SELECT OutletKey, ProductKey, DateKey, TransactionID, OutletIdentifier AS Ref_OutletIdentifier, State AS Ref_State
+        FROM scan
+        LEFT JOIN (SELECT * FROM repeated_reference QUALIFY row_number() OVER (PARTITION BY OutletKey ORDER BY OutletIdentifier) = 1) USING (OutletKey)
+        LEFT JOIN (SELECT * FROM repeated_state QUALIFY row_number() OVER (PARTITION BY OutletIdentifier ORDER BY State NULLS FIRST) = 1)
+          USING (OutletIdentifier)""",
+    "reference_conflicts": """
+        SELECT 'outlet_reference' AS table_name, CAST(OutletKey AS VARCHAR) AS key, count(*) AS key_rows, 'OutletIdentifier' AS differing
+        FROM repeated_reference GROUP BY OutletKey HAVING count(DISTINCT OutletIdentifier) > 1
+        UNION ALL SELECT 'outlet_state', OutletIdentifier, count(*), 'State' FROM repeated_state GROUP BY OutletIdentifier
+        HAVING count(DISTINCT coalesce(State, '-')) > 1""",
+    "quality_drift": _drift("(SELECT max(run_id) FROM check_runs)", 1, "run_id < (SELECT max(run_id) FROM check_runs)")
+    + " UNION ALL " + _drift("'tenfold'", 10, "true"),
+    "calendar_rollup": _calendar("scan"),
+    "brand_calendar": _calendar("enriched", "ReportingBrandName,"),
     "discount_summary": f"""SELECT *, {_pct('promo_transactions', 'total_transactions')} AS promo_pct FROM (
         SELECT count(*) AS total_transactions, count(*) FILTER (WHERE SMP_discount > 0) AS smp_transactions,
                count(*) FILTER (WHERE MP_discount > 0) AS mp_transactions,
@@ -571,6 +679,7 @@ def oracle_sql() -> dict[str, str]:
         "validated_tagged": "tag_transactions",
         "validated_metrics": "metrics_derived",
         "tag_by_segments": "tag_transactions",
+        "incremental_metrics": "metrics_derived",
     }
     plain = BODIES | {name: BODIES[other] for name, other in same.items()}
     return {name: statement(body) for name, body in plain.items()} | renamed
