@@ -75,3 +75,39 @@ def test_a_language_of_long_texts_is_learned(spark, monkeypatch):
     assert trees.languages == ["long", "short"]
     asked = spark.createDataFrame([(1, "abba bab"), (2, "zyx xyz")], "doc_id long, text string")
     assert {r.doc_id: r.lang_pred for r in languages.identify(asked, trees).collect()} == {1: "long", 2: "short"}
+
+
+def same_trees(a, b):
+    pairs = [pair for name in ("keys", "costs", "escapes") for pair in zip(getattr(a, name), getattr(b, name), strict=True)]
+    return a.languages == b.languages and all(x.shape == y.shape and (x == y).all() for x, y in pairs)
+
+
+def test_counts_of_spark_are_those_of_the_texts(spark):
+    rows = [(k, text, lang) for k, (lang, text) in enumerate([("a", "the cat"), ("b", "le chat été"), ("a", ""), ("a", "the cat"), ("c", "x")])]
+    rows += [(90, None, "a"), (91, "gone", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    texts: dict = {}
+    for _, text, lang in rows[:5]:
+        texts.setdefault(lang, []).append(text.encode())
+    # a last empty text puts line feeds after the one before it
+    assert same_trees(languages.train(frame), languages.ContextTrees({lang: [*own, b""] for lang, own in texts.items()}))
+    assert languages.train(frame.limit(0)).languages == []
+
+
+def test_a_bounded_tree_keeps_the_most_frequent_paths(monkeypatch):
+    texts = {"a": [b"abab" * 50 + b"qwertzuiop", b""], "b": [b"cdcd" * 50 + b"asdfghjkl", b""]}
+    full = languages.ContextTrees(texts)
+    monkeypatch.setattr(languages, "MODEL_CELLS", 24)
+    small = languages.ContextTrees(texts)
+    assert all(len(keys) <= 12 for keys in small.keys[2:]) and len(full.keys[3]) > 12 and len(small.keys[3])
+    assert small.predict([b"ababab", b"cdcdcd", b"qwertz"])[0] == full.predict([b"ababab", b"cdcdcd", b"qwertz"])[0] == ["a", "b", "a"]
+    for text in (b"abab", b"xyz", b"", b"qwertz" * 9):
+        assert all(math.isfinite(bits) for bits in small.lengths([text])[0])
+
+
+def test_languages_share_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(languages, "MODEL_BYTES", 2000)
+    rows = [(k, f"{'ab'[k % 2] * 99}\n", "ab"[k % 2]) for k in range(60)]
+    monkeypatch.setattr(languages.ContextTrees, "of_counts", classmethod(lambda cls, counts: counts))
+    counts = languages.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {lang: int(n.sum()) for lang, (_, n) in counts.items()} == {"a": 1030, "b": 1030}
