@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Cells of a dimension, and the rows of a block of vectors and of queries that one task compares.
-CELLS, VECTOR_BLOCK, QUERY_BLOCK = 16, 8192, 2048
+CELLS, VECTOR_BLOCK, QUERY_BLOCK = 256, 8192, 2048
 #: Exact vectors read at a time, in the order of their bounds.
 READ = 64
 _SCORE = "query_id long, vec_id long, score long"
@@ -40,25 +40,30 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class ApproximationFile:
-    """Quantised cells of a block of vectors: per dimension, equal parts of the range, and which part a component is in."""
+    """Quantised cells of a block of vectors: per dimension, equal parts of the range, at most 256, and the one-byte code of
+    the part a component is in. The bounds need nothing else of a vector than its codes."""
 
     def __init__(self, exact: np.ndarray, cells: int = CELLS) -> None:
-        low, high = exact.min(axis=0), exact.max(axis=0)
-        width = np.maximum((high - low) / cells, 1e-300)
-        self.codes = np.clip((exact - low) / width, 0, cells - 1).astype(np.uint8)
-        self.marks = low + np.arange(cells + 1)[:, None] * width
-        pick = np.arange(exact.shape[1])
-        # rounding may put a component just outside its cell; the marks move to hold it
-        self.lower = np.minimum(self.marks[self.codes, pick], exact)
-        self.upper = np.maximum(self.marks[self.codes + 1, pick], exact)
+        self.cells = cells
+        self.low = exact.min(axis=0)
+        self.width = np.maximum((exact.max(axis=0) - self.low) / cells, 1e-300)
+        self.codes = np.clip((exact - self.low) / self.width, 0, cells - 1).astype(np.uint8)
+        self.far = np.abs(exact).max(axis=0)
 
     def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Least and greatest inner products that a vector's cells allow, for each query."""
-        plus, minus = np.maximum(queries, 0), np.minimum(queries, 0)
-        low = plus @ self.lower.T + minus @ self.upper.T
-        high = plus @ self.upper.T + minus @ self.lower.T
-        slack = 1e-9 * (np.abs(queries) @ np.maximum(np.abs(self.lower), np.abs(self.upper)).T) + 1e-6
-        return low - slack, high + slack
+        """For each query, the least inner product that each vector's cells allow, and how far the greatest lies above it.
+
+        A cell begins at its dimension's lowest value plus code times width, so the products of all beginnings are one
+        product with the codes, and the distance is the same for every vector.
+        """
+        step = queries * self.width
+        gap = np.abs(step).sum(axis=1)
+        unit = np.maximum(np.abs(step).max(axis=1), 1e-300)[:, None]
+        coded = (step / unit).astype(np.float32) @ self.codes.astype(np.float32).T
+        low = coded * unit + (queries @ self.low + np.minimum(step, 0).sum(axis=1))[:, None]
+        # single precision, and rounding that puts a component just outside its cell
+        slack = (len(self.low) + 4) * 2.0**-23 * self.cells * gap + 1e-9 * (np.abs(queries) @ self.far) + 1e-6
+        return low - slack[:, None], gap + 2 * slack
 
 
 def search(ids: np.ndarray, exact: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, cells: int = CELLS) -> list[tuple[int, int, int]]:
@@ -70,16 +75,20 @@ def search(ids: np.ndarray, exact: np.ndarray, query_ids: np.ndarray, queries: n
     found: list[tuple[int, int, int]] = []
     file = ApproximationFile(exact, cells)
     for at in range(0, len(queries), 256):
-        low, high = file.bounds(queries[at : at + 256])
-        for name, query, least, most in zip(query_ids[at : at + 256], queries[at : at + 256], low, high, strict=True):
-            other = ids != name
-            floor = np.partition(least[other], -k)[-k] if other.sum() > k else -math.inf
-            order = np.flatnonzero(other & (most >= floor))
-            order = order[np.argsort(-most[order], kind="stable")]
+        names = query_ids[at : at + 256]
+        low, gap = file.bounds(queries[at : at + 256])
+        low[names[:, None] == ids[None, :]] = -math.inf
+        # with k vectors at most none is ruled out; -inf for the own ones then keeps all others
+        floor = np.partition(low, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(names), -math.inf)
+        for name, query, least, up, bar in zip(names, queries[at : at + 256], low, gap, floor, strict=True):
+            order = np.flatnonzero(least >= max(bar - up, -1.7e308))  # above -inf, the own ones
+            most = least[order] + up
+            sequence = np.argsort(-most, kind="stable")
+            order, most = order[sequence], most[sequence]
             best_ids, best = np.empty(0, np.int64), np.empty(0, np.int64)
             for begin in range(0, len(order), READ):
                 part = order[begin : begin + READ]
-                if len(best) >= k and most[part[0]] < best[k - 1]:
+                if len(best) >= k and most[begin] < best[k - 1]:
                     break
                 best = np.concatenate([best, _products(query[None, :], exact[part])[0]])
                 best_ids = np.concatenate([best_ids, ids[part]])

@@ -176,3 +176,23 @@ def test_scripted_measures_are_not_judged_by_other_languages(documents, texts):
     got = {r.key: r for r in quality.assess(documents(prose + long, lang=lambda i: "th" if i >= 1000 else "en")).collect()}
     assert all(got[1000 + k].kept for k in range(texts)) and all(got[k].kept for k in range(200))
     assert (got[1000].max_word_length is None) == (texts < 50) and got[1000].max_symbols is not None
+
+
+@pytest.mark.parametrize("cells", [1, 4, 256])
+def test_bounds_from_codes_hold_and_spare_reads(cells, monkeypatch):
+    rng = np.random.default_rng(4)
+    wild = rng.normal(size=(400, 5)) * 10.0 ** rng.integers(-3, 7, size=(400, 5))
+    for exact in (np.floor(1024 * rng.normal(size=(900, 12))), np.floor(wild), np.zeros((5, 3)), np.full((7, 2), 3.0)):
+        file = vectors.ApproximationFile(exact, cells)
+        assert file.codes.dtype == np.uint8
+        low, gap = file.bounds(exact[:50])
+        products = exact[:50] @ exact.T
+        assert (low <= products).all() and (products <= low + gap[:, None]).all()
+        ids = np.arange(len(exact))
+        want = [(q, int(i), int(products[q, i])) for q in ids[:50] for i in [j for j in np.lexsort((ids, -products[q])) if j != q][:10]]
+        assert vectors.search(ids, exact, ids[:50], exact[:50], 10, cells) == want
+    read = []
+    monkeypatch.setattr(vectors, "_products", lambda a, b, real=vectors._products: read.append(len(b)) or real(a, b))
+    many = np.floor(1024 * rng.normal(size=(8192, 64)))
+    vectors.search(np.arange(8192), many, np.arange(100), many[:100], 10)
+    assert sum(read) < 100 * 8192 / 50
