@@ -12,6 +12,7 @@ from promolens.operators.metrics import add_derived_metrics, keep_all_promos, wi
 from promolens.plans.stages import Stages
 from promolens.quality.core import ERROR
 from promolens.quality.guards import guard_metrics, violations
+from promolens.quality.history import audit_drift
 from promolens.quality.report import QualityReport, check_frames, evaluate, save_audit
 from promolens.sources.catalog import Catalog
 from promolens.sources.sink import remove_folder, save_loyalty_scan, save_metrics, stage
@@ -21,7 +22,8 @@ from promolens.sources.sink import remove_folder, save_loyalty_scan, save_metric
 class Analysis:
     """Results of a run. ``checks`` is empty if the run was told not to check.
 
-    The frames read the run's staged tables; :meth:`close`, or leaving a ``with`` block, removes those.
+    The frames read the run's staged tables; :meth:`close`, or leaving a ``with`` block, removes those. ``drift`` holds the
+    latest run's checks beside those of earlier runs, if an audit table was named.
     """
 
     metrics: DataFrame
@@ -29,6 +31,7 @@ class Analysis:
     checks: dict[str, QualityReport]
     summaries: dict[str, DataFrame]
     folder: str
+    drift: DataFrame | None = None
 
     def close(self) -> None:
         remove_folder(self.metrics.sparkSession, self.folder)
@@ -68,6 +71,7 @@ def run(
     metrics = stage(add_derived_metrics(keep_all_promos(wide, windows) if every_promo else wide), stages.folder, "metrics")
 
     checks: dict[str, QualityReport] = {}
+    drift: DataFrame | None = None
     if check:
         from_scan = loyalty_input == "scan"
         frames = check_frames(
@@ -93,6 +97,7 @@ def run(
         if audit_table is not None:
             for report in checks.values():
                 save_audit(report.as_frame(catalog.spark), audit_table)
+            drift = audit_drift(catalog.spark.table(audit_table))
         if raise_on_failure:
             for report in checks.values():
                 report.raise_if_failed()
@@ -110,4 +115,4 @@ def run(
         "metrics": reports.metrics_summary(metrics),
         "top_brands": reports.top_brands(metrics),
     }
-    return Analysis(metrics, windows, checks, summaries, stages.folder)
+    return Analysis(metrics, windows, checks, summaries, stages.folder, drift)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
@@ -252,50 +253,56 @@ def _with_brand_rules(s: Stages) -> DataFrame:
 
 def _distinct_customers(s: Stages) -> DataFrame:
     """Customers per brand, state, period and in all, of the union of sets made in two runs with a dictionary that grew."""
-    rollup = s.kept("rollup")
+    rollup, folder = s.kept("rollup"), _apart(s)
     odd = F.pmod(F.xxhash64(BRAND), F.lit(2)) == 1
-    first = stage(number_customers(rollup.filter(odd)), s.folder, "customers_then")
-    sets = stage(customer_sets(rollup.filter(odd), first), s.folder, "sets_then")
-    grown = stage(number_customers(rollup, first), s.folder, "customers_now")
-    sets = stage(merge_sets(sets, customer_sets(rollup.filter(~odd), grown)), s.folder, "sets_now")
+    first = stage(number_customers(rollup.filter(odd)), folder, "customers_then")
+    sets = stage(customer_sets(rollup.filter(odd), first), folder, "sets_then")
+    grown = stage(number_customers(rollup, first), folder, "customers_now")
+    sets = stage(merge_sets(sets, customer_sets(rollup.filter(~odd), grown)), folder, "sets_now")
     placed = sets.join(s.table("outlet").select(OUTLET, "State"), OUTLET, "left")
     return distinct_customers(placed, [[BRAND], ["State"], ["period"], [BRAND, "period"], []])
 
 
+def _apart(s: Stages) -> str:
+    """A sub-folder for the steps of one query, of which several may share the stages."""
+    return f"{s.folder}/{uuid.uuid4().hex}"
+
+
 # Days up to which sales had come in, by run.
 ARRIVALS = (date(1999, 6, 30), date(2000, 9, 15))
 
 
-def _known_windows(s: Stages, upto: date | None) -> DataFrame:
+def _known_windows(s: Stages, upto: date | None, folder: str) -> DataFrame:
     """Promotion windows as a run on that day saw them: no later rates, and that day as today; the settings' for none."""
     if upto is None:
         return s.kept("windows")
     rates = s.rates.filter(F.col("DateKey") <= int(upto.strftime("%Y%m%d")))
     settings = replace(s.settings, as_of=upto)
-    promos = stage(build_promo_windows(rates, settings), s.folder, f"promos_{upto:%Y%m%d}")
-    return stage(detect_overlaps(promos, settings), s.folder, f"windows_{upto:%Y%m%d}")
+    promos = stage(build_promo_windows(rates, settings), folder, f"promos_{upto:%Y%m%d}")
+    return stage(detect_overlaps(promos, settings), folder, f"windows_{upto:%Y%m%d}")
 
 
 def _incremental_rollup(s: Stages) -> DataFrame:
     """A first run and two increments, each from the stored result of the one before."""
-    lines = stage(s.loyalty_valid.select(OUTLET, BRAND, "DateKey", "LoyaltyCode", "MetricVolume", "MetricValue"), s.folder, "lines")
+    folder = _apart(s)
+    lines = stage(s.loyalty_valid.select(OUTLET, BRAND, "DateKey", "LoyaltyCode", "MetricVolume", "MetricValue"), folder, "lines")
     day = F.col("DateKey")
     begin = ARRIVALS[0]
-    windows = _known_windows(s, begin)
+    windows = _known_windows(s, begin, folder)
     first = lines.filter(day <= int(begin.strftime("%Y%m%d")))
-    rollup = stage(rollup_by_customer(tag_transactions(first, windows, replace(s.settings, as_of=begin))), s.folder, "rollup_0")
+    rollup = stage(rollup_by_customer(tag_transactions(first, windows, replace(s.settings, as_of=begin))), folder, "rollup_0")
     for k, (upto, then) in enumerate(zip(ARRIVALS, (*ARRIVALS[1:], None), strict=True), 1):
-        known, later = int(upto.strftime("%Y%m%d")), _known_windows(s, then)
+        known, later = int(upto.strftime("%Y%m%d")), _known_windows(s, then, folder)
         arrived = lines.filter((day > known) & (day <= (int(then.strftime("%Y%m%d")) if then else 99991231)))
         updated = update_rollup(
             rollup, windows, later, lines.filter(day <= known), arrived, s.settings, upto, broadcast_rows=s.settings.broadcast_rows
         )
-        rollup, windows = stage(updated, s.folder, f"rollup_{k}"), later
+        rollup, windows = stage(updated, folder, f"rollup_{k}"), later
     return rollup
 
 
 def _changed_places(s: Stages) -> DataFrame:
-    return changed_places(_known_windows(s, ARRIVALS[1]), s.kept("windows"), ARRIVALS[1])
+    return changed_places(_known_windows(s, ARRIVALS[1], _apart(s)), s.kept("windows"), ARRIVALS[1])
 
 
 def _repeated_references(s: Stages) -> tuple[DataFrame, DataFrame]:
@@ -329,7 +336,7 @@ def _quality_drift(s: Stages) -> DataFrame:
     yearly = s.scan.groupBy(year).agg(F.count("*").alias("lines"), F.sum("MetricVolume").alias("volume"), F.max("MetricValue").alias("largest"))
     values = yearly.selectExpr("CAST(year AS STRING) AS run_id", "stack(3, 'lines', double(lines), 'volume', double(volume), 'largest', double(largest)) AS (check_name, value)")
     checks = values.select(F.lit("sales").alias("layer"), "check_name", F.lit(True).alias("passed"), "value", "run_id")
-    runs = stage(checks, s.folder, "check_runs")
+    runs = stage(checks, _apart(s), "check_runs")
     last = runs.agg(F.max("run_id")).first()[0]
     tenfold = run_values(runs.filter(F.col("run_id") == last).withColumns({"value": F.col("value") * 10}).drop("run_id"), "tenfold")
     judged = [value_drift(df, runs).withColumns({"run": F.lit(name)}) for name, df in ((last, runs.filter(F.col("run_id") == last)), ("tenfold", tenfold))]

@@ -43,3 +43,13 @@ def value_drift(current: DataFrame, history: DataFrame, spread: float = 4.0, rel
         *CHECK, "passed", "value", F.coalesce("runs", F.lit(0)).alias("runs"), "usual", "low", "high",
         F.when(known, ~F.col("value").between(F.col("low"), F.col("high"))).alias("drifted"),
     )
+
+
+def audit_drift(audit: DataFrame, spread: float = 4.0, relative: float = 0.5) -> DataFrame:
+    """The checks of the latest run in an audit table beside those of the runs before it, as :func:`value_drift` judges them.
+
+    The rows of a run share their time ``ts``, since all of its checks are evaluated in one job.
+    """
+    runs = audit.withColumns({"run_id": F.col("ts").cast("string")})
+    last = audit.agg(F.max("ts").alias("ts"))
+    return value_drift(runs.join(F.broadcast(last), "ts", "left_semi"), runs, spread, relative)

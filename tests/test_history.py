@@ -1,6 +1,9 @@
 from __future__ import annotations
 
-from promolens.quality.history import run_values, value_drift
+from datetime import datetime
+
+from promolens.quality.history import audit_drift, run_values, value_drift
+from promolens.quality.report import CHECK_SCHEMA, save_audit
 
 CHECK = "layer string, check_name string, passed boolean, value double"
 RUNS = CHECK + ", run_id string"
@@ -40,3 +43,19 @@ def test_own_run_and_repeated_runs(spark):
     current = run_values(spark.createDataFrame([("l", "c", True, 100.0)], CHECK), "now")
     rows = [value_drift(current, spark.createDataFrame(h, RUNS)).collect() for h in (past, past + past[:1], [*past, ("l", "c", True, 100.0, "now")])]
     assert rows[0] == rows[1] == rows[2] and rows[0][0].drifted
+
+
+def test_latest_run_of_an_audit_table(spark):
+    def save(day, *values):
+        rows = [("l", f"c{k}", "error", True, "", v, None, datetime(2025, 1, day)) for k, v in enumerate(values)]
+        save_audit(spark.createDataFrame(rows, CHECK_SCHEMA), "drift_audit")
+
+    for day in (1, 2, 3):
+        save(day, 10.0 + day, 7.0)
+    save(4, 130.0, 7.0)
+    found = {r.check_name: r for r in audit_drift(spark.table("drift_audit")).collect()}
+    assert found["c0"].drifted and found["c0"].passed and found["c0"].runs == 3 and found["c1"].drifted is False
+    save(5, 12.0, 700.0)
+    found = {r.check_name: r for r in audit_drift(spark.table("drift_audit")).collect()}
+    assert found["c0"].drifted is False and found["c1"].drifted and found["c1"].runs == 4
+    assert audit_drift(spark.table("drift_audit").limit(0)).count() == 0

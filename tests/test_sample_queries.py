@@ -64,6 +64,7 @@ def test_full_run(spark):
     bad = [r.check_name for report in result.checks.values() for r in report.failed]
     assert bad == ["volume_lift_reasonable"]
     assert spark.table("run_audit").count() == 66
+    assert result.drift.count() == 66 and result.drift.filter("runs > 0 OR drifted IS NOT NULL").count() == 0
     assert {name: df.count() for name, df in result.summaries.items()}["tagging"] == 4
     with pytest.raises(ValueError, match="volume_lift_reasonable"):
         run(sample_catalog(spark, FOLDER), SETTINGS)
