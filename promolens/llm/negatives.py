@@ -17,8 +17,8 @@ from promolens.llm.vectors import usable
 
 #: Vectors and anchors of a block; one task meets a block of each.
 VECTOR_BLOCK, ANCHOR_BLOCK = 8192, 1024
-#: Vectors of a leaf and children of a node.
-LEAF, FAN = 128, 8
+#: Vectors of a leaf and children of a node. Reading a leaf has a fixed cost, which leaves of 128 paid more often than they spared reading.
+LEAF, FAN = 512, 8
 #: Integers are held within plus and minus this over the root of the dimensions, so that products are exact in doubles.
 _SQUARE = 1 << 52
 
@@ -33,10 +33,11 @@ class Wanted:
     scores: np.ndarray = field(default_factory=lambda: np.empty(0))
     ids: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))
 
-    @property
-    def least(self) -> float:
-        """What a score must reach: the window's lower end, or the kth best score."""
-        return self.low if len(self.scores) < self.k else max(self.low, self.scores[-1])
+    #: What a score must reach: the window's lower end, or the kth best score.
+    least: float = field(init=False)
+
+    def __post_init__(self) -> None:
+        self.least = self.low
 
     def take(self, scores: np.ndarray, ids: np.ndarray) -> None:
         fits = (scores >= self.least) & (scores <= self.high)
@@ -44,6 +45,8 @@ class Wanted:
             scores, ids = np.concatenate([self.scores, scores[fits]]), np.concatenate([self.ids, ids[fits]])
             top = np.lexsort((ids, -scores))[: self.k]
             self.scores, self.ids = scores[top], ids[top]
+            if len(top) == self.k:
+                self.least = float(self.scores[-1])
 
 
 class Tree:
@@ -79,14 +82,14 @@ class Tree:
         plus, minus = np.maximum(anchors, 0), np.minimum(anchors, 0)
         return [(plus @ low.T + minus @ high.T, plus @ high.T + minus @ low.T) for low, high in zip(self.low, self.high, strict=True)]
 
-    def search(self, anchor: np.ndarray, name: int, fits: np.ndarray, wanted: Sequence[Wanted], least: list[np.ndarray], most: list[np.ndarray]) -> int:
+    def search(self, anchor: np.ndarray, name: int, fits: np.ndarray, wanted: Sequence[Wanted], least: Sequence[Sequence[float]], most: Sequence[Sequence[float]]) -> int:
         """Fill ``wanted`` from the rows that ``fits`` and that are not the anchor's own; the number of leaves read.
 
         ``least`` and ``most`` are the anchor's intervals. The queue gives the box with the greatest bound first. A box
         is passed over if for every window its interval lies outside, or strictly below the kth best score.
         """
         top = len(self.low) - 1
-        queue = [(-most[top][0], top, 0)]
+        queue = [(-most[top][0], top, 0)] if wanted else []
         read = 0
         while queue:
             _, level, node = heapq.heappop(queue)
@@ -100,11 +103,14 @@ class Tree:
             else:
                 read += 1
                 rows = slice(self.leaf * node, self.leaf * (node + 1))
-                ids, fit = self.ids[rows], fits[rows] & (self.ids[rows] != name)
-                if fit.any():
-                    scores = self.points[rows] @ anchor
+                scores = self.points[rows] @ anchor
+                # Most leaves have nothing for any window; one comparison shows it.
+                near = scores >= min(w.least for w in open_)
+                if near.any():
+                    ids = self.ids[rows]
+                    near &= fits[rows] & (ids != name)
                     for w in open_:
-                        w.take(scores[fit], ids[fit])
+                        w.take(scores[near], ids[near])
         return read
 
 
@@ -138,17 +144,22 @@ def _by_blocks(vectors: DataFrame, anchors: DataFrame, counts: tuple[int, int, i
         if asks.any() and not asks.all():
             ids, labels = group["id"].to_numpy(), group["label"].to_numpy()
             whole = _integers(group["v"].combine_chunks(), width, scale)
-            tree = Tree(whole[~asks], ids[~asks], labels[~asks])
             windows = group["windows"].to_pylist()
-            asked = np.flatnonzero(asks)
-            for at in range(0, len(asked), 256):
-                part = asked[at : at + 256]
-                intervals = tree.intervals(whole[part])
-                for k, row in enumerate(part):
-                    wanted = wanted_of(windows[row])
-                    fits = (tree.labels == labels[row]) == same_label
-                    tree.search(whole[row], ids[row], fits, [w for _, w in wanted], [least[k] for least, _ in intervals], [most[k] for _, most in intervals])
-                    found += [(int(ids[row]), rank, int(i), int(s)) for rank, w in wanted for i, s in zip(w.ids, w.scores, strict=True)]
+            asked, held = np.flatnonzero(asks), np.flatnonzero(~asks)
+            # With a tree for each label that is asked for, an anchor meets no rows of others.
+            parts = [(asked[labels[asked] == v], held[labels[held] == v]) for v in np.unique(labels[asked])] if same_label else [(asked, held)]
+            for anchor_rows, rows in parts:
+                if not len(rows):
+                    continue
+                tree = Tree(whole[rows], ids[rows], labels[rows])
+                for at in range(0, len(anchor_rows), 256):
+                    part = anchor_rows[at : at + 256]
+                    intervals = tree.intervals(whole[part])
+                    for k, row in enumerate(part):
+                        wanted = wanted_of(windows[row])
+                        fits = (tree.labels == labels[row]) == same_label
+                        tree.search(whole[row], ids[row], fits, [w for _, w in wanted], [least[k].tolist() for least, _ in intervals], [most[k].tolist() for _, most in intervals])
+                        found += [(int(ids[row]), rank, int(i), int(s)) for rank, w in wanted for i, s in zip(w.ids, w.scores, strict=True)]
         columns = list(zip(*found, strict=True)) or [[]] * 4
         return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())], names=["anchor_id", "window", "vec_id", "score"])
 
@@ -182,8 +193,8 @@ def hard_negatives(
     no rows. Integers are held within plus and minus 2**26 / sqrt(dimensions): products are then exact.
 
     Two searches: for positives, and with their scores for negatives. Each deals vectors and anchors to blocks; a task
-    packs one block of vectors into an R-tree and asks it for one block of anchors, and a window keeps the best of all
-    blocks. Its anchors are the stated set of queries against all rows.
+    packs one block of vectors into an R-tree (for positives, each label of the block's anchors into one) and asks it for one
+    block of anchors, and a window keeps the best of all blocks. Its anchors are the stated set of queries against all rows.
     """
     labelled = F.col(label) if isinstance(label, str) else label
     rows = vectors.filter(F.col(key).isNotNull() & usable(F.col(vector))).select(F.col(key).cast("long").alias("id"), labelled.cast("long").alias("label"), F.col(vector).cast("array<double>").alias("v"), anchors.alias("asked"))
@@ -198,8 +209,9 @@ def hard_negatives(
     near = stored(near.select("anchor_id", F.col("rank").alias("positive_rank"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score")))
 
     def between(windows: list[dict]) -> list[tuple[int, Wanted]]:
-        """Integer scores s with low[0] * p <= low[1] * s and high[1] * s <= high[0] * p."""
-        return [(w["rank"], Wanted(-(-low[0] * w["score"] // low[1]), high[0] * w["score"] // high[1], negatives)) for w in windows]
+        """Integer scores s with low[0] * p <= low[1] * s and high[1] * s <= high[0] * p; a window of none is left out."""
+        ends = [(w["rank"], -(-low[0] * w["score"] // low[1]), high[0] * w["score"] // high[1]) for w in windows]
+        return [(rank, Wanted(first, last, negatives)) for rank, first, last in ends if first <= last]
 
     windows = near.groupBy(F.col("anchor_id").alias("id")).agg(F.collect_list(F.struct(F.col("positive_rank").alias("rank"), F.col("positive_score").alias("score"))).alias("windows"))
     far = best(_by_blocks(rows.drop("asked"), asked.join(windows, "id"), counts, scale, between, False, _FOUND), negatives)
