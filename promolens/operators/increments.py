@@ -56,6 +56,7 @@ def update_rollup(
     upto: date,
     date_col: str = "DateKey",
     broadcast_rows: int = 0,
+    changed: DataFrame | None = None,
 ) -> DataFrame:
     """The rollup of ``history`` and ``arrived`` under ``new_windows``, from the ``stored`` one of ``history`` under
     ``old_windows``.
@@ -64,11 +65,13 @@ def update_rollup(
     same, stored rows stay and only what arrived is tagged; elsewhere the stored rows are dropped and the place's whole
     history is tagged again. History is read with the changed places as a filter, broadcast if they are few. The
     result replaces the stored table, with the new windows: applied twice to a table already updated, it would count
-    what arrived twice. ``old_windows`` and ``new_windows`` are read twice and should be stored.
+    what arrived twice. The changed places are read up to three times: give ``changed_places`` of the same arguments as a
+    stored table by ``changed``, or they are computed from the windows each time.
     """
+    if changed is None:
+        changed = changed_places(old_windows, new_windows, upto)
     # Places without a name have no sales that could match.
-    changed = changed_places(old_windows, new_windows, upto).dropna()
-    changed = broadcast_if_small(changed, broadcast_rows)
+    changed = broadcast_if_small(changed.dropna(), broadcast_rows)
     keys = list(PLACE_KEYS)
     lines = [*PLACE_KEYS, date_col, "LoyaltyCode", "MetricVolume", "MetricValue"]
     again = history.select(*lines).join(changed, keys, "left_semi").unionByName(arrived.select(*lines))

@@ -294,9 +294,9 @@ def _incremental_rollup(s: Stages) -> DataFrame:
     for k, (upto, then) in enumerate(zip(ARRIVALS, (*ARRIVALS[1:], None), strict=True), 1):
         known, later = int(upto.strftime("%Y%m%d")), _known_windows(s, then, folder)
         arrived = lines.filter((day > known) & (day <= (int(then.strftime("%Y%m%d")) if then else 99991231)))
-        updated = update_rollup(
-            rollup, windows, later, lines.filter(day <= known), arrived, s.settings, upto, broadcast_rows=s.settings.broadcast_rows
-        )
+        changed = stage(changed_places(windows, later, upto), folder, f"changed_{k}")
+        history = lines.filter(day <= known)
+        updated = update_rollup(rollup, windows, later, history, arrived, s.settings, upto, broadcast_rows=s.settings.broadcast_rows, changed=changed)
         rollup, windows = stage(updated, folder, f"rollup_{k}"), later
     return rollup
 

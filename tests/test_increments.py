@@ -77,3 +77,18 @@ def test_first_run_and_nothing_new(spark, settings):
     first = increments.update_rollup(full.limit(0), after.limit(0), after, none, loyalty, settings, date(2024, 1, 1))
     assert bag(first) == bag(full)
     assert bag(increments.update_rollup(stage(full, folder, "full"), after, after, loyalty, none, settings, date(2030, 1, 1))) == bag(full)
+
+
+def test_changed_places_may_be_given(spark, settings):
+    """Changed places that were stored give the same rollup as those computed on the way."""
+    rng = random.Random(5)
+    folder, all_rates = stage_folder(spark), rates(rng)
+    loyalty = stage(lines(spark, rng), folder, "loyalty")
+    days = [FIRST + timedelta(days=150), FIRST + timedelta(days=1000)]
+    before, after = (state(spark, settings, [r for r in all_rates if r[3] <= key(day)], day, folder) for day in days)
+    then, now = loyalty.filter(F.col("DateKey") <= key(days[0])), loyalty.filter(F.col("DateKey") > key(days[0]))
+    kept = stage(rollup_by_customer(tag_transactions(then, before, settings)), folder, "rollup_0")
+    changed = stage(increments.changed_places(before, after, days[0]), folder, "changed")
+    arguments = (kept, before, after, then, now, settings, days[0])
+    given = increments.update_rollup(*arguments, broadcast_rows=1000, changed=changed)
+    assert changed.count() and bag(given) == bag(increments.update_rollup(*arguments))
