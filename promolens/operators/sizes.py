@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 MAX_BYTES = 256 << 20
 
 
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """Whether the frame has at most ``max_rows`` rows and by estimate MAX_BYTES. Counts the rows, a job; zero skips it."""
+    if not max_rows:
+        return False
+    width = df._jdf.schema().defaultSize()
+    return df.count() <= min(max_rows, MAX_BYTES // max(1, width))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast if the frame has at most ``max_rows`` rows and by estimate MAX_BYTES; else leave it to Spark.
 
@@ -17,8 +25,4 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     count. What is not hinted, Spark broadcasts below its own threshold or shuffles, where
     adaptive execution splits skewed partitions.
     """
-    if max_rows:
-        width = df._jdf.schema().defaultSize()
-        if df.count() <= min(max_rows, MAX_BYTES // max(1, width)):
-            return F.broadcast(df)
-    return df
+    return F.broadcast(df) if is_small(df, max_rows) else df

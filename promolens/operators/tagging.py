@@ -86,18 +86,23 @@ def by_month(
     real end date is repeated no more often than that range has months. The dates of the
     spans are turned into keys, not the other way round: there are far fewer spans.
     """
-    first, last = settings.first_day, settings.today
-    month = month_of_key(F.col(date_col), key_from_date(first), key_from_date(last))
-    edges = (month_of_date(F.col(edge), first, last) for edge in ("span_start", "span_end"))
-    return (
-        loyalty.withColumns({"month": month}).withColumnRenamed(date_col, "sale_key"),
-        spans.select(
-            "*",
-            key_from_date(F.col("span_start")).alias("first_key"),
-            key_from_date(F.col("span_end")).alias("last_key"),
-            F.explode(F.sequence(*edges)).alias("month"),
-        ),
-    )
+    return sales_by_month(loyalty, settings, date_col), with_months(with_date_keys(spans), settings)
+
+
+def sales_by_month(loyalty: DataFrame, settings: Settings, date_col: str) -> DataFrame:
+    """Transactions with their ``month``, the date column as ``sale_key``."""
+    month = month_of_key(F.col(date_col), key_from_date(settings.first_day), key_from_date(settings.today))
+    return loyalty.withColumns({"month": month}).withColumnRenamed(date_col, "sale_key")
+
+
+def with_date_keys(spans: DataFrame) -> DataFrame:
+    return spans.withColumns({"first_key": key_from_date(F.col("span_start")), "last_key": key_from_date(F.col("span_end"))})
+
+
+def with_months(spans: DataFrame, settings: Settings) -> DataFrame:
+    """Spans repeated for each ``month`` they touch."""
+    edges = (month_of_date(F.col(edge), settings.first_day, settings.today) for edge in ("span_start", "span_end"))
+    return spans.select("*", F.explode(F.sequence(*edges)).alias("month"))
 
 
 def tag_transactions(

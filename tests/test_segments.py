@@ -5,10 +5,12 @@ from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from promolens.operators import segments, tagging
 from promolens.operators.overlap import detect_overlaps
 from promolens.schemas import BEFORE, DURING, PLACE_KEYS
+from promolens.sources.sink import stage
 from tests.conftest import bag
 from tests.helpers import LOYALTY, key, promos
 
@@ -76,3 +78,24 @@ def test_nothing_to_tag(spark, settings):
     assert segments.tag_by_segments(loyalty.limit(0), windows, settings).count() == 0
     assert segments.tag_by_segments(loyalty, windows.limit(0), settings).count() == 0
     assert segments.elementary_segments(windows.limit(0)).count() == 0
+
+
+def test_segments_by_month_are_made_with_one_shuffle_of_spans(spark, settings, tmp_path):
+    """The spans are shuffled once and the sales once; counting for a broadcast makes no segments."""
+    rng = random.Random(6)
+    windows, loyalty = detect_overlaps(promos(spark, rates(rng), settings), settings), lines(spark, rng)
+    windows = stage(windows, str(tmp_path), "windows")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = segments.tag_by_segments(loyalty, windows, settings)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 2
+    whole, monthly = (segments.elementary_segments(windows, settings=s) for s in (None, settings))
+    held = [df.selectExpr(*PLACE_KEYS, "datediff(span_end, span_start) + 1 AS days", "inline(holders)") for df in (whole, monthly)]
+    keys = [*PLACE_KEYS, *segments.HOLDER]
+    sums = [df.groupBy(*(F.col(k).cast("string") for k in keys)).agg(F.sum("days")) for df in held]
+    assert bag(sums[0]) == bag(sums[1])
