@@ -34,6 +34,13 @@ PERIOD_BOUNDS = {
     AFTER: ("after_window_start", "after_window_end"),
 }
 
+# The same with what must hold for the period to exist.
+PERIOD_SPANS = {
+    BEFORE: ("has_before_window", *PERIOD_BOUNDS[BEFORE]),
+    DURING: ("true", *PERIOD_BOUNDS[DURING]),
+    AFTER: ("has_after_window", *PERIOD_BOUNDS[AFTER]),
+}
+
 
 def prepare_loyalty_dates(loyalty: DataFrame, date_col: str = "DateKey") -> DataFrame:
     """``DateKey_dt``: the transaction day as a date, null for a bad key."""
@@ -57,10 +64,9 @@ def get_after_windows(windows: DataFrame) -> DataFrame:
 
 def period_spans(windows: DataFrame, periods: Sequence[str] = PERIODS) -> DataFrame:
     """One row per promotion and period that has dates: ``period``, ``span_start``, ``span_end``."""
-    accepted = {BEFORE: "has_before_window", DURING: "true", AFTER: "has_after_window"}
     spans = [
-        f"'{period}', CASE WHEN {accepted[period]} THEN {first} END, CASE WHEN {accepted[period]} THEN {last} END"
-        for period, (first, last) in PERIOD_BOUNDS.items()
+        f"'{period}', CASE WHEN {accepted} THEN {first} END, CASE WHEN {accepted} THEN {last} END"
+        for period, (accepted, first, last) in PERIOD_SPANS.items()
         if period in periods
     ]
     stacked = F.expr(f"stack({len(spans)}, {', '.join(spans)}) AS (period, span_start, span_end)")
@@ -68,11 +74,11 @@ def period_spans(windows: DataFrame, periods: Sequence[str] = PERIODS) -> DataFr
     return windows.select(*PROMO_KEYS, stacked).filter("span_start <= span_end")
 
 
-# Keys are compared first, which is cheap. The date is only made of those that match, to
+# Keys of days are ordered as the days are. The date is only made of those that match, to
 # leave out a key that names no day.
 INSIDE = """
     sale_key BETWEEN first_key AND last_key
-    AND try_to_date(CAST(sale_key AS STRING), 'yyyyMMdd') BETWEEN span_start AND span_end
+    AND try_to_date(CAST(sale_key AS STRING), 'yyyyMMdd') IS NOT NULL
 """
 
 
@@ -125,8 +131,13 @@ def tag_transactions(
     """
     sales = loyalty.select(*PLACE_KEYS, date_col, "LoyaltyCode", "MetricVolume", "MetricValue")
     sales, spans = by_month(sales, period_spans(windows, periods), settings, date_col)
+    # The keys of a span's days stand for them, so the dates need not travel, nor the period if there is one only.
+    spans = spans.drop("span_start", "span_end", *(["period"] if len(periods) == 1 else []))
     spans = broadcast_if_small(spans, broadcast_rows)
-    return sales.join(spans, [*PLACE_KEYS, "month"]).filter(INSIDE).select(*TAGGED_COLUMNS)
+    matched = sales.join(spans, [*PLACE_KEYS, "month"]).filter(INSIDE)
+    if len(periods) == 1:
+        matched = matched.withColumns({"period": F.lit(periods[0])})
+    return matched.select(*TAGGED_COLUMNS)
 
 
 def tag_during_transactions(loyalty: DataFrame, windows: DataFrame, settings: Settings, **options) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 
 from promolens.operators import tagging
 from promolens.operators.overlap import detect_overlaps
+from promolens.sources.sink import stage
 from tests.conftest import bag
 from tests.helpers import LOYALTY, chain, key, promos, span
 
@@ -142,3 +143,23 @@ def test_loyalty_may_carry_promotion_columns(spark, settings):
     loyalty = sales(spark, ("000042", "Alba", 20260115, "c")).selectExpr("*", "'mine' AS PromotionName", "DateKey AS Promo_DateKey")
     tagged = tagging.tag_transactions(loyalty, windows, settings, date_col="Promo_DateKey")
     assert labels(tagged) == [("c", "P2", "during_promo")]
+
+
+def test_spans_are_shuffled_without_what_their_keys_say(spark, settings, tmp_path):
+    loyalty, windows = random_case(spark, settings, 3)
+    windows = stage(windows, str(tmp_path), "windows")
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        for periods in (tagging.PERIODS, [tagging.AFTER]):
+            tagged = tagging.tag_transactions(loyalty, windows, settings, periods=periods)
+            text = spark._jvm.PythonSQLUtils.explainString(tagged._jdf.queryExecution(), "formatted")
+            shuffled = [part for part in text.split("\n(") if ") Exchange" in part.splitlines()[0]]
+            assert len(shuffled) == 2 and sum("last_key#" in part for part in shuffled) == 1
+            assert not any("span_start" in part or "span_end" in part for part in shuffled)
+            assert any("period#" in part for part in shuffled) == (len(periods) > 1)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
