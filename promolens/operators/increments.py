@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from promolens.config import Settings
 from promolens.operators.metrics import rollup_by_customer
 from promolens.operators.sizes import broadcast_if_small
-from promolens.operators.tagging import period_spans, tag_transactions
+from promolens.operators.tagging import PERIOD_SPANS, tag_transactions
 from promolens.schemas import PLACE_KEYS, PROMO_KEYS
 
 ROLLUP_KEYS = (*PROMO_KEYS, "period", "LoyaltyCode")
@@ -33,16 +33,26 @@ def changed_places(old_windows: DataFrame, new_windows: DataFrame, upto: date) -
     """Places where a day up to ``upto`` lies in other promotions or periods than before.
 
     Spans are compared as far as that day only: one that merely runs on, because its promotion still does or the window
-    after it was cut at a former today, tags the same past days. Spans of both sides are counted against each other in one
-    aggregation, so that repeated ones must be equally many.
+    after it was cut at a former today, tags the same past days. Both sides are counted against each other, so that
+    repeated spans must be equally many: first promotions with all their spans, one row each; then the spans of the
+    promotions left over, which may still make up for each other.
     """
 
     def past(windows: DataFrame, sign: int) -> DataFrame:
-        spans = period_spans(windows).withColumns({"span_end": F.least("span_end", F.lit(upto)), "sign": F.lit(sign)})
-        return spans.filter("span_start <= span_end")
+        spans = {}
+        for period, (accepted, first, last) in PERIOD_SPANS.items():
+            last = F.least(last, F.lit(upto))
+            known = F.expr(accepted) & (F.col(first) <= last)
+            spans |= {f"{period}_first": F.when(known, F.col(first)), f"{period}_last": F.when(known, last)}
+        kept = windows.select(*PROMO_KEYS, *(span.alias(name) for name, span in spans.items()), F.lit(sign).alias("sign"))
+        return kept.filter(" OR ".join(f"{period}_first IS NOT NULL" for period in PERIOD_SPANS))
 
     both = past(old_windows, -1).unionByName(past(new_windows, 1))
-    changes = both.groupBy(*PROMO_KEYS, "period", "span_start", "span_end").agg(F.sum("sign").alias("change"))
+    whole = both.groupBy(*(c for c in both.columns if c != "sign")).agg(F.sum("sign").alias("change")).filter("change <> 0")
+    each = ", ".join(f"'{period}', {period}_first, {period}_last" for period in PERIOD_SPANS)
+    stacked = F.expr(f"stack({len(PERIOD_SPANS)}, {each}) AS (period, span_start, span_end)")
+    spans = whole.select(*PROMO_KEYS, "change", stacked).filter("span_start IS NOT NULL")
+    changes = spans.groupBy(*PROMO_KEYS, "period", "span_start", "span_end").agg(F.sum("change").alias("change"))
     return changes.filter("change <> 0").select(*PLACE_KEYS).distinct()
 
 

@@ -92,3 +92,18 @@ def test_changed_places_may_be_given(spark, settings):
     arguments = (kept, before, after, then, now, settings, days[0])
     given = increments.update_rollup(*arguments, broadcast_rows=1000, changed=changed)
     assert changed.count() and bag(given) == bag(increments.update_rollup(*arguments))
+
+
+def test_windows_are_compared_whole_before_their_spans(spark, settings):
+    """A promotion is shuffled as one row a side; spans that only changed rows with an equal promotion are no change."""
+    one = promos(spark, [("O", "P", "B", 20250610, 20250619), ("Q", "P", "B", 20250610, 20250619)], settings)
+    marked = detect_overlaps(one, settings)
+    none = marked.withColumns({f"has_{side}_window": F.lit(False) for side in ("before", "after")})
+    apart = marked.withColumns({"has_before_window": F.lit(False)}).unionByName(marked.withColumns({"has_after_window": F.lit(False)}))
+    upto = date(2026, 1, 1)
+    assert increments.changed_places(marked.unionByName(none), apart, upto).count() == 0
+    moved = apart.unionByName(marked.filter("OutletIdentifier = 'Q'"))
+    assert bag(increments.changed_places(marked.unionByName(none), moved, upto)) == [("Q", "B")]
+    text = spark._jvm.PythonSQLUtils.explainString(increments.changed_places(marked, none, upto)._jdf.queryExecution(), "formatted")
+    shuffled = [part for part in text.split("\n(") if ") Exchange" in part.splitlines()[0]]
+    assert any("before_promo_first#" in part and "after_promo_last#" in part for part in shuffled)
