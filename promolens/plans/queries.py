@@ -205,8 +205,9 @@ def _altered_places(s: Stages) -> DataFrame:
 
 
 def _check_frames(s: Stages) -> list[DataFrame]:
-    """All layers over stored results, the way a full run checks them."""
+    """All layers over stored results, the way a full run checks them. Three of them read the metrics."""
     rollup = s.kept("rollup")
+    metrics = stage(add_derived_metrics(widen_rollup(rollup)), _apart(s), "metrics")
     return check_frames(
         s.scan,
         *(s.table(name) for name in ("outlet", "product", "promo_master")),
@@ -215,7 +216,7 @@ def _check_frames(s: Stages) -> list[DataFrame]:
         s.kept("promos"),
         s.kept("windows"),
         rollup,
-        add_derived_metrics(widen_rollup(rollup)),
+        metrics,
         s.settings,
         totals=s.totals,
         ledger=s.kept("ledger"),

@@ -135,3 +135,11 @@ def test_hot_place_is_split(spark, settings):
                 spark.conf.unset(name)
             else:
                 spark.conf.set(name, value)
+
+
+def test_checks_read_stored_metrics(stages):
+    """Three layers read the metrics of the promotions, which are made once, not in the checks' own plan."""
+    from promolens.plans.queries import QUERIES
+
+    text = plan(QUERIES["quality_all"](stages))
+    assert "AS before_promo_total_volume" not in text and "before_promo_total_volume" in text
