@@ -100,8 +100,8 @@ def anchored(distinct: DataFrame) -> DataFrame:
     return distinct.select("fp").mapInArrow(run, "anchor long, fp long, home boolean")
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what the given pairs connect, without cycles."""
+def _forest(pairs: np.ndarray) -> np.ndarray:
+    """Links that connect what the given pairs connect, without cycles: rows of two, as given."""
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -111,12 +111,12 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
         return x
 
     kept = []
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+    for x, y in pairs.tolist():
         p, q = find(x), find(y)
         if p != q:
             root[max(p, q)] = min(p, q)
             kept.append((x, y))
-    return kept
+    return np.array(kept, dtype=np.int64).reshape(-1, 2)
 
 
 def compare(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
@@ -136,13 +136,14 @@ def compare(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, distance: int
         group = slice(begins[k], begins[k] + sizes[k])
         own, homes = fp[group], fp[group][home[group]]
         width = max(1, (1 << 20) // len(own))
-        held: list[tuple[int, int]] = []
+        # Whole numbers throughout: a fingerprint does not fit into a float.
+        held = np.empty((0, 2), dtype=np.int64)
         for at in range(0, len(homes), width):
             block = homes[at : at + width]
             i, j = np.nonzero(np.bitwise_count((block[:, None] ^ own[None, :]).view(np.uint64)) <= distance)
             apart = block[i] != own[j]
-            held = _forest(np.concatenate([block[i[apart]], [x for x, _ in held]]).astype(np.int64), np.concatenate([own[j[apart]], [y for _, y in held]]).astype(np.int64))
-        links += held
+            held = _forest(np.concatenate([held, np.stack([block[i[apart]], own[j[apart]]], axis=1)]))
+        links += map(tuple, held.tolist())
     return links
 
 

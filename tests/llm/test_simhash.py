@@ -95,3 +95,42 @@ def test_near_duplicates(documents):
         smallest[w] = min((x for x in (smallest.get(w), i) if x is not None), default=None)
     assert sorted((repr(r.doc_id), r.fp, r.component_id) for r in got) == sorted((repr(i), plain(t), smallest[w]) for (i, t), w in zip(rows, want, strict=True))
     assert simhash.near_duplicates(documents([])).count() == 0
+
+
+def crowd(seed, size, side):
+    """Fingerprints that differ in at most three bits of one half from one of them, and so share the other half's anchors."""
+    rng = random.Random(seed)
+    value = rng.getrandbits(64)
+    values = {value: None}
+    while len(values) < size:
+        values[value ^ sum(1 << b for b in rng.sample(range(32 * side, 32 * side + 32), rng.randrange(1, 4)))] = None
+    return [v - (1 << 64) if v >> 63 else v for v in values]
+
+
+def test_crowded_anchor_links_its_own_fingerprints():
+    for size in (32, 33, 200, 1300):
+        values = crowd(size, size, 1)
+        fp = np.array(values, dtype=np.int64)
+        index, anchor, home = simhash.anchors(fp.astype(np.uint32))
+        order = np.argsort(anchor, kind="stable")
+        found = simhash.compare(anchor[order].astype(np.int64), fp[index][order], home[order])
+        assert {v for pair in found for v in pair} <= set(values)
+        assert all(bin((a ^ b) & (2**64 - 1)).count("1") in (1, 2, 3) for a, b in found)
+        root = {v: v for v in values}
+        for a, b in found:
+            while root[a] != a:
+                a = root[a]
+            while root[b] != b:
+                b = root[b]
+            root[max(a, b)] = min(a, b)
+        assert sum(v == r for v, r in root.items()) == 1
+
+
+def test_components_of_crowds(spark):
+    values = crowd(1, 40, 0) + crowd(2, 300, 1) + clusters(3, 20, 6)
+    want = closure(values)
+    for hot in (simhash.HOT, 50):
+        found = simhash.components(simhash.links(spark.createDataFrame([(v,) for v in values], "fp long"), hot)).collect()
+        root = {r.node: r.root for r in found}
+        assert set(root) <= set(values)
+        assert {(w, root.get(v, v)) for v, w in zip(values, want, strict=True)} == {(w, min(v for v, x in zip(values, want, strict=True) if x == w)) for w in want}
